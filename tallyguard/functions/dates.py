@@ -59,3 +59,8 @@ def micros(df: DataFrame, ts: str) -> Column:
     if isinstance(df.schema[ts].dataType, T.TimestampType):
         return F.unix_micros(F.col(ts))
     return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts))
+
+
+def start_of(moment: Column, width: int) -> Column:
+    """Start of the interval of ``width`` microseconds that holds a moment."""
+    return moment - F.pmod(moment, F.lit(width))

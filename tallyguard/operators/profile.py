@@ -193,7 +193,7 @@ def histogram_by(df: DataFrame, value: str, by: str, bins: int = 40) -> DataFram
     low, high = df.agg(F.min(v), F.max(v)).first()
     rows = df.where(v.isNotNull()).select(_quoted(by).alias(by), v.alias("v"))
     if low is None:
-        return rows.select(by, F.lit(1).alias("bin"), "v", F.col("v").alias("high"), F.lit(0).cast("bigint").alias("n"))
+        low = high = 0.0
     width = (high - low) / bins
     if width > 0:
         bin_no = F.least(F.width_bucket("v", F.lit(low), F.lit(high), F.lit(bins)), F.lit(bins)).cast("int")
