@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def topic_options(servers: str, topic: str, starting: str = "earliest", **more: str) -> dict[str, str]:
@@ -43,10 +44,21 @@ def to_bronze(messages: DataFrame) -> DataFrame:
     )
 
 
+def id_text(df: DataFrame, column: str) -> Column:
+    """Text of an id; a whole DOUBLE is written ``123456.0``, without an exponent."""
+    value = F.col(column)
+    if not isinstance(df.schema[column].dataType, T.DoubleType):
+        return value.cast("string")
+    whole = (value == F.floor(value)) & (F.abs(value) < 1e16)
+    return F.when(whole, F.concat(value.try_cast("bigint").cast("string"), F.lit(".0"))).otherwise(
+        value.cast("string")
+    )
+
+
 def to_messages(rows: DataFrame, key: str = "transaction_id") -> DataFrame:
     """Rows to (key, value): the key is the id as text and may be NULL, the value all columns as JSON."""
     return rows.select(
-        F.col(key).cast("string").alias("key"),
+        id_text(rows, key).alias("key"),
         F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("value"),
     )
 
