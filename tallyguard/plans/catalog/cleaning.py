@@ -13,7 +13,7 @@ from tallyguard.plans.tables import CLEAN_SQL, TXN_SQL, Tables
 @query(
     "impute_median",
     f"""WITH {TXN_SQL}
-SELECT transaction_id, round(coalesce(amount, (SELECT median(amount) FROM txn)), 6) + 0.0 AS amount, merchant_id, transaction_type FROM txn""",
+SELECT transaction_id, round(coalesce(amount, (SELECT median(amount) FROM txn)) + 1e-9, 6) + 0.0 AS amount, merchant_id, transaction_type FROM txn""",
 )
 def impute_median(tables: Tables) -> DataFrame:
     filled = clean.impute_median(tables.transactions())
@@ -36,7 +36,7 @@ def impute_mode(tables: Tables) -> DataFrame:
 @query(
     "clean_table",
     f"""WITH {CLEAN_SQL}
-SELECT transaction_id, customer_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, round(amount, 6) + 0.0 AS amount, transaction_time,
+SELECT transaction_id, customer_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, round(amount + 1e-9, 6) + 0.0 AS amount, transaction_time,
        transaction_date, transaction_type, merchant_id, home_city, txn_city, is_new_merchant, fraud_label FROM clean""",
 )
 def clean_table(tables: Tables) -> DataFrame:

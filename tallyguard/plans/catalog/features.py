@@ -103,8 +103,8 @@ def is_night(tables: Tables) -> DataFrame:
 @query(
     "cyclic_encode",
     f"""{TIME_SQL}
-SELECT transaction_id, round(sin(2 * pi() * hour / 24), 6) + 0.0 AS hour_sin, round(cos(2 * pi() * hour / 24), 6) + 0.0 AS hour_cos,
-       round(sin(2 * pi() * (isodow(d) - 1) / 7), 6) + 0.0 AS dow_sin, round(cos(2 * pi() * (isodow(d) - 1) / 7), 6) + 0.0 AS dow_cos
+SELECT transaction_id, round(sin(2 * pi() * hour / 24) + 1e-9, 6) + 0.0 AS hour_sin, round(cos(2 * pi() * hour / 24) + 1e-9, 6) + 0.0 AS hour_cos,
+       round(sin(2 * pi() * (isodow(d) - 1) / 7) + 1e-9, 6) + 0.0 AS dow_sin, round(cos(2 * pi() * (isodow(d) - 1) / 7) + 1e-9, 6) + 0.0 AS dow_cos
 FROM h""",
 )
 def cyclic_encode(tables: Tables) -> DataFrame:
@@ -135,7 +135,7 @@ def yes_no_flag(tables: Tables) -> DataFrame:
 @query(
     "log1p_amount",
     f"""WITH {TXN_SQL}
-SELECT transaction_id, round(ln(1 + CASE WHEN amount - 10 < 0 THEN 0 ELSE amount - 10 END), 6) + 0.0 AS log_amount FROM txn""",
+SELECT transaction_id, round(ln(1 + CASE WHEN amount - 10 < 0 THEN 0 ELSE amount - 10 END) + 1e-9, 6) + 0.0 AS log_amount FROM txn""",
 )
 def log1p_amount(tables: Tables) -> DataFrame:
     """Amounts are lowered by 10 so that some are negative."""
@@ -166,14 +166,14 @@ SELECT transaction_id, fraud_label, strftime(d + to_seconds(CAST(hour * 3600 + m
        strftime(d, '%Y-%m-%d') AS order_date_dt, hour, CAST(minute AS DOUBLE) AS minute, CAST(isodow(d) - 1 AS DOUBLE) AS day_of_week,
        CAST(day(d) AS DOUBLE) AS day_of_month, CAST(month(d) AS DOUBLE) AS month, CAST(quarter(d) AS DOUBLE) AS quarter,
        CASE WHEN isodow(d) >= 6 THEN 1 ELSE 0 END AS is_weekend, CASE WHEN hour < 6 OR hour >= 22 THEN 1 ELSE 0 END AS is_night,
-       round(sin(2 * pi() * hour / 24), 6) + 0.0 AS hour_sin, round(cos(2 * pi() * hour / 24), 6) + 0.0 AS hour_cos,
-       round(sin(2 * pi() * (isodow(d) - 1) / 7), 6) + 0.0 AS dow_sin, round(cos(2 * pi() * (isodow(d) - 1) / 7), 6) + 0.0 AS dow_cos,
+       round(sin(2 * pi() * hour / 24) + 1e-9, 6) + 0.0 AS hour_sin, round(cos(2 * pi() * hour / 24) + 1e-9, 6) + 0.0 AS hour_cos,
+       round(sin(2 * pi() * (isodow(d) - 1) / 7) + 1e-9, 6) + 0.0 AS dow_sin, round(cos(2 * pi() * (isodow(d) - 1) / 7) + 1e-9, 6) + 0.0 AS dow_cos,
        {FLAG_SQL.format(c="is_international_transaction")} AS is_international_transaction_num,
        {FLAG_SQL.format(c="is_new_merchant")} AS is_new_merchant_num,
        {FLAG_SQL.format(c="unusual_time_transaction")} AS unusual_time_transaction_num,
-       round(ln(1 + greatest(amount, 0)), 6) + 0.0 AS log_transaction_amount,
-       round(amount / (abs(average) + 1e-6), 6) + 0.0 AS amount_vs_avg_ratio,
-       round(amount / (abs(maximum) + 1e-6), 6) + 0.0 AS amount_vs_max24_ratio
+       round(ln(1 + greatest(amount, 0)) + 1e-9, 6) + 0.0 AS log_transaction_amount,
+       round(amount / (abs(average) + 1e-6) + 1e-9, 6) + 0.0 AS amount_vs_avg_ratio,
+       round(amount / (abs(maximum) + 1e-6) + 1e-9, 6) + 0.0 AS amount_vs_max24_ratio
 FROM featured"""
 
 

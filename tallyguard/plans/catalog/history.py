@@ -41,7 +41,7 @@ def prof_weekly_count(tables: Tables) -> DataFrame:
 
 @query(
     "prof_avg_amount",
-    f"WITH {TXN_SQL} SELECT transaction_id, customer_id, round(avg(amount) OVER ({TO_DATE}), 6) + 0.0 AS avg_amount FROM txn",
+    f"WITH {TXN_SQL} SELECT transaction_id, customer_id, round(avg(amount) OVER ({TO_DATE}) + 1e-9, 6) + 0.0 AS avg_amount FROM txn",
 )
 def prof_avg_amount(tables: Tables) -> DataFrame:
     return profiled(tables, "avg_amount")
@@ -49,7 +49,7 @@ def prof_avg_amount(tables: Tables) -> DataFrame:
 
 @query(
     "prof_max_24h",
-    f"WITH {TXN_SQL} SELECT transaction_id, customer_id, round(max(amount) OVER ({LAST_DAY}), 6) + 0.0 AS max_24h FROM txn",
+    f"WITH {TXN_SQL} SELECT transaction_id, customer_id, round(max(amount) OVER ({LAST_DAY}) + 1e-9, 6) + 0.0 AS max_24h FROM txn",
 )
 def prof_max_24h(tables: Tables) -> DataFrame:
     return profiled(tables, "max_24h")

@@ -89,7 +89,7 @@ def src_bronze(tables: Tables) -> DataFrame:
     "sink_gold",
     f"""WITH {BRONZE_SQL}
 SELECT count(*) AS transaction_count, CAST(sum(CASE WHEN fraud_label = 'Fraud' THEN 1 ELSE 0 END) AS BIGINT) AS fraud_count,
-       round(avg(amount), 6) + 0.0 AS avg_amount_million
+       round(avg(amount) + 1e-9, 6) + 0.0 AS avg_amount_million
 FROM bronze WHERE is_txn = 1""",
 )
 def sink_gold(tables: Tables) -> DataFrame:
@@ -101,7 +101,7 @@ def sink_gold(tables: Tables) -> DataFrame:
 
 
 CSV_SQL = f"""WITH {TXN_SQL}
-SELECT transaction_id, customer_id, round(amount, 6) + 0.0 AS transaction_amount_million, transaction_time,
+SELECT transaction_id, customer_id, round(amount + 1e-9, 6) + 0.0 AS transaction_amount_million, transaction_time,
        CASE WHEN transaction_date <> 'n/a' THEN transaction_date END AS transaction_date,
        transaction_type, merchant_id, is_new_merchant, fraud_label
 FROM txn"""
@@ -174,7 +174,7 @@ def export_topic_ndjson(tables: Tables) -> DataFrame:
     f"""WITH {TXN_SQL}
 SELECT CAST(transaction_id AS VARCHAR) AS key, CAST(transaction_id AS VARCHAR) AS json_id, fraud_label AS json_label,
        CAST(amount AS VARCHAR) AS json_amount
-FROM txn UNION ALL SELECT NULL, NULL, NULL, NULL FROM events WHERE event_id % 10 = 3""",
+FROM txn UNION ALL SELECT NULL, NULL, NULL, NULL FROM events WHERE event_type = 'signup'""",
 )
 def ingest_ndjson(tables: Tables) -> DataFrame:
     path = tables.scratch("ndjson")

@@ -24,7 +24,7 @@ def filter_transactions(tables: Tables) -> DataFrame:
 @query(
     "parse_transactions",
     f"""WITH {BRONZE_SQL}
-SELECT transaction_id, customer_id, round(amount, 6) + 0.0 AS transaction_amount_million, transaction_time, transaction_date,
+SELECT transaction_id, customer_id, round(amount + 1e-9, 6) + 0.0 AS transaction_amount_million, transaction_time, transaction_date,
        transaction_type, merchant_id, 'city-' || txn_city AS transaction_location, 'city-' || home_city AS customer_home_location,
        is_new_merchant, fraud_label, CAST(NULL AS DOUBLE) AS device_id
 FROM bronze WHERE is_txn = 1""",
@@ -123,7 +123,7 @@ def drop_duplicates(tables: Tables) -> DataFrame:
 @query(
     "select_features",
     f"""WITH {CLEAN_SQL}
-SELECT round(amount, 6) + 0.0 AS amount, merchant_id, home_city, txn_city, transaction_type, is_new_merchant,
+SELECT round(amount + 1e-9, 6) + 0.0 AS amount, merchant_id, home_city, txn_city, transaction_type, is_new_merchant,
        '["amount","merchant_id","home_city","txn_city"]' AS numeric_names,
        '["transaction_type","is_new_merchant"]' AS categorical_names
 FROM clean""",

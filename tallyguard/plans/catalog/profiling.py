@@ -20,7 +20,7 @@ MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
     "gold_summary",
     f"""WITH {BRONZE_SQL}
 SELECT count(*) AS transaction_count, CAST(sum(CASE WHEN fraud_label = 'Fraud' THEN 1 ELSE 0 END) AS BIGINT) AS fraud_count,
-       round(avg(amount), 6) + 0.0 AS avg_amount_million
+       round(avg(amount) + 1e-9, 6) + 0.0 AS avg_amount_million
 FROM bronze WHERE is_txn = 1""",
 )
 def gold_summary(tables: Tables) -> DataFrame:
@@ -71,10 +71,10 @@ def missing_counts(tables: Tables) -> DataFrame:
 @query(
     "describe_numeric",
     " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 6) + 0.0 AS mean,
-       round(stddev_samp({c}), 6) + 0.0 AS std, round(min({c}), 6) + 0.0 AS min, round(quantile_cont({c}, 0.25), 6) + 0.0 AS q25,
-       round(quantile_cont({c}, 0.5), 6) + 0.0 AS q50, round(quantile_cont({c}, 0.75), 6) + 0.0 AS q75,
-       round(max({c}), 6) + 0.0 AS max FROM lineitem"""
+        f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}) + 1e-9, 6) + 0.0 AS mean,
+       round(stddev_samp({c}) + 1e-9, 6) + 0.0 AS std, round(min({c}) + 1e-9, 6) + 0.0 AS min, round(quantile_cont({c}, 0.25) + 1e-9, 6) + 0.0 AS q25,
+       round(quantile_cont({c}, 0.5) + 1e-9, 6) + 0.0 AS q50, round(quantile_cont({c}, 0.75) + 1e-9, 6) + 0.0 AS q75,
+       round(max({c}) + 1e-9, 6) + 0.0 AS max FROM lineitem"""
         for c in MEASURES
     ),
 )
@@ -97,7 +97,7 @@ def label_distribution(tables: Tables) -> DataFrame:
 @query(
     "imbalance_ratio",
     f"""WITH {TXN_SQL}, c AS (SELECT trim(fraud_label) AS label, count(*) AS n FROM txn WHERE fraud_label IS NOT NULL GROUP BY 1)
-SELECT count(*) AS n_classes, round(min(n) / max(n)::DOUBLE, 6) + 0.0 AS ratio FROM c""",
+SELECT count(*) AS n_classes, round(min(n) / max(n)::DOUBLE + 1e-9, 6) + 0.0 AS ratio FROM c""",
 )
 def imbalance_ratio(tables: Tables) -> DataFrame:
     return rounded(profile.imbalance_ratio(tables.transactions()), "ratio")
@@ -129,7 +129,7 @@ def topk_values(tables: Tables) -> DataFrame:
     f"""WITH {TXN_SQL}, r AS (SELECT min(amount) AS lo, max(amount) AS hi FROM txn),
 b AS (SELECT fraud_label, lo, (hi - lo) / 40 AS width,
              CAST(least(floor(40.0::DOUBLE * (amount - lo) / (hi - lo)) + 1, 40) AS INT) AS bin FROM txn, r WHERE amount IS NOT NULL)
-SELECT fraud_label, bin, round(lo + (bin - 1) * width, 6) + 0.0 AS low, round(lo + bin * width, 6) + 0.0 AS high, count(*) AS n
+SELECT fraud_label, bin, round(lo + (bin - 1) * width + 1e-9, 6) + 0.0 AS low, round(lo + bin * width + 1e-9, 6) + 0.0 AS high, count(*) AS n
 FROM b GROUP BY fraud_label, bin, lo, width""",
 )
 def histogram_by(tables: Tables) -> DataFrame:
@@ -143,9 +143,9 @@ def histogram_by(tables: Tables) -> DataFrame:
   UNION ALL SELECT 'overall', NULL, amount FROM txn WHERE amount IS NOT NULL),
 q AS (SELECT scope, fraud_label, count(*) AS n, quantile_cont(v, 0.25) AS a, quantile_cont(v, 0.5) AS m,
              quantile_cont(v, 0.75) AS b FROM g GROUP BY 1, 2)
-SELECT q.scope, q.fraud_label, q.n, round(a, 6) + 0.0 AS q25, round(m, 6) + 0.0 AS q50, round(b, 6) + 0.0 AS q75,
-       round(min(v) FILTER (v BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a)), 6) + 0.0 AS whisker_low,
-       round(max(v) FILTER (v BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a)), 6) + 0.0 AS whisker_high,
+SELECT q.scope, q.fraud_label, q.n, round(a + 1e-9, 6) + 0.0 AS q25, round(m + 1e-9, 6) + 0.0 AS q50, round(b + 1e-9, 6) + 0.0 AS q75,
+       round(min(v) FILTER (v BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a)) + 1e-9, 6) + 0.0 AS whisker_low,
+       round(max(v) FILTER (v BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a)) + 1e-9, 6) + 0.0 AS whisker_high,
        count(*) FILTER (v NOT BETWEEN a - 1.5 * (b - a) AND b + 1.5 * (b - a)) AS n_outliers
 FROM g JOIN q ON g.scope = q.scope AND g.fraud_label IS NOT DISTINCT FROM q.fraud_label
 GROUP BY q.scope, q.fraud_label, q.n, a, m, b""",
@@ -165,7 +165,7 @@ CORR_BASE = """m AS (SELECT CASE WHEN l_linenumber <> 3 THEN l_quantity END AS q
     "corr_matrix",
     f"WITH {CORR_BASE} "
     + " UNION ALL ".join(
-        f"SELECT '{x}' AS x, '{y}' AS y, (SELECT CASE WHEN isnan(r) THEN NULL ELSE round(r, 6) + 0.0 END "
+        f"SELECT '{x}' AS x, '{y}' AS y, (SELECT CASE WHEN isnan(r) THEN NULL ELSE round(r + 1e-9, 6) + 0.0 END "
         f"FROM (SELECT corr({x}, {y}) AS r FROM m)) AS r"
         for x in CORR_COLUMNS
         for y in CORR_COLUMNS
@@ -191,7 +191,7 @@ RATE_COLUMNS = ("transaction_type", "is_new_merchant", "txn_city")
     f"WITH {TXN_SQL} "
     + " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value,
-       round(avg(CASE WHEN trim(fraud_label) = 'Fraud' THEN 1.0::DOUBLE ELSE 0 END), 6) + 0.0 AS rate, count(*) AS n,
+       round(avg(CASE WHEN trim(fraud_label) = 'Fraud' THEN 1.0::DOUBLE ELSE 0 END) + 1e-9, 6) + 0.0 AS rate, count(*) AS n,
        round(avg(CASE WHEN trim(fraud_label) = 'Fraud' THEN 1.0::DOUBLE ELSE 0 END) * 100, 2) AS rate_pct
 FROM txn WHERE {c} IS NOT NULL AND fraud_label IS NOT NULL GROUP BY 2"""
         for c in RATE_COLUMNS
@@ -208,9 +208,9 @@ BOUNDS_SQL = """SELECT a - 1.5 * (b - a) AS low, b + 1.5 * (b - a) AS high FROM
 @query(
     "iqr_outliers",
     f"""WITH o AS ({BOUNDS_SQL.format(v="o_totalprice", t="orders")})
-SELECT round(low, 6) + 0.0 AS low, round(high, 6) + 0.0 AS high, count(o_totalprice) AS n,
+SELECT round(low + 1e-9, 6) + 0.0 AS low, round(high + 1e-9, 6) + 0.0 AS high, count(o_totalprice) AS n,
        count(*) FILTER (o_totalprice < low OR o_totalprice > high) AS n_outliers,
-       round(count(*) FILTER (o_totalprice < low OR o_totalprice > high) * 100 / count(o_totalprice)::DOUBLE, 6) + 0.0 AS pct_outliers
+       round(count(*) FILTER (o_totalprice < low OR o_totalprice > high) * 100 / count(o_totalprice)::DOUBLE + 1e-9, 6) + 0.0 AS pct_outliers
 FROM orders, o GROUP BY low, high""",
 )
 def iqr_outliers(tables: Tables) -> DataFrame:
@@ -220,7 +220,7 @@ def iqr_outliers(tables: Tables) -> DataFrame:
 @query(
     "flag_outliers",
     f"""WITH {TXN_SQL}, o AS ({BOUNDS_SQL.format(v="amount", t="txn")})
-SELECT transaction_id, round(amount, 6) + 0.0 AS amount, CASE WHEN amount < low OR amount > high THEN 1 ELSE 0 END AS is_outlier FROM txn, o""",
+SELECT transaction_id, round(amount + 1e-9, 6) + 0.0 AS amount, CASE WHEN amount < low OR amount > high THEN 1 ELSE 0 END AS is_outlier FROM txn, o""",
 )
 def flag_outliers(tables: Tables) -> DataFrame:
     flagged = profile.flag_outliers(tables.transactions(), "amount")
@@ -232,7 +232,7 @@ def flag_outliers(tables: Tables) -> DataFrame:
     """WITH o AS (SELECT CASE WHEN o_orderkey % 41 = 0 THEN 'n/a' ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day,
                      CASE o_orderstatus WHEN 'F' THEN ' Fraud ' WHEN 'P' THEN NULL ELSE 'Normal' END AS label FROM orders)
 SELECT strftime(date_trunc('month', CAST(day AS DATE)), '%Y-%m-%d') AS month, count(*) AS n,
-       round(avg(CASE WHEN trim(label) = 'Fraud' THEN 100.0::DOUBLE ELSE 0 END), 6) + 0.0 AS rate_pct
+       round(avg(CASE WHEN trim(label) = 'Fraud' THEN 100.0::DOUBLE ELSE 0 END) + 1e-9, 6) + 0.0 AS rate_pct
 FROM o WHERE day <> 'n/a' GROUP BY 1""",
 )
 def monthly_trend(tables: Tables) -> DataFrame:
@@ -260,7 +260,7 @@ def crosstab_pct(tables: Tables) -> DataFrame:
 
 @query(
     "rate_by_value",
-    f"{LABELLED_SQL} SELECT value, round(avg(flag) * 100, 6) + 0.0 AS rate_pct FROM f GROUP BY value",
+    f"{LABELLED_SQL} SELECT value, round(avg(flag) * 100 + 1e-9, 6) + 0.0 AS rate_pct FROM f GROUP BY value",
 )
 def rate_by_value(tables: Tables) -> DataFrame:
     return rounded(profile.rate_by_value(tables.transactions(), "txn_city"), "rate_pct")
@@ -275,7 +275,7 @@ TARGET_FEATURES = ("n_chars", "toxic", "hour_sin", "hour_cos", "dow_sin", "dow_c
   SELECT quality, n_chars, toxic, sin(2 * pi() * (n_chars % 24) / 24) AS hour_sin, cos(2 * pi() * (n_chars % 24) / 24) AS hour_cos,
          sin(2 * pi() * (n_chars % 7) / 7) AS dow_sin, cos(2 * pi() * (n_chars % 7) / 7) AS dow_cos, 1 AS constant FROM docs) """
     + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, (SELECT CASE WHEN isnan(r) THEN NULL ELSE round(r, 6) + 0.0 END FROM "
+        f"SELECT '{c}' AS feature, (SELECT CASE WHEN isnan(r) THEN NULL ELSE round(r + 1e-9, 6) + 0.0 END FROM "
         f"(SELECT corr({c}, quality) AS r FROM f)) AS r"
         for c in TARGET_FEATURES
     ),
@@ -290,7 +290,7 @@ def feature_target_corr(tables: Tables) -> DataFrame:
 @query(
     "split_summary",
     f"""WITH {DOCS_SQL}
-SELECT split, count(*) AS n, round(avg(quality) * 100, 6) + 0.0 AS rate_pct FROM split GROUP BY split""",
+SELECT split, count(*) AS n, round(avg(quality) * 100 + 1e-9, 6) + 0.0 AS rate_pct FROM split GROUP BY split""",
 )
 def split_summary(tables: Tables) -> DataFrame:
     split = stratified_split(tables.labelled_documents(), ["doc_id"], "quality")

@@ -31,9 +31,9 @@ def runnable(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 
 def r6(column: str | Column) -> Column:
-    """Rounded to six decimals, without a negative zero."""
+    """Rounded to six decimals, exact ties always up, without a negative zero."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.round(c, 6) + F.lit(0.0)
+    return F.round(c + F.lit(1e-9), 6) + F.lit(0.0)
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:

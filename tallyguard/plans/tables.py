@@ -60,7 +60,7 @@ class Tables:
 
     def messages(self) -> DataFrame:
         """Topic records: every transaction as JSON, its planted copies included, and between them
-        records that are no transactions (the JSON of the events as it is)."""
+        records that are no transactions (the plain JSON of signups)."""
         body = F.to_json(
             F.struct(
                 "transaction_id",
@@ -87,7 +87,7 @@ class Tables:
         )
         noise = (
             self.read("events")
-            .where("event_id % 10 = 3")
+            .where("event_type = 'signup'")
             .select(
                 F.lit(None).cast("string").alias("key"),
                 F.col("props").alias("value"),
@@ -172,7 +172,7 @@ bronze AS (
   UNION ALL
   SELECT event_id * 2 + 1, CAST(event_id % 4 AS INT), NULL, ts, 0, NULL, NULL, NULL, NULL, NULL, NULL, NULL,
          NULL, NULL, NULL, NULL
-  FROM events WHERE event_id % 10 = 3)
+  FROM events WHERE event_type = 'signup')
 """
 )
 

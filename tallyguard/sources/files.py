@@ -95,8 +95,15 @@ def read_transactions_csv(
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Export with a header and quotes doubled within quotes."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Export with a header, quotes doubled within quotes, and white space kept."""
+    (
+        df.write.mode("overwrite")
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )
 
 
 def ndjson_lines(df: DataFrame) -> DataFrame:
