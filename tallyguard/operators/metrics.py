@@ -32,9 +32,11 @@ def binary_metrics(df: DataFrame, label: str = "label", prediction: str = "predi
 def roc_auc_value(df: DataFrame, label: str = "label", score: str = "score") -> float | None:
     """Exact area under the ROC curve, ties counted half; None with a single class.
 
-    The built-in evaluator without binning sorts the distinct scores across the cluster.
+    The built-in evaluator without binning sorts the distinct scores across the cluster. Adding zero
+    makes a negative zero tie with zero.
     """
-    scored = df.select(F.col(label).cast("double").alias("label"), F.col(score).cast("double").alias("score"))
+    value = F.col(score).cast("double") + F.lit(0.0)
+    scored = df.select(F.col(label).cast("double").alias("label"), value.alias("score"))
     positives, rows = scored.agg(F.count_if(F.col("label") == 1), F.count("*")).first()
     if positives in (0, rows):
         return None

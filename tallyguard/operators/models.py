@@ -96,13 +96,15 @@ def fit_preprocess(train: DataFrame, numeric: Sequence[str], categorical: Sequen
     return PipelineModel(fitted)
 
 
-def candidates(rows: int, seed: int = SEED, small: bool = False) -> dict[str, Callable[[], Estimator]]:
+def candidates(
+    rows: int, seed: int = SEED, small: bool = False, hist_rounds: int = 200
+) -> dict[str, Callable[[], Estimator]]:
     """The shortlist by name; ``small`` shrinks the ensembles for quick checks.
 
     ``forest_no_bootstrap`` and ``logistic_light`` are the nearest built-in estimators to extremely
     randomised trees and to a linear model fitted by stochastic gradient.
     """
-    trees, rounds, boost = (10, 5, 5) if small else (100, 100, 200)
+    trees, rounds, boost = (10, 5, 5) if small else (100, 100, hist_rounds)
     depth = 6 if small else 18
     common = {"featuresCol": FEATURES, "labelCol": LABEL}
     balanced = {**common, "weightCol": WEIGHT}
@@ -128,6 +130,7 @@ def candidates(rows: int, seed: int = SEED, small: bool = False) -> dict[str, Ca
             maxBins=255,
             stepSize=0.1,
             seed=seed,
+            minInstancesPerNode=20,
             maxMemoryInMB=1024,
             cacheNodeIds=True,
             checkpointInterval=10,

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyguard.functions.numeric import spread
 from tallyguard.operators.bounded import broadcast_if_small, collect_small
 from tallyguard.session import stage
 from tallyguard.sources.schemas import LABEL
@@ -81,7 +82,7 @@ def stratified_split(
 def fit_scale(train: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and population standard deviation per column, in one pass."""
     numbers = [F.col(f"`{c}`").cast("double") for c in columns]
-    row = train.agg(*[F.struct(F.avg(x), F.stddev_pop(x)) for x in numbers]).first()
+    row = train.agg(*[F.struct(F.avg(x), spread(x)) for x in numbers]).first()
     return {c: tuple(pair) for c, pair in zip(columns, row)}
 
 

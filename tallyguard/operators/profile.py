@@ -37,13 +37,22 @@ def _long_from_one_row(one_row: DataFrame, fields: dict[str, list[str]]) -> Data
 
 
 def gold_summary(
-    df: DataFrame, label: str = LABEL, amount: str = "transaction_amount_million", mode: str = "exact"
+    df: DataFrame,
+    label: str = LABEL,
+    amount: str = "transaction_amount_million",
+    mode: str = "exact",
+    present: str | None = None,
 ) -> DataFrame:
-    """One row: transactions, frauds, mean amount. No input gives (0, NULL, NULL)."""
+    """One row: transactions, frauds, mean amount. No input gives (0, NULL, NULL).
+
+    With ``present`` only rows where that column has a value count. A condition inside the aggregates,
+    unlike a filter, does not make Spark evaluate a parsed column twice.
+    """
+    counted = F.col(present).isNotNull() if present else F.lit(True)
     return df.agg(
-        F.count("*").alias("transaction_count"),
-        F.sum(fraud_flag(F.col(label), mode)).alias("fraud_count"),
-        F.avg(amount).alias("avg_amount_million"),
+        F.count_if(counted).alias("transaction_count"),
+        F.sum(F.when(counted, fraud_flag(F.col(label), mode))).alias("fraud_count"),
+        F.avg(F.when(counted, F.col(amount))).alias("avg_amount_million"),
     )
 
 

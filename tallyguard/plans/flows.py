@@ -19,8 +19,8 @@ from tallyguard.sources.schemas import LABEL
 
 
 def bronze_to_gold(bronze: DataFrame) -> DataFrame:
-    """Filter, parse and summarise in one pass."""
-    return gold_summary(parse_for_summary(bronze))
+    """Parse once and summarise the messages that are transactions."""
+    return gold_summary(parse_for_summary(bronze), present="transaction_id")
 
 
 @dataclass

@@ -1,0 +1,163 @@
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tallyguard.operators import profile, quantiles
+from tallyguard.operators.bounded import broadcast_if_small, collect_small
+
+
+@pytest.fixture(scope="module")
+def frame():
+    """Five groups, one with a third of the rows; many ties, gaps, a constant column."""
+    rng = np.random.default_rng(3)
+    n = 6000
+    group = np.where(rng.random(n) < 0.34, "hot", rng.choice(["a", "b", "c", None], n))
+    values = np.where(rng.random(n) < 0.3, 5.0, rng.lognormal(1, 1, n).round(3))
+    values[rng.random(n) < 0.05] = np.nan
+    return pd.DataFrame({"g": group, "v": values, "w": rng.normal(size=n), "k": 7.0})
+
+
+@pytest.fixture(scope="module")
+def table(spark, frame):
+    rows = [
+        tuple(None if isinstance(x, float) and np.isnan(x) else x for x in row)
+        for row in frame.itertuples(index=False)
+    ]
+    return spark.createDataFrame(rows, "g string, v double, w double, k double").repartition(7).cache()
+
+
+@pytest.mark.parametrize("accuracy", [20, 100, 10_000])
+def test_grouped_quantiles_are_exact(table, frame, accuracy):
+    probs = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r["g"]: r for r in quantiles.grouped_quantiles(table, ["g"], "v", probs, accuracy).collect()}
+    assert set(got) == {"hot", "a", "b", "c", None}
+    for g, r in got.items():
+        part = frame[frame["g"].isna()] if g is None else frame[frame["g"] == g]
+        values = part["v"].dropna()
+        assert r["n"] == len(values)
+        assert np.allclose([r[f"q{i}"] for i in range(5)], values.quantile(probs), atol=1e-12)
+
+
+def test_column_quantiles_use_few_rows_of_a_large_column(spark):
+    df = spark.range(200_000).select(((F.col("id") * 7919) % 200_003).cast("double").alias("x"))
+    values = pd.Series((np.arange(200_000, dtype=np.int64) * 7919) % 200_003)
+    got = quantiles.column_quantiles(df, ["x"], [0.25, 0.5, 0.75], accuracy=500)["x"]
+    assert np.allclose(got, values.quantile([0.25, 0.5, 0.75]))
+
+
+def test_column_without_values(spark):
+    df = spark.createDataFrame([(None, 1.0)], "a double, b double")
+    assert quantiles.column_quantiles(df, ["a", "b"], [0.5]) == {"b": (1.0,)}
+
+
+def test_describe(table, frame):
+    got = {r["column"]: r for r in profile.describe_numeric(table, ["v", "w", "k"]).collect()}
+    expected = frame[["v", "w", "k"]].describe().T
+    for c in ("v", "w", "k"):
+        assert np.allclose(
+            [got[c][x] for x in ("count", "mean", "std", "min", "q25", "q50", "q75", "max")], expected.loc[c]
+        )
+    near = {r["column"]: r for r in profile.describe_numeric(table, ["w"], approx=True).collect()}["w"]
+    assert abs(near["q50"] - expected.loc["w", "50%"]) < 0.01
+
+
+def test_missing_and_cardinality(table, frame):
+    assert [tuple(r) for r in profile.missing_counts(table).collect()] == sorted(
+        [(c, int(frame[c].isna().sum())) for c in ("g", "v")], key=lambda p: -p[1]
+    )
+    exact = {r["column"]: r["n_unique"] for r in profile.cardinality(table).collect()}
+    assert exact == {c: frame[c].nunique(dropna=False) for c in frame}
+    near = {r["column"]: r["n_unique"] for r in profile.cardinality(table, ["g", "k"], approx=True).collect()}
+    assert near == {"g": 5, "k": 1}
+
+
+def test_label_distribution_and_ratio(spark):
+    df = spark.createDataFrame([(" Fraud",)] * 1 + [("Normal ",)] * 3 + [(None,)], "fraud_label string")
+    assert [tuple(r) for r in profile.label_distribution(df).collect()] == [("Normal", 3, 75.0), ("Fraud", 1, 25.0)]
+    assert tuple(profile.imbalance_ratio(df).first()) == (2, pytest.approx(1 / 3))
+    assert tuple(profile.imbalance_ratio(df.where("fraud_label = ' Fraud'")).first()) == (1, None)
+
+
+def test_topk_breaks_ties_by_value(spark):
+    df = spark.createDataFrame([("b",), ("a",), ("c",), ("c",), (None,), (None,), (None,)], "x string")
+    assert [tuple(r) for r in profile.topk_values(df, "x", 2).collect()] == [("c", 2), ("a", 1)]
+
+
+def test_histogram_matches_numpy(table, frame):
+    got = profile.histogram_by(table, "v", "g").collect()
+    values = frame["v"].dropna()
+    edges = np.linspace(values.min(), values.max(), 41)
+    counts, _ = np.histogram(values, bins=edges)
+    assert sum(r["n"] for r in got) == len(values)
+    mine = np.zeros(40, dtype=int)
+    for r in got:
+        mine[r["bin"] - 1] += r["n"]
+    assert (mine == counts).all()
+    assert None in {r["g"] for r in got}
+
+
+def test_histogram_of_a_constant_and_of_nothing(table):
+    assert {r["bin"] for r in profile.histogram_by(table, "k", "g").collect()} == {1}
+    assert profile.histogram_by(table.where("v IS NULL"), "v", "g").count() == 0
+
+
+def test_box_stats(table, frame):
+    got = {(r["scope"], r["g"]): r for r in profile.box_stats_by(table, "v", "g").collect()}
+    assert len(got) == 6
+    for (scope, g), r in got.items():
+        part = frame if scope == "overall" else frame[frame["g"].isna()] if g is None else frame[frame["g"] == g]
+        v = part["v"].dropna()
+        q1, q3 = v.quantile([0.25, 0.75])
+        low, high = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        inside = v[(v >= low) & (v <= high)]
+        assert np.allclose([r["whisker_low"], r["whisker_high"]], [inside.min(), inside.max()])
+        assert r["n_outliers"] == len(v) - len(inside)
+
+
+def test_correlation(table, frame):
+    got = {(r["x"], r["y"]): r["r"] for r in profile.corr_matrix(table, ["v", "w", "k"]).collect()}
+    assert got["v", "w"] == pytest.approx(frame["v"].corr(frame["w"]))
+    assert got["w", "v"] == got["v", "w"] and got["v", "v"] == pytest.approx(1.0)
+    assert got["v", "k"] is None and got["k", "k"] is None and len(got) == 9
+
+
+def test_rates(spark):
+    rows = [("x", "Fraud", 0), ("x", " Fraud", 1), ("y", "Normal", 1), ("y", None, 1), (None, "Fraud", 2)]
+    df = spark.createDataFrame(rows, "c string, fraud_label string, p int")
+    assert [tuple(r) for r in profile.fraud_rate_by(df, ["c"]).collect()] == [
+        ("c", "x", 1.0, 2, 100.0),
+        ("c", "y", 0.0, 1, 0.0),
+    ]
+    assert [tuple(r) for r in profile.crosstab_pct(df, "p").collect()] == [
+        (0, 0.0, 100.0),
+        (1, 50.0, 50.0),
+        (2, 0.0, 100.0),
+    ]
+    assert [tuple(r) for r in profile.rate_by_value(df, "p").collect()] == [(0, 100.0), (1, 50.0), (2, 100.0)]
+
+
+def test_monthly_label_rules(spark):
+    rows = [("2025-01-03", "Fraud"), ("2025-01-09", None), ("bad", "Fraud"), ("2025-02-01", "Normal")]
+    df = spark.createDataFrame(rows, "d string, fraud_label string")
+    as_normal = [(str(r["month"]), r["n"], r["rate_pct"]) for r in profile.monthly_trend(df, "d").collect()]
+    dropped = [(str(r["month"]), r["n"], r["rate_pct"]) for r in profile.monthly_trend(df, "d", missing_label="drop").collect()]
+    assert as_normal == [("2025-01-01", 2, 50.0), ("2025-02-01", 1, 0.0)]
+    assert dropped == [("2025-01-01", 1, 100.0), ("2025-02-01", 1, 0.0)]
+
+
+def test_outliers(table, frame):
+    v = frame["v"].dropna()
+    q1, q3 = v.quantile([0.25, 0.75])
+    out = ((v < q1 - 1.5 * (q3 - q1)) | (v > q3 + 1.5 * (q3 - q1))).sum()
+    summary = profile.iqr_outliers(table, "v").first()
+    assert summary["n_outliers"] == out and summary["n"] == len(v)
+    assert profile.flag_outliers(table, "v").agg(F.sum("is_outlier")).first()[0] == out
+
+
+def test_size_check(spark):
+    df = spark.range(50).withColumn("t", F.repeat(F.lit("x"), 100))
+    assert collect_small(df, max_rows=49) is None
+    assert collect_small(df, max_bytes=1000) is None
+    assert len(collect_small(df)) == 50
+    assert broadcast_if_small(df, max_rows=10) is df
