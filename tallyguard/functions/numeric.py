@@ -40,12 +40,3 @@ def spread(x: Column) -> Column:
     Merging partial results may leave a trace of rounding, so a constant is told by its extremes.
     """
     return F.when(F.min(x) == F.max(x), 0.0).otherwise(F.stddev_pop(x))
-
-
-def safe_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation over the rows where both are present; NULL for a constant column.
-
-    The built-in ``corr`` raises on a constant column in ANSI mode.
-    """
-    both = spread(F.when(y.isNotNull(), x)) * spread(F.when(x.isNotNull(), y))
-    return F.try_divide(F.covar_pop(x, y), both)

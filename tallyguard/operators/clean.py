@@ -47,10 +47,15 @@ def column_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
 
 
 def fit_medians(
-    df: DataFrame, exclude: Sequence[str] = (), approx: bool = False, accuracy: int = ACCURACY
+    df: DataFrame,
+    exclude: Sequence[str] = (),
+    approx: bool = False,
+    accuracy: int = ACCURACY,
+    gaps: Sequence[str] | None = None,
 ) -> dict[str, float]:
-    """Median of every numeric column that has a gap and a value."""
-    gaps = columns_with_gaps(df, [c for c in numeric_columns(df) if c not in exclude])
+    """Median of every numeric column that has a gap and a value; ``gaps`` if they are known already."""
+    columns = [c for c in numeric_columns(df) if c not in exclude]
+    gaps = columns_with_gaps(df, columns) if gaps is None else [c for c in columns if c in gaps]
     solve = approximate_quantiles if approx else column_quantiles
     return {c: q[0] for c, q in solve(df, gaps, [0.5], accuracy).items()}
 
@@ -61,9 +66,12 @@ def impute_median(df: DataFrame, medians: dict[str, float] | None = None, exclud
     return df.withColumns({c: F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(m)) for c, m in fill.items()})
 
 
-def fit_modes(df: DataFrame, exclude: Sequence[str] = ()) -> dict[str, str]:
-    """Fill text of every text column with a gap."""
-    gaps = columns_with_gaps(df, [c for c in text_columns(df) if c not in exclude])
+def fit_modes(
+    df: DataFrame, exclude: Sequence[str] = (), gaps: Sequence[str] | None = None
+) -> dict[str, str]:
+    """Fill text of every text column with a gap; ``gaps`` if they are known already."""
+    columns = [c for c in text_columns(df) if c not in exclude]
+    gaps = columns_with_gaps(df, columns) if gaps is None else [c for c in columns if c in gaps]
     return {**dict.fromkeys(gaps, UNKNOWN), **column_modes(df, gaps)}
 
 
@@ -91,4 +99,7 @@ def clean_table(df: DataFrame, label: str = LABEL, exclude: Sequence[str] = ())
     read them.
     """
     rows = stage(labelled_rows(df, label), "labelled_rows")
-    return impute_mode(impute_median(rows, exclude=exclude), exclude=exclude)
+    gaps = columns_with_gaps(rows, [*numeric_columns(rows), *text_columns(rows)])
+    medians = fit_medians(rows, exclude, gaps=gaps)
+    modes = fit_modes(rows, exclude, gaps=gaps)
+    return impute_mode(impute_median(rows, medians), modes, exclude)

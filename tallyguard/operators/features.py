@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from tallyguard.functions import dates
 from tallyguard.functions.numeric import guarded_ratio, log1p_amount
 from tallyguard.functions.text import yes_no_flag
-from tallyguard.operators.quantiles import column_quantiles
 from tallyguard.sources.schemas import YES_NO_COLUMNS
 
 NEW_COLUMNS = (
@@ -51,9 +50,9 @@ class FeatureColumns:
 
 
 def median_hour(df: DataFrame, time: str = "transaction_time") -> float | None:
-    """Median of the readable hours, the fill for unreadable ones."""
-    hours = df.select(dates.hour_of(F.col(time)).alias("hour"))
-    return column_quantiles(hours, ["hour"], [0.5]).get("hour", (None,))[0]
+    """Median of the readable hours, the fill for unreadable ones. Only 24 values are possible, so the
+    built-in exact median has a small state."""
+    return df.agg(F.median(dates.hour_of(F.col(time)))).first()[0]
 
 
 def filled_time(time: Column, hour_fill: float | None) -> tuple[Column, Column]:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyguard.functions.numeric import spread
-from tallyguard.operators.bounded import broadcast_if_small, collect_small
+from tallyguard.operators.bounded import MAX_ROWS, broadcast_if_small, collect_small
 from tallyguard.session import stage
 from tallyguard.sources.schemas import LABEL
 
@@ -120,7 +120,7 @@ def _distributed_codes(values: DataFrame) -> DataFrame:
     return ordered.join(parts.drop("n"), ["i", "part"]).select("i", "value", code.alias("code"))
 
 
-def category_codes(train: DataFrame, columns: Sequence[str], max_rows: int = 100_000) -> tuple[DataFrame, bool]:
+def category_codes(train: DataFrame, columns: Sequence[str], max_rows: int = MAX_ROWS) -> tuple[DataFrame, bool]:
     """(i, value, code) with the rank of each category in sorted order, and whether it is small."""
     pairs = F.array(
         *[F.struct(F.lit(i).alias("i"), F.col(f"`{c}`").alias("value")) for i, c in enumerate(columns)]
@@ -137,7 +137,7 @@ def category_codes(train: DataFrame, columns: Sequence[str], max_rows: int = 100
 
 
 def ordinal_encode(
-    train: DataFrame, df: DataFrame, columns: Sequence[str], max_rows: int = 100_000
+    train: DataFrame, df: DataFrame, columns: Sequence[str], max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """Text columns to the rank of their value among the sorted training values; unseen or missing −1."""
     codes, small = category_codes(train, columns, max_rows)

@@ -158,6 +158,6 @@ def test_outliers(table, frame):
 def test_size_check(spark):
     df = spark.range(50).withColumn("t", F.repeat(F.lit("x"), 100))
     assert collect_small(df, max_rows=49) is None
-    assert collect_small(df, max_bytes=1000) is None
+    assert collect_small(df, max_row_bytes=100) is None
     assert len(collect_small(df)) == 50
     assert broadcast_if_small(df, max_rows=10) is df
