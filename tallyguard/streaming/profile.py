@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tallyguard.functions.dates import DAY_US, WEEK_US
+from tallyguard.functions.dates import DAY_US, SECOND_US, WEEK_US, micros
 from tallyguard.operators.behaviour import HOT_ROWS, HistoryColumns, customer_profile
 from tallyguard.streaming.ingest import TRIGGER_SECONDS, triggered
 
@@ -31,13 +32,36 @@ def daily_counts(
     )
 
 
-def _written(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
     try:
-        return spark.read.schema(schema).parquet(path)
+        spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        return False
+    return True
+
+
+def _read_days(spark: SparkSession, path: str, days: Sequence[dt.date], schema: T.StructType) -> DataFrame:
+    """The rows of some days; days without a folder count as empty, and other days are not listed."""
+    folders = [f"{path}/day={day}" for day in days]
+    found = [folder for folder in folders if _exists(spark, folder, schema)]
+    if not found:
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*found)
+
+
+def _read_newest(spark: SparkSession, folder: str, batch_id: int) -> int | None:
+    """The newest moment seen before a batch, in microseconds."""
+    if batch_id == 0:
+        return None
+    return spark.read.schema("newest long").parquet(f"{folder}/slot={(batch_id - 1) % 2}").first()["newest"]
+
+
+def _write_newest(spark: SparkSession, folder: str, batch_id: int, newest: int | None) -> None:
+    """Two folders in turn, so that a repeated batch still finds what the batch before it wrote."""
+    row = spark.createDataFrame([(newest,)], "newest long")
+    row.write.mode("overwrite").parquet(f"{folder}/slot={batch_id % 2}")
 
 
 def profile_stream(
@@ -53,44 +77,44 @@ def profile_stream(
 ) -> StreamingQuery:
     """Append rows with trailing features, each micro-batch computed over itself and recent history.
 
-    The output, one folder per batch with a folder per day in it, is the history: a batch reads only the
-    days its frames reach. A repeated batch replaces its own folder. Rows later than ``delay_seconds``
-    behind the newest row written are dropped, and rows already written are never revised.
+    The output, a folder per day with a folder per batch in it, is the history: a batch reads only the
+    days its frames reach. A repeated batch replaces its own folders. Rows later than ``delay_seconds``
+    behind the newest row of earlier batches are dropped, and rows already written are never revised.
     """
     reach = max(REACH[f] for f in wanted)
-    ts = names.ts
     columns = transactions.schema
-    full = T.StructType(
-        [*columns.fields, T.StructField("batch", T.LongType()), T.StructField("day", T.DateType())]
+    stored = T.StructType(
+        [*columns.fields, T.StructField("day", T.DateType()), T.StructField("batch", T.LongType())]
     )
-    past = F.expr(f"INTERVAL {reach // 1_000_000} SECONDS")
-    late = F.expr(f"INTERVAL {delay_seconds} SECONDS")
+    newest_folder = f"{checkpoint.rstrip('/')}-newest"
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        start, first_day = batch.agg(F.min(F.col(ts) - past), F.to_date(F.min(F.col(ts) - past))).first()
-        if start is None:
-            return
-        history = (
-            _written(spark, path, full)
-            .where((F.col("batch") < batch_id) & (F.col("day") >= F.lit(first_day)))
-            .where(F.col(ts) >= F.lit(start).cast(columns[ts].dataType))
-            .select(*columns.names)
-        )
-        newest = history.agg(F.max(ts)).first()[0]
-        fresh = batch
-        if newest is not None:
-            fresh = batch.where(F.col(ts) >= F.lit(newest).cast(columns[ts].dataType) - late)
-        both = history.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)))
-        (
-            customer_profile(both, wanted, names, hot_rows)
-            .where("_new")
-            .drop("_new")
-            .withColumn("day", F.to_date(ts))
-            .write.mode("overwrite")
-            .partitionBy("day")
-            .parquet(f"{path}/batch={batch_id}")
-        )
+        newest = _read_newest(spark, newest_folder, batch_id)
+        moment = micros(batch, names.ts)
+        fresh = batch if newest is None else batch.where(moment >= newest - delay_seconds * SECOND_US)
+        first, last = fresh.agg(F.min(moment), F.max(moment)).first()
+        if first is not None:
+            epoch = dt.date(1970, 1, 1)
+            span = range((first - reach) // DAY_US, last // DAY_US + 1)
+            days = [epoch + dt.timedelta(days=d) for d in span]
+            history = _read_days(spark, path, days, stored)
+            history = history.where((F.col("batch") < batch_id) & (micros(history, names.ts) >= first - reach))
+            both = history.select(*columns.names, F.lit(False).alias("_new")).unionByName(
+                fresh.withColumn("_new", F.lit(True))
+            )
+            (
+                customer_profile(both, wanted, names, hot_rows)
+                .where("_new")
+                .drop("_new")
+                .withColumns({"day": F.to_date(names.ts), "batch": F.lit(batch_id).cast("bigint")})
+                .write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("day", "batch")
+                .parquet(path)
+            )
+        seen = [m for m in (newest, last) if m is not None]
+        _write_newest(spark, newest_folder, batch_id, max(seen) if seen else None)
 
     writer = transactions.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return triggered(writer, trigger_seconds, available_now).start()

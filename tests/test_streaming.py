@@ -135,3 +135,23 @@ def test_profile_drops_late_rows_and_keeps_written_ones(spark, tmp_path):
 def test_alerts_threshold(spark):
     df = spark.createDataFrame([(0.2,), (0.5,), (0.9,), (None,)], "fraud_probability double")
     assert score.stream_alerts(df).count() == 2 and score.stream_alerts(df, 0.8).count() == 1
+
+
+def test_a_repeated_profile_batch_changes_nothing(spark, tmp_path):
+    """The commit of the last batch is lost, as after a crash; the batch runs again."""
+    source, sink = str(tmp_path / "rows"), str(tmp_path / "out")
+    mark = tmp_path / "mark"
+    schema = "row int, customer_id double, ts timestamp_ntz, amount double, event_type string, fraud_label string"
+
+    def go():
+        stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
+        profile.profile_stream(stream, sink, str(mark), available_now=True).awaitTermination()
+        return sorted(map(str, spark.read.parquet(sink).collect()))
+
+    put(spark, source, [(i, 1.0, at(i * 600), float(i), "buy", None) for i in range(6)], schema)
+    go()
+    put(spark, source, [(i, 1.0, at(i * 600), float(i), "buy", None) for i in range(6, 9)], schema)
+    once = go()
+    for name in ("1", ".1.crc"):
+        (mark / "commits" / name).unlink(missing_ok=True)
+    assert go() == once and len(once) == 9
