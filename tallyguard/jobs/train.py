@@ -28,7 +28,7 @@ def main(argv: list[str] | None = None) -> None:
         write_csv(data.train.unionByName(data.test).drop("split"), args.features_path)
     model.save(args.model_path)
     board.show(truncate=False)
-    classification_report(score_batch(model.pipeline, data.test), LABEL, "predicted").show(truncate=False)
+    classification_report(score_batch(model, data.test), LABEL, "predicted").show(truncate=False)
     spark.stop()
 
 

@@ -14,17 +14,19 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tallyguard.operators.metrics import binary_metrics, roc_auc_value
-from tallyguard.operators.prepare import SEED, with_class_weights
-from tallyguard.session import scratch_path
+from tallyguard.operators.prepare import SEED, category_codes, with_class_weights
+from tallyguard.session import scratch_path, stage
 from tallyguard.sources.schemas import LABEL
 
 FEATURES = "features"
 WEIGHT = "weight"
 ERROR_LENGTH = 240
-# A string index lives in the driver and in the saved model; a column with more values than this is an
-# identifier and belongs to the excluded ones, or is encoded by the ordinal_encode operator beforehand.
-MAX_CATEGORIES = 100_000
+# A string index lives on the driver. Columns with more values than this are encoded by a join with a
+# dictionary table instead, with the same codes.
+MAX_CATEGORIES = 10_000
 
+PARAMETERS_SCHEMA = "hour_fill double, wide array<string>"
+CODES_SCHEMA = "i int, value string, code int"
 LEADERBOARD_SCHEMA = (
     "model string, accuracy double, precision double, recall double, f1 double, roc_auc double, error string"
 )
@@ -38,62 +40,81 @@ def _present(train: DataFrame, columns: Sequence[str]) -> list[str]:
     return [c for c, n in zip(columns, row) if n]
 
 
-def _check_categories(train: DataFrame, columns: Sequence[str]) -> None:
+def _wide_columns(train: DataFrame, columns: Sequence[str]) -> list[str]:
+    if not columns:
+        return []
     row = train.agg(*[F.approx_count_distinct(F.col(f"`{c}`")) for c in columns]).first()
-    wide = [c for c, n in zip(columns, row) if n > MAX_CATEGORIES]
-    if wide:
-        raise ValueError(f"too many categories in {wide}; exclude them or encode them with ordinal_encode")
+    return [c for c, n in zip(columns, row) if n > MAX_CATEGORIES]
+
 
+@dataclass
+class Preprocess:
+    """Fitted stages, and the dictionary (i, value, code) of the columns too wide for a string index."""
+
+    pipeline: PipelineModel
+    wide: list[str]
+    codes: DataFrame | None = None
 
-def fit_preprocess(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> PipelineModel:
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(encode_wide(df, self.wide, self.codes))
+
+
+def encode_wide(df: DataFrame, wide: Sequence[str], codes: DataFrame | None) -> DataFrame:
+    """Adds ``_o_<column>`` with the code of each wide column, −1 for an unseen or missing value."""
+    for i, c in enumerate(wide):
+        side = codes.where(F.col("i") == i).select(F.col("value").alias("_value"), F.col("code").alias("_code"))
+        code = F.coalesce(F.col("_code").cast("double"), F.lit(-1.0))
+        df = df.join(side, F.col(f"`{c}`") == F.col("_value"), "left").withColumn(f"_o_{c}", code)
+        df = df.drop("_value", "_code")
+    return df
+
+
+def fit_preprocess(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Preprocess:
     """Scaled numbers and ordinal categories in one vector.
 
     A missing number takes the training median, an unseen or missing category −1. The ordinal columns
     carry no category metadata, so trees split them as numbers.
     """
-    stages = []
     numeric, categorical = _present(train, numeric), _present(train, categorical)
-    current = train
+    wide = _wide_columns(train, categorical)
+    codes = stage(category_codes(train, wide)[0], "dictionary") if wide else None
+    narrow = [c for c in categorical if c not in wide]
+
+    steps = []
     if numeric:
         doubles = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `_n_{c}`" for c in numeric)
-        stages.append(SQLTransformer(statement=f"SELECT *, {doubles} FROM __THIS__"))
-        stages.append(
-            Imputer(
-                strategy="median",
-                inputCols=[f"_n_{c}" for c in numeric],
-                outputCols=[f"_f_{c}" for c in numeric],
-            )
-        )
-        stages.append(VectorAssembler(inputCols=[f"_f_{c}" for c in numeric], outputCol="_numbers"))
-        stages.append(StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True))
-    if categorical:
-        _check_categories(train, categorical)
-        stages.append(
+        filled = [f"_f_{c}" for c in numeric]
+        steps += [
+            SQLTransformer(statement=f"SELECT *, {doubles} FROM __THIS__"),
+            Imputer(strategy="median", inputCols=[f"_n_{c}" for c in numeric], outputCols=filled),
+            VectorAssembler(inputCols=filled, outputCol="_numbers"),
+            StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
+        ]
+    if narrow:
+        steps.append(
             StringIndexer(
-                inputCols=categorical,
-                outputCols=[f"_i_{c}" for c in categorical],
+                inputCols=narrow,
+                outputCols=[f"_i_{c}" for c in narrow],
                 stringOrderType="alphabetAsc",
                 handleInvalid="keep",
             )
         )
 
     fitted = []
-    for step in stages:
+    current = train
+    for step in steps:
         model = step.fit(current) if isinstance(step, Estimator) else step
         fitted.append(model)
         current = model.transform(current)
-        if isinstance(step, StringIndexer):
-            codes = ", ".join(
-                f"CASE WHEN `_i_{c}` >= {len(labels)} THEN -1.0 ELSE `_i_{c}` END AS `_o_{c}`"
-                for c, labels in zip(categorical, model.labelsArray)
-            )
-            mapped = SQLTransformer(statement=f"SELECT *, {codes} FROM __THIS__")
-            fitted.append(mapped)
-            current = mapped.transform(current)
-
+    if narrow:
+        mapped = ", ".join(
+            f"CASE WHEN `_i_{c}` >= {len(labels)} THEN -1.0 ELSE `_i_{c}` END AS `_o_{c}`"
+            for c, labels in zip(narrow, fitted[-1].labelsArray)
+        )
+        fitted.append(SQLTransformer(statement=f"SELECT *, {mapped} FROM __THIS__"))
     inputs = (["_scaled"] if numeric else []) + [f"_o_{c}" for c in categorical]
     fitted.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES))
-    return PipelineModel(fitted)
+    return Preprocess(PipelineModel(fitted), wide, codes)
 
 
 def candidates(
@@ -142,7 +163,7 @@ def candidates(
 class Matrices:
     """Preprocessed, weighted training rows and preprocessed test rows, held for several fits."""
 
-    preprocess: PipelineModel
+    preprocess: Preprocess
     train: DataFrame
     test: DataFrame
     rows: int
@@ -205,36 +226,50 @@ def best_candidate(board: DataFrame) -> str:
     return best["model"]
 
 
-def fit_final(
-    board: DataFrame, data: Matrices, shortlist: dict[str, Callable[[], Estimator]]
-) -> PipelineModel:
-    """The winner, fitted anew on the training rows, behind its preprocessing."""
-    return PipelineModel([*data.preprocess.stages, shortlist[best_candidate(board)]().fit(data.train)])
-
-
-def score_batch(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """The rows with ``fraud_probability`` and ``predicted``; for batch and stream."""
-    return model.transform(df).select(
-        *[F.col(f"`{c}`") for c in df.columns],
-        vector_to_array("probability")[1].alias("fraud_probability"),
-        F.col("prediction").cast("int").alias("predicted"),
-    )
-
-
 @dataclass
 class FraudModel:
-    """A fitted pipeline with the fill value that its features need."""
+    """A fitted pipeline, the fill value that its features need, and the dictionary of wide columns."""
 
     pipeline: PipelineModel
     hour_fill: float | None = None
+    wide: Sequence[str] = ()
+    codes: DataFrame | None = None
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.pipeline.transform(encode_wide(df, self.wide, self.codes))
 
     def save(self, path: str) -> None:
         self.pipeline.write().overwrite().save(f"{path}/pipeline")
         spark = SparkSession.active()
-        fill = spark.createDataFrame([(self.hour_fill,)], "hour_fill double")
-        fill.write.mode("overwrite").parquet(f"{path}/parameters")
+        parameters = spark.createDataFrame([(self.hour_fill, list(self.wide))], PARAMETERS_SCHEMA)
+        parameters.write.mode("overwrite").parquet(f"{path}/parameters")
+        if self.wide:
+            self.codes.write.mode("overwrite").parquet(f"{path}/dictionary")
 
     @classmethod
     def load(cls, path: str) -> "FraudModel":
-        fill = SparkSession.active().read.schema("hour_fill double").parquet(f"{path}/parameters").first()
-        return cls(PipelineModel.load(f"{path}/pipeline"), fill["hour_fill"])
+        spark = SparkSession.active()
+        hour_fill, wide = spark.read.schema(PARAMETERS_SCHEMA).parquet(f"{path}/parameters").first()
+        codes = spark.read.schema(CODES_SCHEMA).parquet(f"{path}/dictionary") if wide else None
+        return cls(PipelineModel.load(f"{path}/pipeline"), hour_fill, wide, codes)
+
+
+def fit_final(
+    board: DataFrame,
+    data: Matrices,
+    shortlist: dict[str, Callable[[], Estimator]],
+    hour_fill: float | None = None,
+) -> FraudModel:
+    """The winner, fitted anew on the training rows, behind its preprocessing."""
+    winner = shortlist[best_candidate(board)]().fit(data.train)
+    ready = data.preprocess
+    return FraudModel(PipelineModel([*ready.pipeline.stages, winner]), hour_fill, ready.wide, ready.codes)
+
+
+def score_batch(model: FraudModel, df: DataFrame) -> DataFrame:
+    """The rows with ``fraud_probability`` and ``predicted``; for batch and stream."""
+    return model.transform(df).select(
+        *[F.col(f"`{c}`") for c in df.columns],
+        vector_to_array("probability")[1].alias("fraud_probability"),
+        F.col("prediction").cast("int").alias("predicted"),
+    )

@@ -209,7 +209,7 @@ def small_model(data: TrainingSet, name: str = "logistic") -> models.FraudModel:
     try:
         shortlist = {name: models.candidates(ready.rows, small=True)[name]}
         board = models.leaderboard(ready, shortlist)
-        return models.FraudModel(models.fit_final(board, ready, shortlist), data.hour_fill)
+        return models.fit_final(board, ready, shortlist, data.hour_fill)
     finally:
         ready.release()
 
@@ -219,7 +219,7 @@ def fit_final(tables: Tables) -> DataFrame:
     """Test rows, and those to which the refitted winner gives a probability."""
     data = message_training(tables)
     model = small_model(data)
-    return models.score_batch(model.pipeline, data.test).agg(
+    return models.score_batch(model, data.test).agg(
         F.count("*").alias("n_rows"), F.count_if(F.col("fraud_probability").between(0, 1)).alias("n_scored")
     )
 
@@ -232,8 +232,8 @@ def save_load_model(tables: Tables) -> DataFrame:
     path = tables.scratch("model")
     model.save(path)
     loaded = models.FraudModel.load(path)
-    before = models.score_batch(model.pipeline, data.test).select("transaction_id", "fraud_probability", "predicted")
-    after = models.score_batch(loaded.pipeline, data.test).select(
+    before = models.score_batch(model, data.test).select("transaction_id", "fraud_probability", "predicted")
+    after = models.score_batch(loaded, data.test).select(
         "transaction_id", F.col("fraud_probability").alias("p"), F.col("predicted").alias("q")
     )
     same = (F.col("fraud_probability") == F.col("p")) & (F.col("predicted") == F.col("q"))
@@ -247,7 +247,7 @@ def save_load_model(tables: Tables) -> DataFrame:
 def score_batch(tables: Tables) -> DataFrame:
     """Test rows, those with a probability, and those whose label follows from it."""
     data = message_training(tables)
-    scored = models.score_batch(small_model(data).pipeline, data.test)
+    scored = models.score_batch(small_model(data), data.test)
     consistent = F.col("predicted") == F.when(F.col("fraud_probability") > 0.5, 1).otherwise(0)
     return scored.where(F.col(LABEL).isNotNull()).agg(
         F.count("*").alias("n_rows"),

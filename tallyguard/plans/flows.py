@@ -58,7 +58,7 @@ def train_best(data: TrainingSet, small: bool = False) -> tuple[DataFrame, model
     try:
         shortlist = models.candidates(ready.rows, small=small)
         board = models.leaderboard(ready, shortlist)
-        return board, models.FraudModel(models.fit_final(board, ready, shortlist), data.hour_fill)
+        return board, models.fit_final(board, ready, shortlist, data.hour_fill)
     finally:
         ready.release()
 

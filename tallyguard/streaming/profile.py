@@ -32,23 +32,15 @@ def daily_counts(
     )
 
 
-def _exists(spark: SparkSession, path: str, schema: T.StructType) -> bool:
+def _read_days(spark: SparkSession, path: str, days: Sequence[dt.date], schema: T.StructType) -> DataFrame:
+    """The rows of some days; days without a folder count as empty, and the files of others are not listed."""
+    folders = f"{path}/day={{{','.join(map(str, days))}}}"
     try:
-        spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).option("basePath", path).parquet(folders)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return False
-    return True
-
-
-def _read_days(spark: SparkSession, path: str, days: Sequence[dt.date], schema: T.StructType) -> DataFrame:
-    """The rows of some days; days without a folder count as empty, and other days are not listed."""
-    folders = [f"{path}/day={day}" for day in days]
-    found = [folder for folder in folders if _exists(spark, folder, schema)]
-    if not found:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).option("basePath", path).parquet(*found)
 
 
 def _read_newest(spark: SparkSession, folder: str, batch_id: int) -> int | None:

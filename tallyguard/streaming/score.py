@@ -14,7 +14,7 @@ THRESHOLD = 0.5
 def stream_score(model: FraudModel, transactions: DataFrame, names: FeatureColumns = FeatureColumns()) -> DataFrame:
     """Features with the fill values kept from training, then the fitted model; batch or stream."""
     features = feature_table(transactions, names, hour_fill=model.hour_fill)
-    return score_batch(model.pipeline, features)
+    return score_batch(model, features)
 
 
 def stream_alerts(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

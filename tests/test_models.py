@@ -71,21 +71,34 @@ def test_a_failing_candidate_keeps_its_row(data):
 def test_save_load_and_score(spark, split, data, tmp_path):
     shortlist = {"forest": models.candidates(data.rows, small=True)["forest"]}
     board = models.leaderboard(data, shortlist)
-    model = models.FraudModel(models.fit_final(board, data, shortlist), 12.5)
+    model = models.fit_final(board, data, shortlist, 12.5)
     model.save(str(tmp_path / "m"))
     model.save(str(tmp_path / "m"))
     loaded = models.FraudModel.load(str(tmp_path / "m"))
     assert loaded.hour_fill == 12.5
-    before = models.score_batch(model.pipeline, split[1])
-    after = models.score_batch(loaded.pipeline, split[1])
+    before = models.score_batch(model, split[1])
+    after = models.score_batch(loaded, split[1])
     assert before.columns == [*split[1].columns, "fraud_probability", "predicted"]
     assert before.count() == 120 and before.exceptAll(after).count() == 0
     report = classification_report(after, "fraud_label", "predicted")
     assert report.where("name = 'accuracy'").first()["f1"] > 0.7
 
 
-def test_too_many_categories(spark, monkeypatch):
-    monkeypatch.setattr(models, "MAX_CATEGORIES", 10)
-    df = spark.range(100).select(F.col("id").cast("string").alias("ip"), F.lit(1).alias("fraud_label"))
-    with pytest.raises(ValueError, match="ip"):
-        models.fit_preprocess(df, [], ["ip"])
+def test_wide_columns_get_the_same_codes_by_a_join(spark, split, monkeypatch, tmp_path):
+    rows = spark.createDataFrame([(0.5, "POS", 0), (0.5, "new", 1), (0.5, None, 0)], "amount double, kind string, fraud_label int")
+    vector = vector_to_array("features")
+    narrow = models.fit_preprocess(split[0], ["amount"], ["kind"])
+    monkeypatch.setattr(models, "MAX_CATEGORIES", 2)
+    data = models.prepare_matrices(*split, ["amount"], ["kind"])
+    assert narrow.wide == [] and data.preprocess.wide == ["kind"]
+    assert sorted(map(str, narrow.transform(rows).select(vector).collect())) == sorted(
+        map(str, data.preprocess.transform(rows).select(vector).collect())
+    )
+    shortlist = {"logistic": models.candidates(data.rows, small=True)["logistic"]}
+    model = models.fit_final(models.leaderboard(data, shortlist), data, shortlist)
+    model.save(str(tmp_path / "m"))
+    loaded = models.FraudModel.load(str(tmp_path / "m"))
+    assert loaded.wide == ["kind"]
+    assert models.score_batch(model, rows).exceptAll(models.score_batch(loaded, rows)).count() == 0
+    assert models.score_batch(loaded, rows).columns == ["amount", "kind", "fraud_label", "fraud_probability", "predicted"]
+    data.release()
