@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.operators.parse import parse_transactions
 from tallyguard.plans.flows import bronze_to_gold
 from tallyguard.plans.registry import query, r6, stamp
 from tallyguard.plans.tables import BRONZE_SQL, TXN_SQL, Tables
@@ -203,7 +202,3 @@ def publish_topic(tables: Tables) -> DataFrame:
         "transaction_id", "customer_id", "amount", "transaction_type", "home_city", "fraud_label"
     )
     return topic.to_messages(rows)
-
-
-def parsed_messages(tables: Tables) -> DataFrame:
-    return parse_transactions(topic.to_bronze(tables.messages()))

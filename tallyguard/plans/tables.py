@@ -26,14 +26,17 @@ class Tables:
         return scratch_path(self.spark, name)
 
     def transactions(self) -> DataFrame:
-        """Transactions made of events, with gaps, unreadable texts, stray labels and planted copies."""
+        """Transactions made of events, with gaps, unreadable texts, stray labels and planted copies.
+
+        The explode keeps Spark from repeating the JSON access in every condition on ``k``.
+        """
         events = self.read("events").selectExpr(
             "event_id",
             "user_id",
             "ts",
             "event_type",
             "value",
-            "CAST(get_json_object(props, '$.k') AS INT) AS k",
+            "explode(array(CAST(get_json_object(props, '$.k') AS INT))) AS k",
             "date_format(ts, 'HH:mm') AS hm",
             "date_format(ts, 'yyyy-MM-dd') AS ymd",
         )

@@ -1,7 +1,6 @@
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
 
 from tallyguard.operators import models
 from tallyguard.operators.metrics import classification_report
