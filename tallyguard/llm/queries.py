@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyguard.llm.exact import exact_groups
+from tallyguard.llm.packing import pack
 from tallyguard.llm.sharding import shard_rows
+from tallyguard.llm.token_files import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -49,3 +52,13 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     out = shard_rows(read(spark, folder, "documents"))
     law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     return out.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+@query("op4_packing")
+def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack(read(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op10_token_files")
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return round_trip(read(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
