@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tallyguard.llm.exact import exact_groups
 from tallyguard.llm.packing import pack
+from tallyguard.llm.pieces import encode_pieces
 from tallyguard.llm.sharding import shard_rows
 from tallyguard.llm.token_files import round_trip
 
@@ -62,3 +63,8 @@ def op4_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_token_files")
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return round_trip(read(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op8_pieces")
+def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return encode_pieces(read(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))

@@ -57,7 +57,9 @@ class Encoder:
                         self.pieces[piece] = found[i]
         out = b"".join(found)
         if len(self.pieces) > MEMORY_PIECES:
-            self.words, self.pieces = {}, {"": b""}
+            self.pieces = {"": b""}
+        if len(self.words) > MEMORY_PIECES:
+            self.words = {}
         return out
 
     def whole(self, text: str) -> bytes:
