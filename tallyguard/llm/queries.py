@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyguard.llm.exact import exact_groups
+from tallyguard.llm.metric import near_vectors
 from tallyguard.llm.packing import pack
 from tallyguard.llm.pieces import encode_pieces
 from tallyguard.llm.sharding import shard_rows
+from tallyguard.llm.simhash import simhash_groups
 from tallyguard.llm.token_files import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -68,3 +70,28 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_pieces")
 def op8_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return encode_pieces(read(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query(
+    "op1_embedding_near_dedup",
+    """WITH RECURSIVE good AS (
+          SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+          WHERE embedding IS NOT NULL AND len(embedding) > 0
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+            ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+        SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
+          least(e.vec_id, coalesce((SELECT min(r.b) FROM reach r WHERE r.a = e.vec_id), e.vec_id)) AS component_id,
+          e.vec_id <= coalesce((SELECT min(r.b) FROM reach r WHERE r.a = e.vec_id), e.vec_id) AS kept
+        FROM embeddings e""",
+)
+def op1_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(read(spark, folder, "embeddings"))
+
+
+@query("op3_simhash_near_dedup")
+def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_groups(read(spark, folder, "documents"))
