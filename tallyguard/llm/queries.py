@@ -8,6 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyguard.llm import langid, quality
 from tallyguard.llm.exact import exact_groups
 from tallyguard.llm.metric import near_vectors
 from tallyguard.llm.packing import pack
@@ -95,3 +96,16 @@ def op1_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_simhash_near_dedup")
 def op3_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_groups(read(spark, folder, "documents"))
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    out = langid.identify(read(spark, folder, "documents"), train=~langid.held_out())
+    return out.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query("op9_quality")
+def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
+    out = quality.classify(docs, labels, train=~quality.held_out())
+    return out.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
