@@ -6,6 +6,9 @@ import shutil
 import tempfile
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +16,8 @@ from tallyguard.session import stage
 
 #: monotonically_increasing_id keeps the partition above this bit and the row within it below.
 PART_BIT = 33
+#: Sums of all partitions meet in so many groups before they reach the driver.
+GROUPS = 32
 
 
 def ship(spark: SparkSession) -> None:
@@ -115,3 +120,30 @@ def _small_star(edges: DataFrame) -> DataFrame:
     least = down.groupBy("u").agg(F.min("v").alias("m"))
     tied = _with_least(down, least).where("v <> m").select(F.col("v").alias("node"), F.col("m").alias("root"))
     return tied.union(least.select(F.col("u").alias("node"), F.col("m").alias("root"))).distinct()
+
+
+def matrix(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def summed(rows: DataFrame, size: int, make) -> np.ndarray:
+    """The sum of one array per partition. Partitions meet in a bounded number of groups, one array reaches the
+    driver from each."""
+
+    def partial(batches):
+        total = np.zeros(size)
+        for batch in batches:
+            if batch.num_rows:
+                total += make(batch).ravel()
+        group = pa.array([TaskContext.get().partitionId() % GROUPS], pa.int32())
+        yield pa.RecordBatch.from_arrays([group, pa.array([total], pa.list_(pa.float64()))], ["part", "total"])
+
+    def together(group: pa.Table) -> pa.Table:
+        total = np.zeros(size)
+        for chunk in group["total"].chunks:
+            total += matrix(chunk).sum(axis=0)
+        return pa.Table.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["total"])
+
+    partials = rows.mapInArrow(partial, "part int, total array<double>")
+    groups = partials.groupBy("part").applyInArrow(together, "total array<double>").collect()
+    return np.sum([g["total"] for g in groups], axis=0) if groups else np.zeros(size)

@@ -6,11 +6,10 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.base import remainder, ship, stage
+from tallyguard.llm.base import matrix, remainder, ship, stage, summed
 
 CUT = 0.7
 FEATURES = 256
@@ -19,7 +18,6 @@ SEED = 9
 BINS = 4096
 #: Raw scores are binned over this range; labels are 0 and 1, so scores hardly leave it and are clipped to it.
 RANGE = (-1.0, 2.0)
-GROUPS = 32
 
 STATISTICS = (
     "log_chars letters uppers digits blanks lines stops marks symbols pipes word_length long_words capital_words "
@@ -89,10 +87,6 @@ def with_statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return source.mapInArrow(measured, f"id {kind}, x array<double>")
 
 
-def matrix(column: pa.Array) -> np.ndarray:
-    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
-
-
 class Kernel:
     """Cosines of random projections: their products approximate a Gaussian kernel of the scaled statistics."""
 
@@ -109,29 +103,6 @@ class Kernel:
         return np.concatenate([z, np.ones((len(z), 1))], axis=1)
 
 
-def summed(rows: DataFrame, size: int, make) -> np.ndarray:
-    """The sum of one array per partition. Partitions meet in a bounded number of groups, one array reaches the
-    driver from each."""
-
-    def partial(batches):
-        total = np.zeros(size)
-        for batch in batches:
-            if batch.num_rows:
-                total += make(batch).ravel()
-        group = pa.array([TaskContext.get().partitionId() % GROUPS], pa.int32())
-        yield pa.RecordBatch.from_arrays([group, pa.array([total], pa.list_(pa.float64()))], ["part", "total"])
-
-    def together(group: pa.Table) -> pa.Table:
-        total = np.zeros(size)
-        for chunk in group["total"].chunks:
-            total += matrix(chunk).sum(axis=0)
-        return pa.Table.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["total"])
-
-    partials = rows.mapInArrow(partial, "part int, total array<double>")
-    groups = partials.groupBy("part").applyInArrow(together, "total array<double>").collect()
-    return np.sum([g["total"] for g in groups], axis=0) if groups else np.zeros(size)
-
-
 class Calibration:
     """Raw score to probability: the non-decreasing steps closest to the labels, over bins of the raw score."""
 

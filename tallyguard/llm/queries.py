@@ -8,7 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import langid, quality
+from tallyguard.llm import langid, pitman_yor, quality
 from tallyguard.llm.exact import exact_groups
 from tallyguard.llm.metric import near_vectors
 from tallyguard.llm.packing import pack
@@ -109,3 +109,9 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = read(spark, folder, "documents"), read(spark, folder, "labels")
     out = quality.classify(docs, labels, train=~quality.held_out())
     return out.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query("op6_lm_scoring")
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    out = pitman_yor.score_documents(read(spark, folder, "documents"), ~pitman_yor.held_out())
+    return out.withColumn("held_out", pitman_yor.held_out())
