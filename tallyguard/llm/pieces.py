@@ -161,8 +161,9 @@ class PieceModel:
         return [i for u in self.units.findall(self.marked(text)) for i in self.unit(u)]
 
     def decode(self, ids: list[int]) -> str:
+        """The text of any ids; the mark that starts the first piece is the one put before every text."""
         text = self.spelt(ids)
-        return text[1:] if text.startswith(" ") else text
+        return text[1:] if ids and self.pieces[ids[0]].startswith(SPACE) else text
 
 
 def replaced(data: bytes) -> str:

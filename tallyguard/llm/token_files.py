@@ -161,7 +161,7 @@ def arrow_fields(spark: SparkSession, ddl: str):
 
 
 def make_table(counts: list[tuple[int, int]]) -> rans.Table:
-    pairs = np.array(counts, "int64").reshape(-1, 2)
+    pairs = np.array(counts or [(0, 1)], "int64")
     return rans.Table(pairs[:, 0], pairs[:, 1])
 
 
