@@ -3,7 +3,7 @@
 Every feature is a function of (customer, instant): frames are ranges of time, so transactions at the
 same instant see the same history, the current instant included.
 
-Two plans give the same result. Customers with a moderate history use plain range windows, one shuffle
+Two plans give the same result, bit for bit: means are of exact decimal sums. Customers with a moderate history use plain range windows, one shuffle
 by customer. A customer with more rows than ``hot_rows`` would put them all in one task, with sliding
 frames whose cost grows with the square of the frame. Such customers take another way: rows merge by
 instant before the shuffle, trailing counts become running totals (+n when it happens, -n when it
@@ -25,6 +25,9 @@ from tallyguard.operators.bounded import collect_small
 
 HOT_ROWS = 100_000
 CHUNK_US = 60 * SECOND_US
+# Amounts below 10^14 and their sums below 10^26, to 10^-12.
+EXACT = "decimal(26,12)"
+EXACT_SUM = "decimal(38,12)"
 
 FEATURES = ("daily_count", "weekly_count", "avg_amount", "max_24h", "failed_count", "prev_fraud")
 
@@ -44,6 +47,11 @@ class HistoryColumns:
         return F.when(F.expr(condition), 1).otherwise(0).cast("bigint")
 
 
+def exact(amount: str) -> Column:
+    """An amount with twelve decimals, so that sums don't depend on the order of the rows."""
+    return F.col(amount).cast(EXACT)
+
+
 def _plain_windows(df: DataFrame, names: HistoryColumns, wanted: Sequence[str]) -> DataFrame:
     """``df`` holds ``_us``; range windows by customer."""
     history = Window.partitionBy(names.customer).orderBy("_us")
@@ -56,7 +64,9 @@ def _plain_windows(df: DataFrame, names: HistoryColumns, wanted: Sequence[str])
     )
     makers = {
         "weekly_count": lambda: F.count("*").over(history.rangeBetween(-WEEK_US, 0)),
-        "avg_amount": lambda: F.avg(names.amount).over(to_date),
+        "avg_amount": lambda: F.try_divide(
+            F.sum(exact(names.amount)).over(to_date).cast("double"), F.count(names.amount).over(to_date)
+        ),
         "max_24h": lambda: F.max(names.amount).over(last_day),
         "failed_count": lambda: F.sum(names.flag(names.failed)).over(last_day),
         "prev_fraud": lambda: F.coalesce(
@@ -73,7 +83,7 @@ def _chunked_history(df: DataFrame, names: HistoryColumns) -> DataFrame:
     who = names.customer
     instants = df.groupBy(who, "_us").agg(
         F.count("*").alias("n"),
-        F.sum(names.amount).alias("amount_sum"),
+        F.sum(exact(names.amount)).alias("amount_sum"),
         F.count(names.amount).alias("amount_n"),
         F.max(names.amount).alias("amount_max"),
         F.sum(names.flag(names.failed)).alias("failed"),
@@ -87,7 +97,7 @@ def _chunked_history(df: DataFrame, names: HistoryColumns) -> DataFrame:
             "week": "bigint",
             "failed": "bigint",
             "fraud": "bigint",
-            "amount_sum": "double",
+            "amount_sum": EXACT_SUM,
             "amount_n": "bigint",
             "head_max": "double",
             "tail_max": "double",
@@ -120,8 +130,12 @@ def _chunked_history(df: DataFrame, names: HistoryColumns) -> DataFrame:
     day = start_of(F.col("chunk"), DAY_US)
 
     sums = ("week", "failed", "fraud", "amount_sum", "amount_n")
+
+    def kind(name: str) -> str:
+        return EXACT_SUM if name == "amount_sum" else "bigint"
+
     chunks = line.groupBy(who, "chunk").agg(
-        *[F.sum(c).alias(c) for c in ("n", *sums)], F.max("head_max").alias("head_max"), F.max("tail_max").alias("tail_max")
+        *[F.sum(c).cast(kind(c)).alias(c) for c in ("n", *sums)], F.max("head_max").alias("head_max"), F.max("tail_max").alias("tail_max")
     )
     earlier = Window.partitionBy(who).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     earlier_today = Window.partitionBy(who, day).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
@@ -129,7 +143,7 @@ def _chunked_history(df: DataFrame, names: HistoryColumns) -> DataFrame:
     before = chunks.select(
         F.col(who).alias("_who"),
         F.col("chunk").alias("_chunk"),
-        *[F.sum(c).over(earlier).alias(f"before_{c}") for c in sums],
+        *[F.sum(c).over(earlier).cast(kind(c)).alias(f"before_{c}") for c in sums],
         F.sum("n").over(earlier_today).alias("before_n"),
         F.max("head_max").over(earlier_today).alias("before_head_max"),
         F.max("tail_max").over(later_today).alias("after_tail_max"),
@@ -151,7 +165,7 @@ def _chunked_history(df: DataFrame, names: HistoryColumns) -> DataFrame:
         "current",
         total("n").alias("daily_count"),
         total("week").alias("weekly_count"),
-        F.try_divide(total("amount_sum"), total("amount_n")).alias("avg_amount"),
+        F.try_divide(total("amount_sum").cast("double"), total("amount_n")).alias("avg_amount"),
         F.greatest(
             F.max("head_max").over(upto),
             "before_head_max",

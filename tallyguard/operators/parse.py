@@ -30,19 +30,20 @@ def parse_transactions(
 def parse_for_summary(
     bronze: DataFrame, payload: str = "raw_json", amount: str = "transaction_amount_million"
 ) -> DataFrame:
-    """The id, label and amount of every message, with one parse of its JSON.
+    """The id as text, the label and the amount of every message.
 
-    The id is read as text because only its presence counts; it is NULL where there is no transaction.
+    The id follows the rule of ``filter_transactions``, its path in the JSON; it is NULL where there is no
+    transaction. Label and amount come from one typed parse.
     """
     schema = T.StructType(
         [
-            T.StructField("transaction_id", T.StringType()),
             T.StructField(LABEL, T.StringType()),
             T.StructField(amount, T.DoubleType()),
         ]
     )
     parsed = F.from_json(payload, schema, PERMISSIVE).alias("t")
-    return bronze.select(parsed).select("t.*")
+    found = F.get_json_object(payload, "$.transaction_id").alias("transaction_id")
+    return bronze.select(found, parsed).select("transaction_id", "t.*")
 
 
 def with_fraud_flag(df: DataFrame, label: str | Column = LABEL, mode: str = "exact") -> DataFrame:

@@ -11,13 +11,14 @@ from tallyguard.functions.dates import month_bucket, parse_date
 from tallyguard.functions.labels import fraud_flag
 from tallyguard.functions.numeric import numeric_columns, spread
 from tallyguard.functions.text import strip
-from tallyguard.operators.bounded import broadcast_if_small
+from tallyguard.operators.bounded import broadcast_if_small, collect_small
 from tallyguard.operators.quantiles import (
     ACCURACY,
     approximate_quantiles,
     column_quantiles,
     grouped_quantiles,
 )
+from tallyguard.session import stage
 from tallyguard.sources.schemas import LABEL
 
 IQR_REACH = 1.5
@@ -123,13 +124,15 @@ def describe_numeric(
 def label_distribution(df: DataFrame, label: str = LABEL) -> DataFrame:
     """(label, n, pct) per stripped label present, most first."""
     labels = df.where(F.col(label).isNotNull()).select(strip(F.col(label).cast("string")).alias("label"))
-    total = labels.agg(F.count("*")).scalar()
-    return (
-        labels.groupBy("label")
-        .agg(F.count("*").alias("n"))
-        .withColumn("pct", F.round(F.col("n") * 100 / total, 2))
-        .orderBy(F.desc("n"), "label")
-    )
+    counts = labels.groupBy("label").agg(F.count("*").alias("n"))
+    few = collect_small(counts)
+    if few is None:
+        counts = stage(counts, "label_counts")
+        total = counts.agg(F.sum("n")).scalar()
+    else:
+        counts = df.sparkSession.createDataFrame(few, counts.schema)
+        total = F.lit(sum(r["n"] for r in few))
+    return counts.withColumn("pct", F.round(F.col("n") * 100 / total, 2)).orderBy(F.desc("n"), "label")
 
 
 def imbalance_ratio(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -145,8 +148,14 @@ def imbalance_ratio(df: DataFrame, label: str = LABEL) -> DataFrame:
     )
 
 
+def value_text(df: DataFrame, name: str) -> Column:
+    """A value as text, the two zeros of a floating-point column alike."""
+    fraction = df.schema[name].dataType.typeName() in ("float", "double")
+    return (_quoted(name) + F.lit(0.0) if fraction else _quoted(name)).cast("string")
+
+
 def cardinality(df: DataFrame, columns: Sequence[str] | None = None, approx: bool = False) -> DataFrame:
-    """(column, n_unique), a missing value counted as one value, most first.
+    """(column, n_unique), a missing value counted as one value and −0.0 as 0.0, most first.
 
     Exact: one pass makes (column, value) pairs, merges them before the shuffle, and counts. With
     ``approx`` a sketch per column does without the shuffle.
@@ -166,7 +175,7 @@ def cardinality(df: DataFrame, columns: Sequence[str] | None = None, approx: boo
     else:
         pairs = F.array(
             *[
-                F.struct(F.lit(i).alias("i"), _quoted(c).cast("string").alias("value"))
+                F.struct(F.lit(i).alias("i"), value_text(df, c).alias("value"))
                 for i, c in enumerate(columns)
             ]
         )
@@ -311,21 +320,28 @@ def fraud_rate_by(df: DataFrame, columns: Sequence[str], label: str = LABEL) ->
     )
 
 
-def iqr_bounds(df: DataFrame, value: str) -> tuple[float, float]:
-    """q1 − 1.5 IQR and q3 + 1.5 IQR of a column."""
-    q1, q3 = column_quantiles(df, [value], [0.25, 0.75])[value]
+def iqr_bounds(df: DataFrame, value: str) -> tuple[float | None, float | None]:
+    """q1 − 1.5 IQR and q3 + 1.5 IQR of a column; None without values."""
+    found = column_quantiles(df, [value], [0.25, 0.75])
+    if value not in found:
+        return None, None
+    q1, q3 = found[value]
     reach = (q3 - q1) * IQR_REACH
     return q1 - reach, q3 + reach
 
 
+def _outside(v: Column, low: float | None, high: float | None) -> Column:
+    return (v < F.lit(low).cast("double")) | (v > F.lit(high).cast("double"))
+
+
 def iqr_outliers(df: DataFrame, value: str) -> DataFrame:
     """One row: the bounds, the values strictly outside them, and their percentage."""
     low, high = iqr_bounds(df, value)
     v = _quoted(value)
-    outside = F.count_if((v < low) | (v > high))
+    outside = F.count_if(_outside(v, low, high))
     return df.agg(
-        F.lit(low).alias("low"),
-        F.lit(high).alias("high"),
+        F.lit(low).cast("double").alias("low"),
+        F.lit(high).cast("double").alias("high"),
         F.count(v).alias("n"),
         outside.alias("n_outliers"),
         F.try_divide(outside * 100, F.count(v)).alias("pct_outliers"),
@@ -336,7 +352,7 @@ def flag_outliers(df: DataFrame, value: str) -> DataFrame:
     """The rows with ``is_outlier`` 0 or 1; a missing value is no outlier."""
     low, high = iqr_bounds(df, value)
     v = _quoted(value)
-    return df.withColumn("is_outlier", F.when((v < low) | (v > high), 1).otherwise(0))
+    return df.withColumn("is_outlier", F.when(_outside(v, low, high), 1).otherwise(0))
 
 
 def monthly_trend(

@@ -34,10 +34,10 @@ def impute_mode(tables: Tables) -> DataFrame:
 
 
 @query(
-    "clean_table",
+    "clean_pipeline",
     f"""WITH {CLEAN_SQL}
 SELECT transaction_id, customer_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS ts, round(amount + 1e-9, 6) + 0.0 AS amount, transaction_time,
        transaction_date, transaction_type, merchant_id, home_city, txn_city, is_new_merchant, fraud_label FROM clean""",
 )
-def clean_table(tables: Tables) -> DataFrame:
+def clean_pipeline(tables: Tables) -> DataFrame:
     return clean.clean_table(tables.transactions()).withColumns({"ts": stamp("ts"), "amount": r6("amount")})

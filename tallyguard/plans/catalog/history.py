@@ -89,26 +89,27 @@ def prof_prev_fraud(tables: Tables) -> DataFrame:
 
 @query(
     "prof_international",
-    """SELECT l_orderkey, l_linenumber, l_partkey, c_nationkey, s_nationkey,
+    """WITH lines AS (SELECT l_orderkey, l_linenumber, l_partkey, s_nationkey,
+         CASE WHEN l_orderkey % 50 = 0 THEN 99 ELSE c_nationkey END AS c_nationkey
+       FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+            JOIN supplier ON s_suppkey = l_suppkey)
+SELECT l_orderkey, l_linenumber, l_partkey, c_nationkey, s_nationkey,
        CASE WHEN h.n_regionkey <> a.n_regionkey THEN 'Yes' WHEN h.n_regionkey = a.n_regionkey THEN 'No' END
        AS is_international_transaction
-FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
-     JOIN supplier ON s_suppkey = l_suppkey
-     LEFT JOIN (SELECT * FROM nation WHERE n_name <> 'FRANCE') h ON h.n_nationkey = c_nationkey
-     LEFT JOIN (SELECT * FROM nation WHERE n_name <> 'FRANCE') a ON a.n_nationkey = s_nationkey""",
+FROM lines LEFT JOIN nation h ON h.n_nationkey = c_nationkey LEFT JOIN nation a ON a.n_nationkey = s_nationkey""",
 )
 def prof_international(tables: Tables) -> DataFrame:
-    """A line is international where customer and supplier live in different regions; one nation is
-    unknown to the place table."""
+    """A line is international where customer and supplier live in different regions; some lines hold a
+    nation that the place table doesn't know."""
     lines = (
         tables.read("lineitem")
         .join(tables.read("orders"), F.col("o_orderkey") == F.col("l_orderkey"))
         .join(tables.read("customer"), F.col("c_custkey") == F.col("o_custkey"))
         .join(tables.read("supplier"), F.col("s_suppkey") == F.col("l_suppkey"))
+        .withColumn("c_nationkey", F.expr("CASE WHEN l_orderkey % 50 = 0 THEN 99 ELSE c_nationkey END"))
         .select("l_orderkey", "l_linenumber", "l_partkey", "c_nationkey", "s_nationkey")
     )
-    places = tables.read("nation").where("n_name <> 'FRANCE'")
-    places = places.selectExpr("n_nationkey AS place", "n_regionkey AS country")
+    places = tables.read("nation").selectExpr("n_nationkey AS place", "n_regionkey AS country")
     return behaviour.international(lines, places, "c_nationkey", "s_nationkey")
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -25,6 +27,26 @@ def build_session(app: str, master: str | None = None, **settings: str) -> Spark
     return builder.getOrCreate()
 
 
+def run_until_stopped(spark: SparkSession, *queries: StreamingQuery) -> None:
+    """Wait for streams until one ends or the user interrupts, then end the session.
+
+    An interrupt stops every stream at the end of its micro-batch; a stream that failed raises here.
+    """
+    with contextlib.closing(_Closing(spark, queries)), contextlib.suppress(KeyboardInterrupt):
+        spark.streams.awaitAnyTermination()
+
+
+class _Closing:
+    def __init__(self, spark: SparkSession, queries: tuple[StreamingQuery, ...]):
+        self.spark, self.queries = spark, queries
+
+    def close(self) -> None:
+        for query in self.queries:
+            if query.isActive:
+                query.stop()
+        self.spark.stop()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the checkpoint folder that the session names.
 

@@ -33,44 +33,36 @@ BRONZE_SCHEMA = StructType(
     ]
 )
 
-# The keys of a transaction message, with "number" or "text" for each. The label comes
-# last; a message may lack it.
-MESSAGE_FIELDS = """
-    transaction_id number
-    customer_id number
-    transaction_amount_million number
-    transaction_time text
-    transaction_date text
-    transaction_type text
-    merchant_id number
-    merchant_category text
-    transaction_location text
-    customer_home_location text
-    distance_from_home number
-    device_id number
-    ip_address text
-    card_type text
-    account_balance_million number
-    daily_transaction_count number
-    weekly_transaction_count number
-    avg_transaction_amount_million number
-    max_transaction_last_24h_million number
-    is_international_transaction text
-    is_new_merchant text
-    failed_transaction_count number
-    unusual_time_transaction text
-    previous_fraud_count number
-    fraud_label text
-"""
-
-
-def _schema(lines: str) -> StructType:
-    kinds = {"number": DoubleType(), "text": StringType()}
-    pairs = (line.split() for line in lines.strip().splitlines())
-    return StructType([StructField(name, kinds[kind]) for name, kind in pairs])
-
-
-TRANSACTION_SCHEMA = _schema(MESSAGE_FIELDS)
+# The fields of a transaction message. The label comes last; a message may lack it.
+TRANSACTION_SCHEMA = StructType(
+    [
+        StructField("transaction_id", DoubleType()),
+        StructField("customer_id", DoubleType()),
+        StructField("transaction_amount_million", DoubleType()),
+        StructField("transaction_time", StringType()),
+        StructField("transaction_date", StringType()),
+        StructField("transaction_type", StringType()),
+        StructField("merchant_id", DoubleType()),
+        StructField("merchant_category", StringType()),
+        StructField("transaction_location", StringType()),
+        StructField("customer_home_location", StringType()),
+        StructField("distance_from_home", DoubleType()),
+        StructField("device_id", DoubleType()),
+        StructField("ip_address", StringType()),
+        StructField("card_type", StringType()),
+        StructField("account_balance_million", DoubleType()),
+        StructField("daily_transaction_count", DoubleType()),
+        StructField("weekly_transaction_count", DoubleType()),
+        StructField("avg_transaction_amount_million", DoubleType()),
+        StructField("max_transaction_last_24h_million", DoubleType()),
+        StructField("is_international_transaction", StringType()),
+        StructField("is_new_merchant", StringType()),
+        StructField("failed_transaction_count", DoubleType()),
+        StructField("unusual_time_transaction", StringType()),
+        StructField("previous_fraud_count", DoubleType()),
+        StructField("fraud_label", StringType()),
+    ]
+)
 
 # Roles of the columns in the feature and model steps.
 LABEL = "fraud_label"
