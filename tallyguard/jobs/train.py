@@ -18,10 +18,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--model-path", required=True)
     parser.add_argument("--clean-path", help="write the clean table here as CSV")
     parser.add_argument("--features-path", help="write the feature table here as CSV")
-    parser.add_argument("--small", action="store_true", help="smaller ensembles, for a quick look")
     args = parser.parse_args(argv)
     spark = build_session("tallyguard-train")
-    cleaned, data, board, model = clean_and_train(read_transactions_csv(spark, args.csv), small=args.small)
+    cleaned, data, board, model = clean_and_train(read_transactions_csv(spark, args.csv))
     if args.clean_path:
         write_csv(cleaned, args.clean_path)
     if args.features_path:

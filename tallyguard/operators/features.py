@@ -12,6 +12,7 @@ from tallyguard.functions.numeric import guarded_ratio, log1p_amount
 from tallyguard.functions.text import yes_no_flag
 from tallyguard.sources.schemas import YES_NO_COLUMNS
 
+# The names of the feature columns.
 NEW_COLUMNS = (
     "transaction_dt",
     "order_date_dt",

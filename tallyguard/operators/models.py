@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import Imputer, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from tallyguard.operators.metrics import binary_metrics, roc_auc_value
-from tallyguard.operators.prepare import SEED, category_codes, with_class_weights
+from tallyguard.operators.prepare import SEED, category_codes, fit_scale, with_class_weights
+from tallyguard.operators.quantiles import column_quantiles
 from tallyguard.session import scratch_path, stage
 from tallyguard.sources.schemas import LABEL
 
@@ -24,6 +26,7 @@ ERROR_LENGTH = 240
 # A string index lives on the driver. Columns with more values than this are encoded by a join with a
 # dictionary table instead, with the same codes.
 MAX_CATEGORIES = 10_000
+ROWS_PER_TASK = 50_000
 
 PARAMETERS_SCHEMA = "hour_fill double, wide array<string>"
 CODES_SCHEMA = "i int, value string, code int"
@@ -69,11 +72,20 @@ def encode_wide(df: DataFrame, wide: Sequence[str], codes: DataFrame | None) ->
     return df
 
 
+def _scaled_numbers(train: DataFrame, numeric: Sequence[str]) -> dict[str, str]:
+    """SQL of every number: a missing one takes the exact median; centred, in units of the population deviation."""
+    filled = {}
+    for c, (median,) in column_quantiles(train, numeric, [0.5]).items():
+        filled[c] = f"coalesce(CAST(`{c}` AS DOUBLE), {median!r}D)"
+    scale = fit_scale(train.select(*[F.expr(text).alias(c) for c, text in filled.items()]), list(filled))
+    return {c: f"(({filled[c]} - ({mean!r}D)) / {(deviation or 1.0)!r}D)" for c, (mean, deviation) in scale.items()}
+
+
 def fit_preprocess(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Preprocess:
     """Scaled numbers and ordinal categories in one vector.
 
-    A missing number takes the training median, an unseen or missing category −1. The ordinal columns
-    carry no category metadata, so trees split them as numbers.
+    A missing number takes the exact training median, and numbers are scaled by their population
+    deviation; an unseen or missing category is −1. The ordinal columns carry no category metadata, so trees split them as numbers.
     """
     numeric, categorical = _present(train, numeric), _present(train, categorical)
     wide = _wide_columns(train, categorical)
@@ -82,14 +94,8 @@ def fit_preprocess(train: DataFrame, numeric: Sequence[str], categorical: Sequen
 
     steps = []
     if numeric:
-        doubles = ", ".join(f"CAST(`{c}` AS DOUBLE) AS `_n_{c}`" for c in numeric)
-        filled = [f"_f_{c}" for c in numeric]
-        steps += [
-            SQLTransformer(statement=f"SELECT *, {doubles} FROM __THIS__"),
-            Imputer(strategy="median", inputCols=[f"_n_{c}" for c in numeric], outputCols=filled),
-            VectorAssembler(inputCols=filled, outputCol="_numbers"),
-            StandardScaler(inputCol="_numbers", outputCol="_scaled", withMean=True, withStd=True),
-        ]
+        scaled = ", ".join(f"{text} AS `_s_{c}`" for c, text in _scaled_numbers(train, numeric).items())
+        steps.append(SQLTransformer(statement=f"SELECT *, {scaled} FROM __THIS__"))
     if narrow:
         steps.append(
             StringIndexer(
@@ -112,24 +118,21 @@ def fit_preprocess(train: DataFrame, numeric: Sequence[str], categorical: Sequen
             for c, labels in zip(narrow, fitted[-1].labelsArray)
         )
         fitted.append(SQLTransformer(statement=f"SELECT *, {mapped} FROM __THIS__"))
-    inputs = (["_scaled"] if numeric else []) + [f"_o_{c}" for c in categorical]
+    inputs = [f"_s_{c}" for c in numeric] + [f"_o_{c}" for c in categorical]
     fitted.append(VectorAssembler(inputCols=inputs, outputCol=FEATURES))
     return Preprocess(PipelineModel(fitted), wide, codes)
 
 
-def candidates(
-    rows: int, seed: int = SEED, small: bool = False, hist_rounds: int = 200
-) -> dict[str, Callable[[], Estimator]]:
-    """The shortlist by name; ``small`` shrinks the ensembles for quick checks.
+def candidates(rows: int, seed: int = SEED) -> dict[str, Callable[[], Estimator]]:
+    """The shortlist by name.
 
     ``forest_no_bootstrap`` and ``logistic_light`` are the nearest built-in estimators to extremely
     randomised trees and to a linear model fitted by stochastic gradient.
     """
-    trees, rounds, boost = (10, 5, 5) if small else (100, 100, hist_rounds)
-    depth = 6 if small else 18
+    # The settings of the estimators, here and below.
     common = {"featuresCol": FEATURES, "labelCol": LABEL}
     balanced = {**common, "weightCol": WEIGHT}
-    forest = {**balanced, "numTrees": trees, "maxDepth": depth, "seed": seed, "maxMemoryInMB": 1024, "cacheNodeIds": True}
+    forest = {**balanced, "numTrees": 100, "maxDepth": 18, "seed": seed, "maxMemoryInMB": 1024, "cacheNodeIds": True}
     return {
         "logistic": lambda: LogisticRegression(
             **balanced, maxIter=2000, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False
@@ -142,12 +145,12 @@ def candidates(
             **forest, bootstrap=False, featureSubsetStrategy="sqrt"
         ),
         "gbt": lambda: GBTClassifier(
-            **common, maxDepth=4, maxIter=rounds, stepSize=0.08, seed=seed, maxMemoryInMB=1024
+            **common, maxDepth=4, maxIter=100, stepSize=0.08, seed=seed, maxMemoryInMB=1024
         ),
         "hist_gbt": lambda: GBTClassifier(
             **balanced,
-            maxDepth=5 if small else 10,
-            maxIter=boost,
+            maxDepth=10,
+            maxIter=200,
             maxBins=255,
             stepSize=0.1,
             seed=seed,
@@ -179,7 +182,8 @@ def prepare_matrices(
     preprocess = fit_preprocess(train, numeric, categorical)
     target = F.col(label).cast("double").alias(LABEL)
     ready = with_class_weights(preprocess.transform(train).select(FEATURES, target), LABEL, WEIGHT)
-    ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
+    # Every round of boosting runs several jobs over the rows: few rows take few tasks.
+    ready = ready.coalesce(max(1, -(-train.count() // ROWS_PER_TASK))).persist(StorageLevel.MEMORY_AND_DISK)
     checked = preprocess.transform(test).select(FEATURES, target).persist(StorageLevel.MEMORY_AND_DISK)
     context = train.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
@@ -239,19 +243,28 @@ class FraudModel:
         return self.pipeline.transform(encode_wide(df, self.wide, self.codes))
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        """Write a new version beside earlier ones, then name it the current one.
+
+        A model that was loaded from ``path`` reads its dictionary from there, so nothing is overwritten.
+        """
         spark = SparkSession.active()
-        parameters = spark.createDataFrame([(self.hour_fill, list(self.wide))], PARAMETERS_SCHEMA)
-        parameters.write.mode("overwrite").parquet(f"{path}/parameters")
+        version = uuid.uuid4().hex
+        self.pipeline.write().save(f"{path}/{version}/pipeline")
         if self.wide:
-            self.codes.write.mode("overwrite").parquet(f"{path}/dictionary")
+            self.codes.write.parquet(f"{path}/{version}/dictionary")
+        parameters = spark.createDataFrame([(self.hour_fill, list(self.wide))], PARAMETERS_SCHEMA)
+        parameters.write.parquet(f"{path}/{version}/parameters")
+        now = spark.createDataFrame([(version,)], "version string").withColumn("saved", F.current_timestamp())
+        now.coalesce(1).write.mode("append").parquet(f"{path}/versions")
 
     @classmethod
     def load(cls, path: str) -> "FraudModel":
         spark = SparkSession.active()
-        hour_fill, wide = spark.read.schema(PARAMETERS_SCHEMA).parquet(f"{path}/parameters").first()
-        codes = spark.read.schema(CODES_SCHEMA).parquet(f"{path}/dictionary") if wide else None
-        return cls(PipelineModel.load(f"{path}/pipeline"), hour_fill, wide, codes)
+        versions = spark.read.schema("version string, saved timestamp").parquet(f"{path}/versions")
+        folder = f"{path}/{versions.orderBy(F.desc('saved')).first()['version']}"
+        hour_fill, wide = spark.read.schema(PARAMETERS_SCHEMA).parquet(f"{folder}/parameters").first()
+        codes = spark.read.schema(CODES_SCHEMA).parquet(f"{folder}/dictionary") if wide else None
+        return cls(PipelineModel.load(f"{folder}/pipeline"), hour_fill, wide, codes)
 
 
 def fit_final(

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from tallyguard.operators import metrics, models, prepare
 from tallyguard.operators.clean import clean_table
 from tallyguard.operators.parse import filter_transactions, parse_transactions
-from tallyguard.plans.flows import TrainingSet, train_best, training_set
+from tallyguard.plans.flows import TrainingSet, training_set
 from tallyguard.plans.registry import query, r6, rounded
-from tallyguard.plans.tables import BRONZE_SQL, DOCS_SQL, Tables
+from tallyguard.plans.tables import BRONZE_SQL, CLEAN_SQL, DOCS_SQL, Tables
 from tallyguard.session import stage
 from tallyguard.sources.schemas import LABEL
 from tallyguard.sources.topic import to_bronze
@@ -64,14 +64,18 @@ def ordinal_encode(tables: Tables) -> DataFrame:
 
 @query(
     "preprocess",
-    f"""{ENCODED_SQL}, s AS (SELECT avg(n_chars) AS m1, stddev_samp(n_chars) AS s1, avg(toxic) AS m2, stddev_samp(toxic) AS s2
-                         FROM split WHERE split = 'train')
+    f"""{ENCODED_SQL}, gaps AS (SELECT * REPLACE (CASE WHEN doc_id % 13 = 0 THEN NULL ELSE n_chars END AS n_chars) FROM split),
+filled AS (SELECT * REPLACE (coalesce(n_chars, (SELECT median(n_chars) FROM gaps WHERE split = 'train')) AS n_chars) FROM gaps),
+s AS (SELECT avg(n_chars) AS m1, stddev_pop(n_chars) AS s1, avg(toxic) AS m2, stddev_pop(toxic) AS s2
+      FROM filled WHERE split = 'train')
 SELECT doc_id, split, round((n_chars - m1) / s1 + 1e-9, 6) + 0.0 AS f0, round((toxic - m2) / s2 + 1e-9, 6) + 0.0 AS f1,
        CAST(coalesce(a.code, -1) AS DOUBLE) AS f2, CAST(coalesce(b.code, -1) AS DOUBLE) AS f3
-FROM s, split LEFT JOIN langs a ON a.lang = split.lang LEFT JOIN sources b ON b.source = split.source""",
+FROM s, filled LEFT JOIN langs a ON a.lang = filled.lang LEFT JOIN sources b ON b.source = filled.source""",
 )
 def preprocess(tables: Tables) -> DataFrame:
-    split = split_documents(tables)
+    """Lengths are missing here and there."""
+    gap = F.expr("CASE WHEN doc_id % 13 = 0 THEN NULL ELSE n_chars END")
+    split = split_documents(tables).withColumn("n_chars", gap)
     fitted = models.fit_preprocess(train_part(split), NUMERIC, CATEGORICAL)
     vector = vector_to_array(models.FEATURES)
     return fitted.transform(split).select("doc_id", "split", *[r6(vector[i]).alias(f"f{i}") for i in range(4)])
@@ -138,57 +142,86 @@ def classification_report(tables: Tables) -> DataFrame:
     return rounded(metrics.classification_report(length_score(tables)), "precision", "recall", "f1")
 
 
+#: A candidate must rank the test rows at least this well; the planted column all but tells the label.
+PLANTED_AUC = 0.9
+
+
 def fraud_training(tables: Tables) -> TrainingSet:
-    """Training data from the clean transactions with their history."""
-    return training_set(tables.enriched().drop("ts"))
+    """Training data from the clean transactions with their history and a planted, noisy sign of the label."""
+    rows = tables.enriched().drop("ts")
+    planted = F.expr(f"2 * {LABEL} + CAST(CAST(transaction_id AS BIGINT) % 7 AS DOUBLE) / 3")
+    return training_set(rows.withColumn("planted_sign", planted))
 
 
-def one_candidate(tables: Tables, name: str, **settings: int) -> DataFrame:
-    """Fit one classifier with its full settings and score it on the test rows."""
+def one_candidate(tables: Tables, name: str) -> DataFrame:
+    """Fit one classifier with its full settings and check its scores of the test rows. An error is raised."""
     data = fraud_training(tables).matrices()
     try:
-        shortlist = models.candidates(data.rows, **settings)
-        return models.leaderboard(data, {name: shortlist[name]})
+        model = models.candidates(data.rows)[name]().fit(data.train)
+        scored = stage(models.scored(model.transform(data.test)), "scored")
+        reached = metrics.roc_auc_value(scored) >= PLANTED_AUC
+        return scored.agg(
+            F.count_if("label = 0").alias("n_normal"),
+            F.count_if("label = 1").alias("n_fraud"),
+            F.count_if(~F.coalesce(F.col("score").between(0, 1), F.lit(False))).alias("n_bad_scores"),
+            F.lit(int(reached)).alias("auc_reached"),
+        )
     finally:
         data.release()
 
 
-@query("clf_logistic")
+CANDIDATE_SQL = f"""WITH {CLEAN_SQL}, k AS (SELECT fraud_label AS label, count(*) AS n FROM clean GROUP BY 1)
+SELECT CAST(sum(CASE WHEN label = 0 THEN ceil(n * 0.2::DOUBLE) END) AS BIGINT) AS n_normal,
+       CAST(sum(CASE WHEN label = 1 THEN ceil(n * 0.2::DOUBLE) END) AS BIGINT) AS n_fraud,
+       CAST(0 AS BIGINT) AS n_bad_scores, 1 AS auc_reached FROM k"""
+
+
+@query("clf_logistic", CANDIDATE_SQL)
 def clf_logistic(tables: Tables) -> DataFrame:
     return one_candidate(tables, "logistic")
 
 
-@query("clf_sgd_logloss")
+@query("clf_sgd_logloss", CANDIDATE_SQL)
 def clf_sgd_logloss(tables: Tables) -> DataFrame:
     return one_candidate(tables, "logistic_light")
 
 
-@query("clf_forest")
+@query("clf_forest", CANDIDATE_SQL)
 def clf_forest(tables: Tables) -> DataFrame:
     return one_candidate(tables, "forest")
 
 
-@query("clf_extra_trees")
+@query("clf_extra_trees", CANDIDATE_SQL)
 def clf_extra_trees(tables: Tables) -> DataFrame:
     return one_candidate(tables, "forest_no_bootstrap")
 
 
-@query("clf_gbt")
+@query("clf_gbt", CANDIDATE_SQL)
 def clf_gbt(tables: Tables) -> DataFrame:
     return one_candidate(tables, "gbt")
 
 
-@query("clf_hist_gbt")
+@query("clf_hist_gbt", CANDIDATE_SQL)
 def clf_hist_gbt(tables: Tables) -> DataFrame:
-    """All rows, but 20 of the 200 rounds, which run one after the other."""
-    return one_candidate(tables, "hist_gbt", hist_rounds=20)
+    return one_candidate(tables, "hist_gbt")
 
 
-@query("leaderboard")
+@query(
+    "leaderboard",
+    """SELECT model, '' AS error, 1 AS auc_reached, 1 AS in_range
+FROM (VALUES ('logistic'), ('logistic_light'), ('forest'), ('forest_no_bootstrap'), ('gbt'), ('hist_gbt')) t(model)""",
+)
 def leaderboard(tables: Tables) -> DataFrame:
-    """All candidates, with smaller ensembles; the full ones have their own entries."""
-    board, _ = train_best(fraud_training(tables), small=True)
-    return board
+    """All candidates with their full settings."""
+    data = fraud_training(tables).matrices()
+    try:
+        board = models.leaderboard(data, models.candidates(data.rows))
+    finally:
+        data.release()
+    figures = [F.col(c).between(0, 1) for c in ("accuracy", "precision", "recall", "f1", "roc_auc")]
+    in_range = F.coalesce(figures[0] & figures[1] & figures[2] & figures[3] & figures[4], F.lit(False))
+    reached = F.coalesce(F.col("roc_auc") >= PLANTED_AUC, F.lit(False))
+    return board.select("model", "error", reached.cast("int").alias("auc_reached"), in_range.cast("int").alias("in_range"))
 
 
 TEST_ROWS_SQL = f"""WITH {BRONZE_SQL},
@@ -204,10 +237,10 @@ def message_training(tables: Tables) -> TrainingSet:
     return training_set(stage(clean_table(parsed), "clean_table"))
 
 
-def small_model(data: TrainingSet, name: str = "logistic") -> models.FraudModel:
+def one_model(data: TrainingSet, name: str = "logistic") -> models.FraudModel:
     ready = data.matrices()
     try:
-        shortlist = {name: models.candidates(ready.rows, small=True)[name]}
+        shortlist = {name: models.candidates(ready.rows)[name]}
         board = models.leaderboard(ready, shortlist)
         return models.fit_final(board, ready, shortlist, data.hour_fill)
     finally:
@@ -218,7 +251,7 @@ def small_model(data: TrainingSet, name: str = "logistic") -> models.FraudModel:
 def fit_final(tables: Tables) -> DataFrame:
     """Test rows, and those to which the refitted winner gives a probability."""
     data = message_training(tables)
-    model = small_model(data)
+    model = one_model(data)
     return models.score_batch(model, data.test).agg(
         F.count("*").alias("n_rows"), F.count_if(F.col("fraud_probability").between(0, 1)).alias("n_scored")
     )
@@ -228,7 +261,7 @@ def fit_final(tables: Tables) -> DataFrame:
 def save_load_model(tables: Tables) -> DataFrame:
     """Test rows, and those that a saved and loaded model scores as before."""
     data = message_training(tables)
-    model = small_model(data, "forest")
+    model = one_model(data, "forest")
     path = tables.scratch("model")
     model.save(path)
     loaded = models.FraudModel.load(path)
@@ -247,7 +280,7 @@ def save_load_model(tables: Tables) -> DataFrame:
 def score_batch(tables: Tables) -> DataFrame:
     """Test rows, those with a probability, and those whose label follows from it."""
     data = message_training(tables)
-    scored = models.score_batch(small_model(data), data.test)
+    scored = models.score_batch(one_model(data), data.test)
     consistent = F.col("predicted") == F.when(F.col("fraud_probability") > 0.5, 1).otherwise(0)
     return scored.where(F.col(LABEL).isNotNull()).agg(
         F.count("*").alias("n_rows"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyguard.operators.parse import filter_transactions, parse_transactions
 from tallyguard.plans.catalog.io import BRONZE_ROWS_SQL, bronze_rows, stored_bronze
-from tallyguard.plans.catalog.learning import message_training, small_model
+from tallyguard.plans.catalog.learning import message_training, one_model
 from tallyguard.plans.registry import query, r6, rounded, stamp
 from tallyguard.plans.tables import BRONZE_SQL, TXN_HISTORY, TXN_SQL, Tables
 from tallyguard.sources.topic import to_bronze
@@ -60,7 +60,7 @@ def stream_dedupe_batch(tables: Tables) -> DataFrame:
 
 def scored_stream(tables: Tables) -> tuple[DataFrame, DataFrame]:
     """The same transactions scored as a stream and as a table."""
-    model = small_model(message_training(tables))
+    model = one_model(message_training(tables))
     messages = tables.messages_folder()
 
     def scores(bronze: DataFrame) -> DataFrame:
@@ -93,13 +93,24 @@ def stream_score(tables: Tables) -> DataFrame:
     return agreement(drained(tables, live, "scores"), table)
 
 
-@query("stream_alerts")
+@query(
+    "stream_alerts",
+    "SELECT CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra, CAST(0 AS BIGINT) AS n_below, 1 AS some",
+)
 def stream_alerts(tables: Tables) -> DataFrame:
-    """Alerts written by the stream: how many, their lowest probability, and those the table would add."""
+    """Alerts of the stream against the rows of the table at or above the threshold, in both directions."""
     live, table = scored_stream(tables)
-    alerts = drained(tables, score.stream_alerts(live), "alerts")
-    lowest = alerts.agg(F.min("fraud_probability")).scalar()
-    return agreement(alerts, score.stream_alerts(table)).withColumn("lowest", r6(lowest))
+    threshold = table.agg(F.percentile_approx("fraud_probability", 0.9)).first()[0]
+    alerts = stage(drained(tables, score.stream_alerts(live, threshold), "alerts"), "alerts")
+    wanted = stage(table.where(F.col("fraud_probability") >= threshold), "wanted")
+    columns = ["transaction_id", "fraud_probability", "predicted"]
+    counted = [x.groupBy(*columns).agg(F.count("*").alias("n")) for x in (alerts, wanted)]
+    return alerts.agg(
+        counted[1].exceptAll(counted[0]).agg(F.count("*")).scalar().alias("n_missing"),
+        counted[0].exceptAll(counted[1]).agg(F.count("*")).scalar().alias("n_extra"),
+        F.count_if(F.col("fraud_probability") < threshold).alias("n_below"),
+        (F.count("*") > 0).cast("int").alias("some"),
+    )
 
 
 @query(

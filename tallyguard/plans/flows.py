@@ -52,20 +52,20 @@ def training_set(
     return TrainingSet(train, test, numeric, categorical, fill)
 
 
-def train_best(data: TrainingSet, small: bool = False) -> tuple[DataFrame, models.FraudModel]:
+def train_best(data: TrainingSet) -> tuple[DataFrame, models.FraudModel]:
     """Leaderboard of all candidates and the winner fitted anew."""
     ready = data.matrices()
     try:
-        shortlist = models.candidates(ready.rows, small=small)
+        shortlist = models.candidates(ready.rows)
         board = models.leaderboard(ready, shortlist)
         return board, models.fit_final(board, ready, shortlist, data.hour_fill)
     finally:
         ready.release()
 
 
-def clean_and_train(raw: DataFrame, key: Sequence[str] = ("transaction_id",), small: bool = False):
+def clean_and_train(raw: DataFrame, key: Sequence[str] = ("transaction_id",)):
     """Raw labelled table to (clean table, feature split, leaderboard, model)."""
     cleaned = stage(clean_table(raw, LABEL), "clean_table")
     data = training_set(cleaned, key)
-    board, model = train_best(data, small)
+    board, model = train_best(data)
     return cleaned, data, board, model

@@ -1,11 +1,23 @@
 import numpy as np
 import pytest
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 
 from tallyguard.operators import models
 from tallyguard.operators.metrics import classification_report
 
 
+def quick():
+    """Small ensembles under the names of the shortlist."""
+    common = {"featuresCol": models.FEATURES, "labelCol": "fraud_label"}
+    forest = {**common, "numTrees": 10, "maxDepth": 6, "seed": 1}
+    return {
+        "logistic": lambda: LogisticRegression(**common, maxIter=100),
+        "forest": lambda: RandomForestClassifier(**forest),
+        "gbt": lambda: GBTClassifier(**common, maxDepth=4, maxIter=5, seed=1),
+    }
+
+
 @pytest.fixture(scope="module")
 def split(spark):
     """Fraud follows the amount and the type, with some noise."""
@@ -39,7 +51,7 @@ def test_preprocess_codes_and_missing(spark, split):
 
 
 def test_candidates_beat_the_constant_guess(data):
-    shortlist = models.candidates(data.rows, small=True)
+    shortlist = quick()
     board = models.leaderboard(data, shortlist).collect()
     assert {r["model"] for r in board} == set(shortlist)
     assert all(r["error"] == "" and r["roc_auc"] > 0.8 for r in board)
@@ -68,7 +80,7 @@ def test_a_failing_candidate_keeps_its_row(data):
 
 
 def test_save_load_and_score(spark, split, data, tmp_path):
-    shortlist = {"forest": models.candidates(data.rows, small=True)["forest"]}
+    shortlist = {"forest": quick()["forest"]}
     board = models.leaderboard(data, shortlist)
     model = models.fit_final(board, data, shortlist, 12.5)
     model.save(str(tmp_path / "m"))
@@ -93,7 +105,7 @@ def test_wide_columns_get_the_same_codes_by_a_join(spark, split, monkeypatch, tm
     assert sorted(map(str, narrow.transform(rows).select(vector).collect())) == sorted(
         map(str, data.preprocess.transform(rows).select(vector).collect())
     )
-    shortlist = {"logistic": models.candidates(data.rows, small=True)["logistic"]}
+    shortlist = {"logistic": quick()["logistic"]}
     model = models.fit_final(models.leaderboard(data, shortlist), data, shortlist)
     model.save(str(tmp_path / "m"))
     loaded = models.FraudModel.load(str(tmp_path / "m"))
@@ -101,3 +113,36 @@ def test_wide_columns_get_the_same_codes_by_a_join(spark, split, monkeypatch, tm
     assert models.score_batch(model, rows).exceptAll(models.score_batch(loaded, rows)).count() == 0
     assert models.score_batch(loaded, rows).columns == ["amount", "kind", "fraud_label", "fraud_probability", "predicted"]
     data.release()
+
+
+def test_a_loaded_model_saved_to_its_own_path_stays_whole(spark, split, monkeypatch, tmp_path):
+    monkeypatch.setattr(models, "MAX_CATEGORIES", 2)
+    data = models.prepare_matrices(*split, ["amount"], ["kind"])
+    shortlist = {"logistic": quick()["logistic"]}
+    models.fit_final(models.leaderboard(data, shortlist), data, shortlist).save(str(tmp_path / "m"))
+    before = models.FraudModel.load(str(tmp_path / "m"))
+    before.save(str(tmp_path / "m"))
+    after = models.FraudModel.load(str(tmp_path / "m"))
+    assert models.score_batch(before, split[1]).exceptAll(models.score_batch(after, split[1])).count() == 0
+    data.release()
+
+
+def test_numbers_take_the_exact_median_and_the_population_deviation(spark):
+    values = [float(v) for v in range(1001)] + [1e6, None]
+    df = spark.createDataFrame([(v, 3.0) for v in values], "x double, same double")
+    vector = vector_to_array("features")
+    got = [tuple(r) for r in models.fit_preprocess(df, ["x", "same"], []).transform(df).select(vector[0], vector[1]).collect()]
+    filled = np.array([v if v is not None else 500.5 for v in values])
+    assert np.allclose([g[0] for g in got], (filled - filled.mean()) / filled.std(), atol=1e-12)
+    assert {g[1] for g in got} == {0.0}
+
+
+def test_a_broken_candidate_turns_its_query_red(spark, monkeypatch):
+    from __spark_entry__ import queries
+
+    def broken(rows, seed=0):
+        raise RuntimeError("broken")
+
+    monkeypatch.setattr(models, "candidates", broken)
+    with pytest.raises(RuntimeError, match="broken"):
+        queries()["clf_logistic"](spark, "/root/testdata/sf0.001")
