@@ -46,10 +46,11 @@ def remainder(column: str, divisor: int) -> Column:
 def numbered(df: DataFrame, order: list[Column | str], number: str = "row_no") -> DataFrame:
     """All rows with a gapless number from 0 in ``order``, written once.
 
-    The rows are sorted across the cluster by range; each keeps its partition and its place there, and the
-    counts of the partitions (as many as there are partitions, never more) give the offsets.
+    The rows are written first, since a sort by range reads them twice, then sorted across the cluster; each
+    keeps its partition and its place there, and the counts of the partitions (as many as there are
+    partitions, never more) give the offsets.
     """
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = stage(df, "unsorted").repartitionByRange(*order).sortWithinPartitions(*order)
     placed = stage(placed.withColumn("_place", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("_place", PART_BIT)
     offsets = part_offsets(placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_size")))
