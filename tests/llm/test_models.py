@@ -1,0 +1,281 @@
+"""Language ID, quality classifier and language model: brute force where there is one, else held-out accuracy."""
+
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from llm_rows import ROWS, by
+from tallyguard.llm import base, langid, pitman_yor, quality
+from tallyguard.llm.queries import QUERIES
+
+FOLDER = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def documents():
+    return pd.read_parquet(f"{FOLDER}/documents.parquet")
+
+
+def remainder(doc_id, divisor):
+    return zlib.crc32(str(doc_id).encode()) % divisor
+
+
+# Language ID
+
+
+def plain_grams(text):
+    padded = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+    return [padded[i - 1 : i + 2] for i in range(1, len(padded) - 1) if padded[i] != " "]
+
+
+def as_text(key):
+    return "".join(chr(key >> s & 0x1FFFFF) if key >> s & 0x1FFFFF else " " for s in (42, 21, 0))
+
+
+@pytest.mark.parametrize("cut", [5, 1 << 20])
+def test_grams_of_whole_texts(monkeypatch, cut):
+    monkeypatch.setattr(langid, "SLICE", cut)
+    for text in ["", "a", "Été à la mer, 12 ok!", "中文 x", "no-break", " lead and trail ", "İx ß"]:
+        found = [as_text(int(k)) for part in langid.grams(text) for k in part]
+        assert found == plain_grams(text), text
+
+
+def test_filters_hold_what_was_learnt_and_correct_false_hits():
+    rng = np.random.default_rng(1)
+    keys = {lang: rng.integers(1, 2**62, 3000) for lang in ("aa", "bb", "cc")}
+    filters = langid.LanguageFilters([(x, int(k), 1) for x, ks in keys.items() for k in ks], dict.fromkeys(keys, 3000))
+    other = rng.integers(1, 2**62, 50_000)
+    for bit, lang in enumerate(filters.langs):
+        def hits(values, bit=bit):
+            common = ~np.uint64(0)
+            for places in filters.places(values):
+                common = common & filters.masks[bit // 64, places]
+            return ((common >> np.uint64(bit)) & np.uint64(1)).mean()
+
+        assert hits(keys[lang]) == 1.0
+        assert abs(hits(other) - filters.false_rate[bit]) < 0.002
+
+
+def test_more_languages_than_bits_of_a_word():
+    langs = [f"l{i:03d}" for i in range(130)]
+    found = [(lang, (97 + i) << 21, 1) for i, lang in enumerate(langs)]
+    filters = langid.LanguageFilters(found, dict.fromkeys(langs, 1))
+    assert all(filters.predict(chr(97 + i))[0] == lang for i, lang in enumerate(langs) if chr(97 + i).islower())
+
+
+def test_counts_agree_with_brute_force(odd, spark):
+    wanted = Counter((lang, g) for _, t, lang in ROWS if lang and t for g in plain_grams(t))
+    found = {(r["lang"], as_text(r["gram"])): r["count"] for r in langid.count_grams(odd, "text", "lang").collect()}
+    assert found == dict(wanted)
+
+
+def test_odd_texts_have_defined_languages(odd, none):
+    rows = {r["doc_id"]: r for r in langid.identify(odd).collect()}
+    assert [rows[i]["lang_pred"] for i in (3, 4, 5)] == ["und"] * 3
+    assert rows[1]["lang_pred"] == "en" and rows[8]["lang_pred"] == "fr" and rows[8]["score"] > 0.9
+    assert rows[9]["lang_pred"] in ("en", "fr") and rows[9]["score"] == 0
+    assert langid.identify(odd).count() == len(ROWS)
+    assert langid.identify(none).count() == 0
+    untaught = langid.identify(odd, train=F.lit(False)).collect()
+    assert {(r["lang_pred"], r["score"]) for r in untaught} == {("und", 0.0)}
+
+
+def test_language_query_on_held_out_rows(spark, documents):
+    out = QUERIES["op2_language_id"](spark, FOLDER).toPandas().merge(documents, on="doc_id")
+    assert list(out["held_out"]) == [remainder(i, 5) == 0 for i in out["doc_id"]]
+    held = out[out["held_out"]]
+    assert (held["lang_pred"] == held["lang"]).mean() > 0.97
+    assert out["score"].between(0, 1).all() and len(out) == len(documents)
+
+
+# Quality
+
+
+def test_sums_meet_whole(spark):
+    df = spark.range(0, 1000, 1, 40).select(F.array(F.col("id").cast("double"), F.lit(1.0)).alias("x"))
+    total = base.summed(df, 2, lambda batch: base.matrix(batch.column(0)).sum(axis=0))
+    assert total.tolist() == [499500.0, 1000.0]
+
+
+def test_isotonic_steps_are_the_least_squares_ones():
+    random.seed(3)
+    for _ in range(50):
+        n = random.randint(1, 12)
+        counts, ones = [random.randint(1, 5) for _ in range(n)], []
+        ones = [random.randint(0, c) for c in counts]
+        fitted = quality.Calibration(list(range(n)), counts, ones)
+        values = fitted.values[np.searchsorted(fitted.starts, range(n), side="right") - 1]
+        means = np.array(ones) / counts
+        wanted = [
+            max(
+                min(np.average(means[i : j + 1], weights=counts[i : j + 1]) for j in range(k, n))
+                for i in range(k + 1)
+            )
+            for k in range(n)
+        ]
+        assert np.allclose(values, wanted)
+
+
+def test_kernel_approximates_a_gaussian():
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((40, len(quality.STATISTICS)))
+    z = quality.Kernel(np.zeros(x.shape[1]), np.ones(x.shape[1]), 20_000, 1)(x)[:, :-1]
+    exact = np.exp(-((x[:, None] - x[None, :]) ** 2).sum(axis=2) / (2 * 2 * x.shape[1]))
+    assert np.abs(z @ z.T - exact).max() < 0.05
+
+
+def test_fit_agrees_with_normal_equations_in_one_place(spark):
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((300, len(quality.STATISTICS)))
+    y = (x[:, 0] + x[:, 1] ** 2 > 1).astype(float)
+    rows = spark.createDataFrame([(a.tolist(), float(b)) for a, b in zip(x, y)], "x array<double>, y double").repartition(7)
+    model = quality.fit(rows, features=32)
+    kernel = quality.Kernel(x.mean(axis=0), x.std(axis=0), 32, quality.SEED)
+    z = kernel(x)
+    penalty = quality.RIDGE * np.eye(33)
+    penalty[-1, -1] = 1e-6
+    assert np.allclose(model.raw(x), z @ np.linalg.solve(z.T @ z + penalty, z.T @ y), atol=1e-6)
+
+
+def test_statistics_take_any_text():
+    for _, text, _ in ROWS:
+        values = quality.statistics(text or "")
+        assert len(values) == len(quality.STATISTICS) and np.isfinite(values).all()
+
+
+def test_odd_documents_and_labels(odd, none, spark):
+    labels = [(1, 1, 0), (2, 1, 0), (6, 1, 0), (4, 0, 0), (5, 0, 0), (7, None, 0), (None, 1, 0), (99, 1, 0), (1, 1, 0)]
+    labels = spark.createDataFrame(labels, "doc_id bigint, quality int, x int")
+    out = quality.classify(odd, labels).collect()
+    assert len(out) == len(ROWS) and all(0 <= r["score"] <= 1 for r in out)
+    assert all(r["predicted"] == int(r["score"] >= 0.7) for r in out)
+    untaught = quality.classify(odd, labels.where("false")).collect()
+    assert {(r["score"], r["predicted"]) for r in untaught} == {(0.5, 0)}
+    assert quality.classify(none, labels).count() == 0
+
+
+def test_quality_query_on_held_out_rows(spark):
+    labels = pd.read_parquet("/root/testdata/sf0.01/labels.parquet")
+    out = QUERIES["op9_quality"](spark, "/root/testdata/sf0.01").toPandas().merge(labels, on="doc_id")
+    assert list(out["held_out"]) == [remainder(i, 4) == 2 for i in out["doc_id"]]
+    held = out[out["held_out"]]
+    assert (held["predicted"] == held["quality"]).mean() > 0.93
+
+
+# Language model
+
+
+def test_moves_keep_customers_and_reach_the_right_seatings():
+    """Three customers of one dish, new tables at a fixed weight: the chances of 1, 2 and 3 tables are known."""
+    discount, weight, copies = 0.5, 0.8, 40_000
+    seats = pitman_yor.Seats(np.full(copies, 3), discount)
+    rng, every = np.random.default_rng(1), np.arange(copies)
+    for _ in range(25):
+        seats.remove(every, rng)
+        seats.add(every, np.full(copies, weight), rng)
+        assert (np.bincount(seats.owner, weights=seats.sizes) == 3).all()
+    found = np.bincount(seats.tables(), minlength=4)[1:] / copies
+    chance = np.array([weight * (1 - discount) * (2 - discount), 3 * weight**2 * (1 - discount), weight**3])
+    assert np.abs(found - chance / chance.sum()).max() < 0.01
+
+
+def test_seats_follow_their_counts():
+    rng = np.random.default_rng(2)
+    counts = rng.integers(0, 9, 500)
+    seats = pitman_yor.Seats(counts, 0.7)
+    wanted = rng.integers(0, 9, 500)
+    seats.resize(wanted, np.full(500, 0.5), rng)
+    assert (np.bincount(seats.owner, weights=seats.sizes, minlength=500) == wanted).all()
+    assert (seats.sizes > 0).all() and (np.diff(seats.owner) >= 0).all()
+
+
+def plain_scores(rows, train):
+    words = {k: (t or "").encode().lower().split() + [b""] for k, (_, t, _) in enumerate(rows)}
+    counts = Counter(w for k, ws in words.items() if train(rows[k][0]) for w in ws)
+    n, v = sum(counts.values()), len(counts)
+    return n, [
+        (rows[k][0], len(ws), sum(w in counts for w in ws), sum(np.log10((counts[w] + 1) / (n + v + 1)) for w in ws))
+        for k, ws in words.items()
+    ]
+
+
+@pytest.mark.parametrize("tokens,bucket,turn", [(2_000_000, 400_000, 1024), (500, 100, 2)])
+def test_counts_and_base_scores(odd, monkeypatch, tokens, bucket, turn):
+    monkeypatch.setattr(pitman_yor, "CHUNK_TOKENS", tokens)
+    monkeypatch.setattr(pitman_yor, "BUCKET_WORDS", bucket)
+    monkeypatch.setattr(pitman_yor, "TURN_CHUNKS", turn)
+    n, wanted = plain_scores(ROWS, lambda i: i is None or i % 3 != 0)
+    out = pitman_yor.score_documents(odd, F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True))).collect()
+
+    def order(r):
+        return str(r[0]), r[1], r[3]
+
+    found = sorted(((r["doc_id"], r["n_tokens"], r["n_known"], r["base_score"]) for r in out), key=order)
+    for a, b in zip(found, sorted(wanted, key=order), strict=True):
+        assert a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-6 * max(1, a[1])
+    assert {r["train_tokens"] for r in out} == {n}
+    assert all(np.isfinite(r["score"]) and r["score"] < 0 for r in out)
+
+
+def test_probabilities_of_a_context_sum_to_one():
+    rng = np.random.default_rng(3)
+    words = np.sort(rng.choice(2**60, 30, replace=False)).astype("<u8")
+    each = rng.integers(1, 5, 30)
+    contexts = np.concatenate([np.sort(rng.choice(6, k, replace=False)) for k in each])
+    counts = rng.integers(1, 20, len(contexts))
+    squeezed = pitman_yor.squeezed
+    row = {"bucket": 0, "words": words.tobytes(), "each": squeezed(each, "<u4")}
+    row |= {"contexts": squeezed(contexts, "<u2"), "counts": squeezed(counts, "<u4")}
+    seated = np.bincount(contexts, weights=counts, minlength=pitman_yor.CONTEXTS)
+    settings = pitman_yor.Settings(seated, 30, (counts == 1).sum(), (counts == 2).sum())
+    bucket = pitman_yor.Bucket(row, settings)
+    history = []
+    for _ in range(3):
+        history.append(bucket.totals())
+        bucket.sweep(len(history), pitman_yor.Totals(history[-1]))
+    now = pitman_yor.Totals(bucket.totals())
+    parent = bucket.parent_probability(now)
+    rest = (pitman_yor.STRENGTH + settings.parent_discount * now.parents) * settings.base
+    rest /= pitman_yor.STRENGTH + now.customers
+    assert abs(parent.sum() + rest - 1) < 1e-9
+    own = bucket.counts - settings.discount * bucket.tables()
+    for context in range(7):
+        open_ = pitman_yor.STRENGTH + settings.discount * now.tables[context]
+        total = own[bucket.context == context].sum() + open_ * (parent.sum() + rest)
+        assert abs(total / (pitman_yor.STRENGTH + seated[context]) - 1) < 1e-9
+
+
+def test_replayed_seats_are_the_same():
+    rng = np.random.default_rng(4)
+    words, counts = np.arange(50).astype("<u8"), rng.integers(1, 30, 50)
+    row = {"bucket": 3, "words": words.tobytes(), "each": pitman_yor.squeezed(np.ones(50), "<u4")}
+    row |= {"contexts": pitman_yor.squeezed(np.zeros(50), "<u2"), "counts": pitman_yor.squeezed(counts, "<u4")}
+    seated = np.zeros(pitman_yor.CONTEXTS)
+    seated[0] = counts.sum()
+    settings = pitman_yor.Settings(seated, 50, 10, 5)
+
+    def run():
+        bucket = pitman_yor.Bucket(row, settings)
+        list(bucket.replay([pitman_yor.Bucket(row, settings).totals()] * 3))
+        return bucket.totals()
+
+    assert (run() == run()).all()
+
+
+def test_scores_beat_the_base_on_held_out_rows(spark, documents):
+    out = QUERIES["op6_lm_scoring"](spark, FOLDER).toPandas()
+    assert list(out["held_out"]) == [remainder(i, 7) == 2 for i in out["doc_id"]]
+    held = out[out["held_out"]]
+    assert held["score"].sum() > held["base_score"].sum() + 0.1 * held["n_tokens"].sum()
+
+
+def test_no_rows_to_learn_from_or_score(odd, none):
+    assert pitman_yor.score_documents(none, F.lit(True)).count() == 0
+    out = pitman_yor.score_documents(odd, F.lit(False)).collect()
+    assert {r["train_tokens"] for r in out} == {0} and {r["n_known"] for r in out} == {0}
+    assert all(abs(r["score"]) < 1e-6 and abs(r["base_score"]) < 1e-9 for r in out)
