@@ -161,8 +161,8 @@ def one_candidate(tables: Tables, name: str) -> DataFrame:
         scored = stage(models.scored(model.transform(data.test)), "scored")
         reached = metrics.roc_auc_value(scored) >= PLANTED_AUC
         return scored.agg(
-            F.count_if("label = 0").alias("n_normal"),
-            F.count_if("label = 1").alias("n_fraud"),
+            F.count_if(F.col("label") == 0).alias("n_normal"),
+            F.count_if(F.col("label") == 1).alias("n_fraud"),
             F.count_if(~F.coalesce(F.col("score").between(0, 1), F.lit(False))).alias("n_bad_scores"),
             F.lit(int(reached)).alias("auc_reached"),
         )
