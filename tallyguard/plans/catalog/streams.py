@@ -34,6 +34,13 @@ def stream_ingest(tables: Tables) -> DataFrame:
     return bronze_rows(drained(tables, ingest.bronze_stream(tables.spark, path), "copy"))
 
 
+def late_halves(rows: DataFrame, ts: str) -> tuple[DataFrame, DataFrame]:
+    """The newer rows and one old row in ten, then the rest of the older rows: late by far, and copies of both."""
+    middle = rows.agg(F.avg(F.unix_timestamp(F.col(ts).cast("timestamp")))).first()[0]
+    first = (F.unix_timestamp(F.col(ts).cast("timestamp")) >= middle) | (F.unix_timestamp(F.col(ts).cast("timestamp")) % 10 == 0)
+    return rows.where(first), rows.where(~first)
+
+
 DEDUPED_SQL = f"""WITH {BRONZE_SQL}
 SELECT DISTINCT key, kafka_partition, kafka_offset, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS kafka_ts, fraud_label AS json_label
 FROM bronze WHERE is_txn = 1"""
@@ -51,7 +58,13 @@ def deduped_rows(bronze: DataFrame) -> DataFrame:
 
 @query("stream_dedupe", DEDUPED_SQL)
 def stream_dedupe(tables: Tables) -> DataFrame:
-    return deduped_rows(drained(tables, dedupe.dedupe_stream(message_stream(tables)), "unique"))
+    """Two replays: the second starts with the oldest messages, days late by then."""
+    path, checkpoint, topic = tables.scratch("unique"), tables.scratch("checkpoint"), tables.scratch("topic")
+    for part in late_halves(tables.messages(), "timestamp"):
+        part.write.mode("append").parquet(topic)
+        stream = to_bronze(ingest.replay_topic(tables.spark, topic))
+        dedupe.dedupe_into(stream, path, checkpoint, available_now=True).awaitTermination()
+    return deduped_rows(tables.spark.read.parquet(path))
 
 
 @query("stream_dedupe_batch", DEDUPED_SQL)
@@ -117,30 +130,29 @@ def stream_alerts(tables: Tables) -> DataFrame:
 @query(
     "stream_summary",
     f"""WITH {TXN_SQL},
-w AS (SELECT date_trunc('day', ts) AS start, fraud_label, amount FROM txn),
-m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM txn)
+w AS (SELECT date_trunc('day', ts) AS start, fraud_label, amount FROM txn)
 SELECT strftime(start, '%Y-%m-%d') AS day, count(*) AS transaction_count,
        CAST(sum(CASE WHEN fraud_label = 'Fraud' THEN 1 ELSE 0 END) AS BIGINT) AS fraud_count,
        round(avg(amount) + 1e-9, 6) + 0.0 AS avg_amount_million
-FROM w, m WHERE start + INTERVAL 1 DAY <= mark GROUP BY start""",
+FROM w GROUP BY start""",
 )
 def stream_summary(tables: Tables) -> DataFrame:
-    """Daily windows that the watermark has passed when the input ends."""
-    path = tables.scratch("transactions")
-    rows = tables.transactions().select(F.col("ts").cast("timestamp").alias("ts"), "fraud_label", "amount")
-    rows.write.parquet(path)
-    stream = tables.spark.readStream.schema(rows.schema).parquet(path)
-    days = drained(tables, summary.stream_summary(stream, "ts", amount="amount"), "summary")
+    """Daily windows over all rows, half of which come late."""
+    path, checkpoint = tables.scratch("summary"), tables.scratch("checkpoint")
+    replayed_in_two(
+        tables,
+        lambda stream: summary.summary_into(stream, path, checkpoint, "ts", amount="amount", available_now=True),
+    )
+    days = summary.read_summary(tables.spark, path)
     days = days.withColumn("day", F.date_format("window_start", "yyyy-MM-dd")).drop("window_start", "window_end")
     return rounded(days, "avg_amount_million")
 
 
 def replayed_in_two(tables: Tables, run) -> None:
-    """Write the older half of the transactions, run, write the newer half, run again."""
+    """Write the newer part of the transactions, run, write the older part, run again."""
     rows = tables.transactions()
     path = tables.scratch("transactions")
-    middle = rows.agg(F.timestamp_seconds(F.avg(F.unix_timestamp("ts"))).cast("timestamp_ntz")).first()[0]
-    for part in (rows.where(F.col("ts") < F.lit(middle)), rows.where(F.col("ts") >= F.lit(middle))):
+    for part in late_halves(rows, "ts"):
         part.write.mode("append").parquet(path)
         run(tables.spark.readStream.schema(rows.schema).parquet(path)).awaitTermination()
 
@@ -161,20 +173,16 @@ def prof_stream(tables: Tables) -> DataFrame:
             stream, path, checkpoint, ("daily_count", "max_24h"), TXN_HISTORY, available_now=True
         ),
     )
-    written = tables.spark.read.parquet(path)
+    written = profile.read_profile(tables.spark, path)
     return written.select("transaction_id", "customer_id", "daily_count", r6("max_24h").alias("max_24h"))
 
 
 @query(
     "prof_stream_daily",
-    f"""WITH {TXN_SQL}, m AS (SELECT max(ts) - INTERVAL 1 HOUR AS mark FROM txn)
-SELECT customer_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM txn, m
-WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= mark GROUP BY 1, 2""",
+    f"""WITH {TXN_SQL}
+SELECT customer_id, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM txn GROUP BY 1, 2""",
 )
 def prof_stream_daily(tables: Tables) -> DataFrame:
-    path = tables.scratch("transactions")
-    rows = tables.transactions().select("customer_id", F.col("ts").cast("timestamp").alias("ts"))
-    rows.write.parquet(path)
-    stream = tables.spark.readStream.schema(rows.schema).parquet(path)
-    days = drained(tables, profile.daily_counts(stream), "daily")
-    return days.withColumn("day", F.col("day").cast("string"))
+    path, checkpoint = tables.scratch("daily"), tables.scratch("checkpoint")
+    replayed_in_two(tables, lambda stream: profile.daily_counts_into(stream, path, checkpoint, available_now=True))
+    return profile.read_daily_counts(tables.spark, path).withColumn("day", F.col("day").cast("string"))

@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from tallyguard.streaming.ingest import TRIGGER_SECONDS, read_written, triggered
+
+DIGEST_DIGITS = 1
 
 
 def dedupe_messages(bronze: DataFrame) -> DataFrame:
@@ -19,15 +24,33 @@ def dedupe_messages(bronze: DataFrame) -> DataFrame:
     )
 
 
-def dedupe_stream(bronze: DataFrame, delay: str = "1 hour", salts: int = 16) -> DataFrame:
-    """One row per (key, raw_json) among copies that arrive within the delay.
+def dedupe_into(
+    bronze: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger_seconds: int = TRIGGER_SECONDS,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Append every message whose (key, raw_json) was never written before, however late it comes.
 
-    A message repeated very often would meet in one state store. Copies are first dropped within
-    ``salts`` slices by offset; at most that many reach the second step. The state keeps a digest in
-    place of the text.
+    Copies within a batch merge before the shuffle; the rest is compared with what earlier batches wrote by
+    key and digest, within folders by the first digits of the digest. A repeated batch replaces its own
+    folders.
     """
-    marked = bronze.withWatermark("kafka_ts", delay).withColumn("_digest", F.sha2("raw_json", 256))
-    if salts > 1:
-        marked = marked.withColumn("_slice", F.pmod("kafka_offset", F.lit(salts)))
-        marked = marked.dropDuplicatesWithinWatermark(["key", "_digest", "_slice"]).drop("_slice")
-    return marked.dropDuplicatesWithinWatermark(["key", "_digest"]).drop("_digest")
+    stored = "key string, digest string, prefix string, batch bigint"
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        digest = F.sha2(F.coalesce("raw_json", F.lit("")), 256)
+        digest = F.when(F.col("raw_json").isNull(), "").otherwise(digest)
+        fresh = dedupe_messages(batch).withColumn("digest", digest)
+        fresh = fresh.withColumn("prefix", F.concat(F.lit("p"), F.substring("digest", 1, DIGEST_DIGITS)))
+        seen = read_written(batch.sparkSession, path, stored).where(F.col("batch") < batch_id)
+        same = (F.col("f.prefix") == F.col("s.prefix")) & (F.col("f.digest") == F.col("s.digest"))
+        same = same & F.col("f.key").eqNullSafe(F.col("s.key"))
+        new = fresh.alias("f").join(seen.alias("s"), same, "left_anti")
+        new = new.withColumn("batch", F.lit(batch_id).cast("bigint"))
+        writer = new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("prefix", "batch").parquet(path)
+
+    writer = bronze.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return triggered(writer, trigger_seconds, available_now).start()

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import StructType
 
 from tallyguard.sources.files import ndjson_lines
 from tallyguard.sources.schemas import BRONZE_SCHEMA, TOPIC_SCHEMA
@@ -19,6 +21,16 @@ def triggered(writer: DataStreamWriter, seconds: int, available_now: bool) -> Da
     return writer.trigger(processingTime=f"{seconds} seconds")
 
 
+def read_written(spark: SparkSession, path: str, schema: str | StructType) -> DataFrame:
+    """What batches have written so far; nothing before the first one."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def append_files(
     df: DataFrame,
     path: str,

@@ -6,30 +6,50 @@ import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.storagelevel import StorageLevel
 
-from tallyguard.functions.dates import DAY_US, SECOND_US, WEEK_US, micros
+from tallyguard.functions.dates import DAY_US, WEEK_US
 from tallyguard.operators.behaviour import HOT_ROWS, HistoryColumns, customer_profile
-from tallyguard.streaming.ingest import TRIGGER_SECONDS, triggered
+from tallyguard.streaming.ingest import TRIGGER_SECONDS, read_written, triggered
 
 # How far back each feature looks, in microseconds.
 REACH = {"daily_count": DAY_US, "max_24h": DAY_US, "failed_count": DAY_US, "weekly_count": WEEK_US}
 
 
-def daily_counts(
-    transactions: DataFrame, customer: str = "customer_id", ts: str = "ts", delay: str = "1 hour"
-) -> DataFrame:
-    """(customer, day, n), each day emitted once when the watermark has passed it."""
-    return (
-        transactions.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, delay)
-        .groupBy(F.window(ts, "1 day").alias("w"), customer)
-        .agg(F.count("*").alias("n"))
-        .select(customer, F.to_date("w.start").alias("day"), "n")
-    )
+def daily_counts_into(
+    transactions: DataFrame,
+    path: str,
+    checkpoint: str,
+    customer: str = "customer_id",
+    ts: str = "ts",
+    trigger_seconds: int = TRIGGER_SECONDS,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Count transactions by customer and day; each batch writes its own counts, late rows are counted too."""
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy(customer, F.to_date(ts).alias("day")).agg(F.count("*").alias("n"))
+        counts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    writer = transactions.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return triggered(writer, trigger_seconds, available_now).start()
+
+
+def read_daily_counts(spark: SparkSession, path: str, customer: str = "customer_id", kind: str = "double") -> DataFrame:
+    """(customer, day, n) over all batches so far."""
+    written = read_written(spark, path, f"`{customer}` {kind}, day date, n bigint, batch bigint")
+    return written.groupBy(customer, "day").agg(F.sum("n").alias("n"))
+
+
+def _same(left: str, right: str, columns: Sequence[str]) -> Column:
+    out = F.lit(True)
+    for c in columns:
+        out = out & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return out
 
 
 def _read_days(spark: SparkSession, path: str, days: Sequence[dt.date], schema: T.StructType) -> DataFrame:
@@ -43,17 +63,12 @@ def _read_days(spark: SparkSession, path: str, days: Sequence[dt.date], schema:
         return spark.createDataFrame([], schema)
 
 
-def _read_newest(spark: SparkSession, folder: str, batch_id: int) -> int | None:
-    """The newest moment seen before a batch, in microseconds."""
-    if batch_id == 0:
-        return None
-    return spark.read.schema("newest long").parquet(f"{folder}/slot={(batch_id - 1) % 2}").first()["newest"]
-
-
-def _write_newest(spark: SparkSession, folder: str, batch_id: int, newest: int | None) -> None:
-    """Two folders in turn, so that a repeated batch still finds what the batch before it wrote."""
-    row = spark.createDataFrame([(newest,)], "newest long")
-    row.write.mode("overwrite").parquet(f"{folder}/slot={batch_id % 2}")
+def newest_rows(written: DataFrame, customer: str) -> DataFrame:
+    """A batch writes whole (customer, day) groups anew: of each, the rows of the newest batch."""
+    keys = [customer, "day"]
+    newest = written.groupBy(*keys).agg(F.max("batch").alias("newest"))
+    both = written.alias("w").join(newest.alias("n"), _same("w", "n", keys) & (F.col("w.batch") == F.col("n.newest")))
+    return both.select("w.*")
 
 
 def profile_stream(
@@ -62,51 +77,54 @@ def profile_stream(
     checkpoint: str,
     wanted: Sequence[str] = ("daily_count", "max_24h"),
     names: HistoryColumns = HistoryColumns(),
-    delay_seconds: int = 3600,
     hot_rows: int = HOT_ROWS,
     trigger_seconds: int = TRIGGER_SECONDS,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Append rows with trailing features, each micro-batch computed over itself and recent history.
+    """Rows with trailing features, kept right as rows come in, late ones too.
 
-    The output, a folder per day with a folder per batch in it, is the history: a batch reads only the
-    days its frames reach. A repeated batch replaces its own folders. Rows later than ``delay_seconds``
-    behind the newest row of earlier batches are dropped, and rows already written are never revised.
+    The output, a folder per day with a folder per batch in it, is the history. A batch reads, for its own
+    customers only, the days that its rows' frames reach and the days whose frames reach its rows, and
+    writes the (customer, day) groups that change as a whole; ``read_profile`` takes the newest of each.
+    A repeated batch replaces its own folders. Rows without a time have no day and are left out.
     """
-    reach = max(REACH[f] for f in wanted)
-    columns = transactions.schema
-    stored = T.StructType(
-        [*columns.fields, T.StructField("day", T.DateType()), T.StructField("batch", T.LongType())]
-    )
-    newest_folder = f"{checkpoint.rstrip('/')}-newest"
+    if unknown := set(wanted) - set(REACH):
+        raise ValueError(f"features {sorted(unknown)} look back without a bound and can't be kept on a stream")
+    reach = max(REACH[f] for f in wanted) // DAY_US
+    columns, who = transactions.schema, names.customer
+    stored = stored_schema(columns)
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        newest = _read_newest(spark, newest_folder, batch_id)
-        moment = micros(batch, names.ts)
-        fresh = batch if newest is None else batch.where(moment >= newest - delay_seconds * SECOND_US)
-        first, last = fresh.agg(F.min(moment), F.max(moment)).first()
-        if first is not None:
-            epoch = dt.date(1970, 1, 1)
-            span = range((first - reach) // DAY_US, last // DAY_US + 1)
-            days = [epoch + dt.timedelta(days=d) for d in span]
-            history = _read_days(spark, path, days, stored)
-            history = history.where((F.col("batch") < batch_id) & (micros(history, names.ts) >= first - reach))
-            both = history.select(*columns.names, F.lit(False).alias("_new")).unionByName(
-                fresh.withColumn("_new", F.lit(True))
-            )
-            (
-                customer_profile(both, wanted, names, hot_rows)
-                .where("_new")
-                .drop("_new")
-                .withColumns({"day": F.to_date(names.ts), "batch": F.lit(batch_id).cast("bigint")})
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("day", "batch")
-                .parquet(path)
-            )
-        seen = [m for m in (newest, last) if m is not None]
-        _write_newest(spark, newest_folder, batch_id, max(seen) if seen else None)
+        fresh = batch.where(F.col(names.ts).isNotNull()).withColumn("day", F.to_date(names.ts))
+        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            dates = [r["day"] for r in fresh.select("day").distinct().collect()]
+            days = sorted({d + dt.timedelta(days=k) for d in dates for k in range(-reach, reach + 1)})
+            if not days:
+                return
+            later = F.explode(F.sequence(F.lit(0), F.lit(reach))).alias("later")
+            touched = fresh.select(who, "day", later).select(who, F.date_add("day", F.col("later")).alias("day")).distinct()
+            history = _read_days(spark, path, days, stored).where(F.col("batch") < batch_id)
+            own = fresh.select(who).distinct()
+            history = newest_rows(history.alias("h").join(own.alias("o"), _same("h", "o", [who]), "left_semi"), who)
+            both = history.select(*columns.names).unionByName(fresh.select(*columns.names))
+            rows = customer_profile(both, wanted, names, hot_rows).withColumn("day", F.to_date(names.ts))
+            changed = rows.alias("r").join(touched.alias("t"), _same("r", "t", [who, "day"]), "left_semi")
+            changed = changed.withColumn("batch", F.lit(batch_id).cast("bigint"))
+            writer = changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            writer.partitionBy("day", "batch").parquet(path)
+        finally:
+            fresh.unpersist()
 
     writer = transactions.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return triggered(writer, trigger_seconds, available_now).start()
+
+
+def stored_schema(columns: T.StructType) -> T.StructType:
+    return T.StructType([*columns.fields, T.StructField("day", T.DateType()), T.StructField("batch", T.LongType())])
+
+
+def read_profile(spark: SparkSession, path: str, customer: str = "customer_id") -> DataFrame:
+    """All rows with their features as they are now."""
+    return newest_rows(spark.read.parquet(path), customer).drop("day", "batch")

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallyguard.functions.labels import fraud_flag
+from tallyguard.operators.behaviour import EXACT_SUM, exact
 from tallyguard.sources.schemas import LABEL
+from tallyguard.streaming.ingest import TRIGGER_SECONDS, read_written, triggered
 
 
 def event_time(date: Column, time: Column) -> Column:
@@ -14,35 +17,55 @@ def event_time(date: Column, time: Column) -> Column:
     return F.try_to_timestamp(F.concat_ws(" ", date, time), F.lit("yyyy-MM-dd H:m"))
 
 
-def stream_summary(
+def summary_into(
     transactions: DataFrame,
+    path: str,
+    checkpoint: str,
     ts: str,
     size: str = "1 day",
     slide: str | None = None,
-    delay: str = "1 hour",
     label: str = LABEL,
     amount: str = "transaction_amount_million",
     mode: str = "exact",
-) -> DataFrame:
-    """(window_start, window_end, transaction_count, fraud_count, avg_amount_million).
+    trigger_seconds: int = TRIGGER_SECONDS,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Keep the summary of every window up to date; late rows revise theirs, however late they are.
 
-    A window is emitted once, when the watermark has passed its end; later rows for it are dropped.
+    Each batch writes its own counts and exact sums by window into its own folder, which a repeated batch
+    replaces; ``read_summary`` adds them up.
     """
-    window = F.window(ts, size, slide) if slide else F.window(ts, size)
-    return (
-        transactions.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, delay)
-        .groupBy(window.alias("w"))
-        .agg(
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        moment = F.col(ts).cast("timestamp")
+        window = F.window(moment, size, slide) if slide else F.window(moment, size)
+        partial = batch.where(moment.isNotNull()).groupBy(window.alias("w")).agg(
             F.count("*").alias("transaction_count"),
             F.sum(fraud_flag(F.col(label), mode)).alias("fraud_count"),
-            F.avg(amount).alias("avg_amount_million"),
+            F.count(amount).alias("amount_count"),
+            F.sum(exact(amount)).alias("amount_sum"),
         )
-        .select(
-            F.col("w.start").alias("window_start"),
-            F.col("w.end").alias("window_end"),
-            "transaction_count",
-            "fraud_count",
-            "avg_amount_million",
+        partial.select("w.start", "w.end", "transaction_count", "fraud_count", "amount_count", "amount_sum").write.mode(
+            "overwrite"
+        ).parquet(f"{path}/batch={batch_id}")
+
+    writer = transactions.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
+    return triggered(writer, trigger_seconds, available_now).start()
+
+
+def read_summary(spark: SparkSession, path: str) -> DataFrame:
+    """(window_start, window_end, transaction_count, fraud_count, avg_amount_million) of all windows so far."""
+    schema = (
+        "start timestamp, end timestamp, transaction_count bigint, fraud_count bigint, amount_count bigint, "
+        f"amount_sum {EXACT_SUM}, batch bigint"
+    )
+    mean = F.try_divide(F.sum("amount_sum").cast("double"), F.sum("amount_count"))
+    return (
+        read_written(spark, path, schema)
+        .groupBy(F.col("start").alias("window_start"), F.col("end").alias("window_end"))
+        .agg(
+            F.sum("transaction_count").alias("transaction_count"),
+            F.sum("fraud_count").alias("fraud_count"),
+            mean.alias("avg_amount_million"),
         )
     )

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallyguard.operators.behaviour import HistoryColumns, customer_profile
@@ -42,46 +43,54 @@ def test_restart_adds_only_what_is_new(spark, tmp_path):
     assert stored.schema == BRONZE_SCHEMA
 
 
-def test_dedupe_within_the_delay(spark, tmp_path):
+def deduped(spark, source, sink, mark):
+    stream = to_bronze(ingest.replay_topic(spark, source))
+    dedupe.dedupe_into(stream, sink, mark, available_now=True).awaitTermination()
+    return sorted(r["kafka_offset"] for r in spark.read.parquet(sink).collect())
+
+
+def test_dedupe_within_a_batch(spark, tmp_path):
     source = str(tmp_path / "topic")
     copies = [message(i, 0, amount=1) for i in range(40)] + [message(40, 0, amount=2), message(41, 1, "2.0", amount=1)]
     put(spark, source, copies, TOPIC_SCHEMA)
-    for salts in (1, 16):
-        sink = str(tmp_path / f"out{salts}")
-        unique = dedupe.dedupe_stream(to_bronze(ingest.replay_topic(spark, source)), salts=salts)
-        run(unique, sink, str(tmp_path / f"mark{salts}"))
-        assert spark.read.parquet(sink).count() == 3
+    assert deduped(spark, source, str(tmp_path / "out"), str(tmp_path / "mark")) == [0, 40, 41]
     batch = dedupe.dedupe_messages(to_bronze(spark.read.parquet(source)))
     assert sorted(r["kafka_offset"] for r in batch.collect()) == [0, 40, 41]
 
 
-def test_dedupe_across_restarts(spark, tmp_path):
+def test_dedupe_keeps_late_messages_that_have_no_copy(spark, tmp_path):
     source, sink, mark = (str(tmp_path / n) for n in ("topic", "out", "mark"))
-    for offset in (5, 6):
-        put(spark, source, [message(offset, offset, amount=1)], TOPIC_SCHEMA)
-        run(dedupe.dedupe_stream(to_bronze(ingest.replay_topic(spark, source))), sink, mark)
-    assert [r["kafka_offset"] for r in spark.read.parquet(sink).collect()] == [5]
+    day = 1440
+    batches = [
+        [message(5, 10 * day, amount=1), (None, None, 0, 50, at(0))],
+        [message(6, 20 * day, amount=1), message(7, 20 * day, amount=2), (None, None, 0, 51, at(1))],
+        [message(8, 0, amount=3), message(9, 0, amount=2), message(10, 1, "2.0", amount=1)],
+    ]
+    for batch, wanted in zip(batches, ([5, 50], [5, 7, 50], [5, 7, 8, 10, 50])):
+        put(spark, source, batch, TOPIC_SCHEMA)
+        assert deduped(spark, source, sink, mark) == wanted
 
 
-def test_windows_close_with_the_watermark_and_drop_late_rows(spark, tmp_path):
+def test_windows_are_revised_by_late_rows(spark, tmp_path):
     source, sink, mark = (str(tmp_path / n) for n in ("rows", "out", "mark"))
     schema = "ts timestamp, fraud_label string, amount double"
     day = 1440
     batches = [
         [(at(0), "Fraud", 2.0), (at(5), "Normal", None), (at(day + 10), None, 7.0)],
-        [(at(3 * day), "Normal", 1.0)],
+        [(at(3 * day), "Normal", 1.0), (None, "Fraud", 1.0)],
         [(at(6), "Fraud", 100.0), (at(3 * day + 5), "Fraud", 3.0)],
         [(at(5 * day), "Normal", 1.0)],
     ]
     for batch in batches:
         put(spark, source, batch, schema)
         stream = spark.readStream.schema(schema).parquet(source)
-        run(summary.stream_summary(stream, "ts", delay="1 hour", amount="amount"), sink, mark)
-    got = {r["window_start"]: tuple(r)[2:] for r in spark.read.parquet(sink).collect()}
+        summary.summary_into(stream, sink, mark, "ts", amount="amount", available_now=True).awaitTermination()
+    got = {r["window_start"]: tuple(r)[2:] for r in summary.read_summary(spark, sink).collect()}
     assert got == {
-        at(0): (2, 1, 2.0),
+        at(0): (3, 2, 51.0),
         at(day): (1, 0, 7.0),
         at(3 * day): (2, 1, 2.0),
+        at(5 * day): (1, 0, 1.0),
     }
 
 
@@ -111,25 +120,35 @@ def test_profile_over_several_batches_equals_the_table(spark, tmp_path):
         put(spark, source, rows[start : start + 30], schema)
         stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
         profile.profile_stream(stream, sink, mark, wanted, available_now=True).awaitTermination()
-    got = spark.read.parquet(sink).drop("batch", "day")
+    got = profile.read_profile(spark, sink)
     expected = customer_profile(spark.createDataFrame(rows, schema), wanted, HistoryColumns())
     assert got.count() == 120
     assert got.select(*expected.columns).exceptAll(expected).count() == 0
 
 
-def test_profile_drops_late_rows_and_keeps_written_ones(spark, tmp_path):
+def test_profile_revises_rows_after_late_ones(spark, tmp_path):
     source, sink, mark = (str(tmp_path / n) for n in ("rows", "out", "mark"))
     schema = "row int, customer_id double, ts timestamp, amount double, event_type string, fraud_label string"
+    stray = dt.datetime(1970, 1, 5)
     batches = [
-        [(1, 1.0, at(0), 5.0, "buy", None), (2, 1.0, at(200), 1.0, "buy", None)],
-        [(3, 1.0, at(10), 99.0, "buy", None), (4, 1.0, at(190), 9.0, "buy", None), (5, 1.0, at(300), 2.0, "buy", None)],
+        [(1, 1.0, at(0), 5.0, "buy", None), (2, 1.0, at(200), 1.0, "buy", None), (6, 2.0, at(0), 4.0, "buy", None)],
+        [(3, 1.0, at(10), 99.0, "buy", None), (4, 1.0, at(1500), 9.0, "buy", None), (7, None, stray, 1.0, "buy", None)],
+        [(5, 1.0, at(-60), 200.0, "buy", None), (8, None, at(3), 2.0, "buy", None), (9, 1.0, None, 1.0, "buy", None)],
     ]
     for batch in batches:
         put(spark, source, batch, schema)
         stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
-        profile.profile_stream(stream, sink, mark, delay_seconds=3600, available_now=True).awaitTermination()
-    got = {r["row"]: (r["daily_count"], r["max_24h"]) for r in spark.read.parquet(sink).collect()}
-    assert got == {1: (1, 5.0), 2: (2, 5.0), 4: (2, 9.0), 5: (4, 9.0)}
+        profile.profile_stream(stream, sink, mark, available_now=True).awaitTermination()
+    got = profile.read_profile(spark, sink)
+    rows = spark.createDataFrame([r for b in batches for r in b if r[2]], schema)
+    expected = customer_profile(rows, ("daily_count", "max_24h"), HistoryColumns())
+    assert got.count() == 8 and got.select(*expected.columns).exceptAll(expected).count() == 0
+
+
+def test_profile_refuses_features_without_a_bound(spark, tmp_path):
+    stream = spark.readStream.schema("customer_id double, ts timestamp").parquet(str(tmp_path))
+    with pytest.raises(ValueError, match="avg_amount"):
+        profile.profile_stream(stream, "out", "mark", ("avg_amount",))
 
 
 def test_alerts_threshold(spark):
@@ -146,7 +165,7 @@ def test_a_repeated_profile_batch_changes_nothing(spark, tmp_path):
     def go():
         stream = spark.readStream.schema(spark.read.parquet(source).schema).parquet(source)
         profile.profile_stream(stream, sink, str(mark), available_now=True).awaitTermination()
-        return sorted(map(str, spark.read.parquet(sink).collect()))
+        return sorted(map(str, profile.read_profile(spark, sink).collect()))
 
     put(spark, source, [(i, 1.0, at(i * 600), float(i), "buy", None) for i in range(6)], schema)
     go()
