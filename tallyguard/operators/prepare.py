@@ -14,51 +14,67 @@ from tallyguard.sources.schemas import LABEL
 
 TEST_SHARE = 0.2
 SEED = 42
+# Digits of a row's place, those that a histogram looks at more each time, and the rows that one task ranks.
+PLACE_LENGTH = 48
 PREFIX_LENGTH = 4
+EDGE_ROWS = 100_000
+MISSING = "\u2205"
 
 
 def row_hash(key: Sequence[str], seed: int = SEED) -> Column:
     """Hexadecimal digest of the seed and the key columns: a fixed shuffle of the rows."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(f"`{k}`").cast("string") for k in key]))
+    parts = [F.coalesce(F.col(f"`{k}`").cast("string"), F.lit(MISSING)) for k in key]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
+
+
+def row_order(columns: Sequence[str], key: Sequence[str], seed: int = SEED) -> Column:
+    """The key's digest, then a hash of the whole row: rows with one key differ in their place."""
+    whole = F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in columns])
+    return F.concat(row_hash(key, seed), F.lpad(F.hex(whole), 16, "0"))
 
 
 def split_limits(
-    df: DataFrame, key: Sequence[str], label: str = LABEL, test_share: float = TEST_SHARE, seed: int = SEED
+    df: DataFrame,
+    key: Sequence[str],
+    label: str = LABEL,
+    test_share: float = TEST_SHARE,
+    seed: int = SEED,
+    edge_rows: int = EDGE_ROWS,
 ) -> DataFrame:
-    """(label, limit): per label the digest of the last row of the test part.
+    """(_label, _limit): per label the place of the last row of the test part.
 
-    A histogram over the first digits of the digest finds the digits where the test part ends; only the
-    rows with those digits are ranked.
+    A histogram over the first digits of the place finds the digits where the test part ends. While more than
+    ``edge_rows`` rows share them, a histogram over more digits of those rows narrows them down; what is left
+    is ranked, at most ``edge_rows`` rows a label.
     """
-    hashed = df.select(F.col(label).alias("_label"), row_hash(key, seed).alias("_hash")).withColumn(
-        "_prefix", F.substring("_hash", 1, PREFIX_LENGTH)
-    )
-    histogram = hashed.groupBy("_label", "_prefix").agg(F.count("*").alias("n"))
+    placed = df.select(F.col(label).alias("_label"), row_order(df.columns, key, seed).alias("_order"))
+    length = PREFIX_LENGTH
+    total = placed.groupBy("_label", F.substring("_order", 1, length).alias("_prefix")).agg(F.count("*").alias("n"))
+    everything = Window.partitionBy("_label")
+    ends = stage(_ends(total.withColumn("wanted", F.ceil(F.sum("n").over(everything) * F.lit(test_share)))), "ends")
+    while (most := ends.agg(F.max("n")).first()[0] or 0) > edge_rows and length < PLACE_LENGTH:
+        edge = _at_ends(placed, ends, length)
+        length += PREFIX_LENGTH
+        counts = edge.groupBy("_label", "wanted", F.substring("_order", 1, length).alias("_prefix"))
+        ends = stage(_ends(counts.agg(F.count("*").alias("n"))), "ends")
+    if most > edge_rows:
+        return ends.select("_label", F.col("_prefix").alias("_limit"))
+    place = F.row_number().over(Window.partitionBy("_label").orderBy("_order"))
+    ranked = _at_ends(placed, ends, length).withColumn("place", place)
+    return ranked.where("place = wanted").select("_label", F.col("_order").alias("_limit"))
+
+
+def _ends(histogram: DataFrame) -> DataFrame:
+    """(_label, _prefix, n, wanted): the digits among whose rows the wanted number is reached, and its rest."""
     in_order = Window.partitionBy("_label").orderBy("_prefix").rowsBetween(Window.unboundedPreceding, 0)
-    ends = histogram.select(
-        "_label",
-        "_prefix",
-        "n",
-        F.sum("n").over(in_order).alias("upto"),
-        F.ceil(F.sum("n").over(Window.partitionBy("_label")) * F.lit(test_share)).alias("wanted"),
-    ).where("upto >= wanted AND upto - n < wanted")
-    ends = broadcast_if_small(
-        ends.select(
-            F.col("_label").alias("_end_label"),
-            F.col("_prefix").alias("_end_prefix"),
-            (F.col("wanted") - F.col("upto") + F.col("n")).alias("need"),
-        )
-    )
-    edge = hashed.join(
-        ends,
-        F.col("_label").eqNullSafe(F.col("_end_label")) & (F.col("_prefix") == F.col("_end_prefix")),
-    )
-    place = F.row_number().over(Window.partitionBy("_label").orderBy("_hash"))
-    return (
-        edge.select("_label", "_hash", "need", place.alias("place"))
-        .where("place = need")
-        .select("_label", F.col("_hash").alias("_limit"))
-    )
+    found = histogram.withColumn("upto", F.sum("n").over(in_order)).where("upto >= wanted AND upto - n < wanted")
+    return found.select("_label", "_prefix", "n", (F.col("wanted") - F.col("upto") + F.col("n")).alias("wanted"))
+
+
+def _at_ends(placed: DataFrame, ends: DataFrame, length: int) -> DataFrame:
+    side = broadcast_if_small(ends.select(F.col("_label").alias("_end"), "_prefix", "wanted"))
+    same = F.col("_label").eqNullSafe(F.col("_end")) & (F.substring("_order", 1, length) == F.col("_prefix"))
+    return placed.join(side, same).select("_label", "_order", "wanted")
 
 
 def stratified_split(
@@ -67,13 +83,15 @@ def stratified_split(
     label: str = LABEL,
     test_share: float = TEST_SHARE,
     seed: int = SEED,
+    edge_rows: int = EDGE_ROWS,
 ) -> DataFrame:
     """The rows with ``split`` train or test: of every label the first ⌈share · n⌉ in digest order are test.
 
-    The same rows always get the same split. Rows with an equal key go to the same side.
+    The same rows always get the same split. Rows with an equal key are told apart by their other columns, so
+    a key that repeats doesn't change the share; only rows equal in every column go together.
     """
-    limits = broadcast_if_small(split_limits(df, key, label, test_share, seed))
-    is_test = row_hash(key, seed) <= F.col("_limit")
+    limits = broadcast_if_small(split_limits(df, key, label, test_share, seed, edge_rows))
+    is_test = row_order(df.columns, key, seed) <= F.col("_limit")
     return df.join(limits, F.col(label).eqNullSafe(F.col("_label")), "left").select(
         *[F.col(f"`{c}`") for c in df.columns], F.when(is_test, "test").otherwise("train").alias("split")
     )

@@ -14,12 +14,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyguard.operators.bounded import broadcast_if_small
+from tallyguard.session import stage
 
 ACCURACY = 10_000
 # Rank error allowed around a bracket end, in units of 1 / accuracy; the sketch promises one.
 SLACK = 3
 # Below this many rows per unit of accuracy a group is sorted as a whole.
 SMALL_GROUP = 20
+# Values of a bracket that one task ranks.
+EDGE_ROWS = 200_000
 
 
 def unpivot_numbers(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -40,10 +43,38 @@ def _same_group(left: str, right: str, by: Sequence[str]) -> Column:
     return condition
 
 
+def _with_ranks(counted: DataFrame, group: Sequence[str], spread_out: bool) -> DataFrame:
+    """``upto``: the rows of a group up to each value x, the values below its bracket (x NULL) first.
+
+    Spread out, the values are sorted by range; sums by partition give what lies before each, and a running
+    sum goes over the values of a group within a partition only.
+    """
+    running = Window.orderBy(F.col("x").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    if not spread_out:
+        return counted.withColumn("upto", F.sum("c").over(running.partitionBy(*group)))
+    order = [*group, F.col("x").asc_nulls_first()]
+    sorted_ = counted.repartitionByRange(*order).sortWithinPartitions(*order)
+    sorted_ = stage(sorted_.withColumn("part", F.spark_partition_id()), "ranks")
+    parts = sorted_.groupBy(*group, "part").agg(F.sum("c").alias("size"))
+    earlier = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*group, "part", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    inside = sorted_.withColumn("inside", F.sum("c").over(running.partitionBy(*group, "part")))
+    both = inside.alias("r").join(parts.alias("b"), _same_group("r", "b", [*group, "part"]))
+    return both.select("r.*", (F.col("b.before") + F.col("r.inside")).alias("upto")).drop("part", "inside")
+
+
 def grouped_quantiles(
-    df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float], accuracy: int = ACCURACY
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    probs: Sequence[float],
+    accuracy: int = ACCURACY,
+    edge_rows: int = EDGE_ROWS,
 ) -> DataFrame:
-    """(by…, n, q0, q1, …): exact quantiles per group, linear between neighbours, NULLs skipped."""
+    """(by…, n, q0, q1, …): exact quantiles per group, linear between neighbours, NULLs skipped.
+
+    Where a bracket may hold more than ``edge_rows`` values, they are ranked across the cluster.
+    """
     by = list(by)
     rows = df.select(*by, F.col(value).cast("double").alias("v")).where("v IS NOT NULL")
 
@@ -53,7 +84,8 @@ def grouped_quantiles(
     brackets = rows.groupBy(*by).agg(F.count("*").alias("n"), sketch.alias("ends"))
     whole = F.col("n") <= SMALL_GROUP * accuracy
     brackets = brackets.withColumn("ends", F.when(~whole, F.col("ends")))
-    brackets = broadcast_if_small(brackets)
+    brackets = broadcast_if_small(stage(brackets, "brackets"))
+    largest = brackets.agg(F.max("n")).first()[0] or 0
 
     joined = (
         rows.alias("r")
@@ -74,13 +106,9 @@ def grouped_quantiles(
         .agg(F.count("*").alias("c"))
     )
 
-    upto = F.sum("c").over(
-        Window.partitionBy(*by, "i")
-        .orderBy(F.col("x").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
+    counted = _with_ranks(counted, [*by, "i"], largest * 2 * SLACK / accuracy > edge_rows)
     wanted = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1) * (F.col("n") - 1)
-    ranked = counted.select("*", upto.alias("upto"), wanted.alias("rank"))
+    ranked = counted.select("*", wanted.alias("rank"))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((rank >= F.col("upto") - F.col("c")) & (rank < F.col("upto")), F.col("x")))

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from tallyguard.operators import parse
@@ -75,3 +76,13 @@ def test_select_features_by_type(spark):
 
 def test_head_rows_is_ordered(spark):
     assert [r[0] for r in parse.head_rows(spark.range(100), 3, F.desc("id")).collect()] == [99, 98, 97]
+
+
+@pytest.mark.parametrize(
+    "text", ['{"transaction_id": 1, "transaction_id": null}', '{"transaction_id": NaN}', '{"transaction_id": "x"}', "{", "[1]", None]
+)
+def test_gold_counts_the_rows_that_the_filter_keeps(spark, text):
+    from tallyguard.plans.flows import bronze_to_gold
+
+    df = spark.createDataFrame([(text,), ('{"transaction_id": 5}',)], "raw_json string")
+    assert bronze_to_gold(df).first()["transaction_count"] == parse.filter_transactions(df).count()

@@ -85,3 +85,19 @@ def test_report(spark):
     assert got["0"]["support"] == 6 and got["accuracy"]["f1"] == pytest.approx(0.7)
     assert got["macro avg"]["recall"] == pytest.approx((5 / 6 + 0.5) / 2)
     assert got["weighted avg"]["recall"] == pytest.approx((5 / 6 * 6 + 0.5 * 4) / 10)
+
+
+@pytest.mark.parametrize("edge_rows", [100_000, 5, 0])
+def test_the_share_holds_when_a_key_repeats(spark, edge_rows):
+    rows = [(7 if i % 10 < 3 else i, i, i % 2) for i in range(1000)] + [(None, 2000 + i, None) for i in range(50)]
+    df = spark.createDataFrame(rows, "transaction_id int, other int, fraud_label int")
+    split = prepare.stratified_split(df, ["transaction_id"], edge_rows=edge_rows)
+    shares = {r["fraud_label"]: r["n"] for r in split.where("split = 'test'").groupBy("fraud_label").agg(F.count("*").alias("n")).collect()}
+    assert shares == {0: 100, 1: 100, None: 10}
+
+
+def test_rows_equal_in_every_column_go_together(spark):
+    rows = [(1, 0)] * 40 + [(i, 0) for i in range(2, 62)]
+    df = spark.createDataFrame(rows, "transaction_id int, fraud_label int")
+    split = prepare.stratified_split(df, ["transaction_id"], edge_rows=3)
+    assert split.where("transaction_id = 1").select("split").distinct().count() == 1

@@ -161,3 +161,26 @@ def test_size_check(spark):
     assert collect_small(df, max_row_bytes=100) is None
     assert len(collect_small(df)) == 50
     assert broadcast_if_small(df, max_rows=10) is df
+
+
+@pytest.mark.parametrize("edge_rows", [200_000, 0])
+def test_quantiles_ranked_across_the_cluster_are_the_same(spark, edge_rows):
+    rng = np.random.default_rng(6)
+    rows = [(str(k), float(v)) for k in "ab" for v in rng.integers(0, 400, 3000)] + [(None, 1.0), ("a", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = quantiles.grouped_quantiles(df, ["k"], "v", [0.0, 0.25, 0.5, 0.99, 1.0], accuracy=100, edge_rows=edge_rows)
+    for r in got.collect():
+        values = [v for k, v in rows if k == r["k"] and v is not None]
+        assert [r[f"q{i}"] for i in range(5)] == pytest.approx(np.quantile(values, [0.0, 0.25, 0.5, 0.99, 1.0]).tolist())
+
+
+def test_outliers_of_a_column_without_values(spark):
+    df = spark.createDataFrame([(None,), (None,)], "v double")
+    row = profile.iqr_outliers(df, "v").first()
+    assert (row["low"], row["high"], row["n"], row["n_outliers"], row["pct_outliers"]) == (None, None, 0, 0, None)
+    assert [r["is_outlier"] for r in profile.flag_outliers(df, "v").collect()] == [0, 0]
+
+
+def test_the_two_zeros_are_one_value(spark):
+    df = spark.createDataFrame([(0.0, "x"), (-0.0, "x"), (None, "y")], "v double, t string")
+    assert {r["column"]: r["n_unique"] for r in profile.cardinality(df).collect()} == {"v": 2, "t": 2}
