@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import argparse
+from functools import partial
 
 from tallyguard.jobs import settings
 from tallyguard.operators.models import FraudModel
 from tallyguard.operators.parse import filter_transactions, parse_transactions
-from tallyguard.session import build_session
+from tallyguard.session import build_session, run_until_stopped
+from tallyguard.sources.topic import write_topic
 from tallyguard.streaming.ingest import TRIGGER_SECONDS, append_files, bronze_stream
-from tallyguard.streaming.score import THRESHOLD, stream_alerts, stream_score
+from tallyguard.streaming.score import THRESHOLD, alerts_to_topic, stream_alerts, stream_score
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--model-path", required=True)
     parser.add_argument("--bronze-path", default=settings.BRONZE)
-    parser.add_argument("--alerts-path", required=True)
+    target = parser.add_mutually_exclusive_group(required=True)
+    target.add_argument("--alerts-path")
+    target.add_argument("--alerts-topic")
     parser.add_argument("--checkpoint", required=True)
     parser.add_argument("--threshold", type=float, default=THRESHOLD)
     parser.add_argument("--trigger-seconds", type=int, default=TRIGGER_SECONDS)
@@ -25,15 +29,13 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session("tallyguard-score")
     transactions = parse_transactions(filter_transactions(bronze_stream(spark, args.bronze_path)))
     alerts = stream_alerts(stream_score(FraudModel.load(args.model_path), transactions), args.threshold)
-    query = append_files(
-        alerts,
-        args.alerts_path,
-        args.checkpoint,
-        trigger_seconds=args.trigger_seconds,
-        available_now=args.once,
-    )
-    query.awaitTermination()
-    spark.stop()
+    pace = {"trigger_seconds": args.trigger_seconds, "available_now": args.once}
+    if args.alerts_topic:
+        send = partial(write_topic, servers=settings.SERVERS, topic=args.alerts_topic)
+        query = alerts_to_topic(alerts, send, args.checkpoint, **pace)
+    else:
+        query = append_files(alerts, args.alerts_path, args.checkpoint, **pace)
+    run_until_stopped(spark, query)
 
 
 if __name__ == "__main__":

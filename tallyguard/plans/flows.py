@@ -8,14 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.operators import models
+from tallyguard.operators import models, profile
 from tallyguard.operators.clean import clean_table
 from tallyguard.operators.features import FeatureColumns, feature_table, median_hour
 from tallyguard.operators.parse import parse_for_summary, select_features
 from tallyguard.operators.prepare import stratified_split
 from tallyguard.operators.profile import gold_summary
 from tallyguard.session import stage
-from tallyguard.sources.schemas import LABEL
+from tallyguard.sources.schemas import CORRELATED_COLUMNS, LABEL, RATE_COLUMNS
 
 
 def bronze_to_gold(bronze: DataFrame) -> DataFrame:
@@ -23,6 +23,28 @@ def bronze_to_gold(bronze: DataFrame) -> DataFrame:
     return gold_summary(parse_for_summary(bronze), present="transaction_id")
 
 
+def profile_tables(
+    df: DataFrame,
+    amount: str = "transaction_amount_million",
+    date: str = "transaction_date",
+    earlier: str = "previous_fraud_count",
+) -> dict[str, DataFrame]:
+    """The profile of a labelled table by name: shape, gaps, distributions, correlations, rates, outliers, trend."""
+    return {
+        "shape": profile.profile_shape(df),
+        "missing": profile.missing_counts(df),
+        "numbers": profile.describe_numeric(df),
+        "labels": profile.label_distribution(df),
+        "imbalance": profile.imbalance_ratio(df),
+        "cardinality": profile.cardinality(df),
+        "correlations": profile.corr_matrix(df, CORRELATED_COLUMNS),
+        "rates": profile.fraud_rate_by(df, RATE_COLUMNS),
+        "outliers": profile.iqr_outliers(df, amount),
+        "trend": profile.monthly_trend(df, date),
+        "earlier_frauds": profile.crosstab_pct(df, earlier),
+    }
+
+
 @dataclass
 class TrainingSet:
     """The feature table split in two, with what scoring needs later."""

@@ -67,6 +67,25 @@ TRANSACTION_SCHEMA = StructType(
 # Roles of the columns in the feature and model steps.
 LABEL = "fraud_label"
 YES_NO_COLUMNS = ("is_international_transaction", "is_new_merchant", "unusual_time_transaction")
+RATE_COLUMNS = (
+    "transaction_type",
+    "merchant_category",
+    "card_type",
+    "is_international_transaction",
+    "is_new_merchant",
+    "unusual_time_transaction",
+)
+CORRELATED_COLUMNS = (
+    "transaction_amount_million",
+    "distance_from_home",
+    "account_balance_million",
+    "daily_transaction_count",
+    "weekly_transaction_count",
+    "avg_transaction_amount_million",
+    "max_transaction_last_24h_million",
+    "failed_transaction_count",
+    "previous_fraud_count",
+)
 NON_FEATURES = (
     "fraud_label",
     "transaction_id",

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tallyguard.operators.features import FeatureColumns, feature_table
 from tallyguard.operators.models import FraudModel, score_batch
+from tallyguard.sources.topic import to_messages
+from tallyguard.streaming.ingest import TRIGGER_SECONDS, triggered
 
 THRESHOLD = 0.5
 
@@ -17,6 +22,19 @@ def stream_score(model: FraudModel, transactions: DataFrame, names: FeatureColum
     return score_batch(model, features)
 
 
+def alerts_to_topic(
+    alerts: DataFrame,
+    send: Callable[[DataFrame], None],
+    checkpoint: str,
+    key: str = "transaction_id",
+    trigger_seconds: int = TRIGGER_SECONDS,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Send every alert as a message, key and JSON of the row; a repeated batch sends its alerts again."""
+    writer = alerts.writeStream.foreachBatch(lambda batch, _: send(to_messages(batch, key)))
+    return triggered(writer.option("checkpointLocation", checkpoint), trigger_seconds, available_now).start()
+
+
 def stream_alerts(scored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows whose fraud probability reaches the threshold."""
     return scored.where(F.col("fraud_probability") >= threshold)

@@ -174,3 +174,13 @@ def test_a_repeated_profile_batch_changes_nothing(spark, tmp_path):
     for name in ("1", ".1.crc"):
         (mark / "commits" / name).unlink(missing_ok=True)
     assert go() == once and len(once) == 9
+
+
+def test_alerts_are_sent_as_messages(spark, tmp_path):
+    source, sink, mark = (str(tmp_path / n) for n in ("scores", "sent", "mark"))
+    schema = "transaction_id double, fraud_probability double"
+    put(spark, source, [(1.0, 0.9), (2.0, 0.1), (None, 0.7)], schema)
+    alerts = score.stream_alerts(spark.readStream.schema(schema).parquet(source))
+    score.alerts_to_topic(alerts, lambda m: m.write.mode("append").parquet(sink), mark, available_now=True).awaitTermination()
+    sent = {r["key"]: json.loads(r["value"]) for r in spark.read.parquet(sink).collect()}
+    assert sent == {"1.0": {"transaction_id": 1.0, "fraud_probability": 0.9}, None: {"transaction_id": None, "fraud_probability": 0.7}}
