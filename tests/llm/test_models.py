@@ -184,6 +184,48 @@ def test_moves_keep_customers_and_reach_the_right_seatings():
     assert np.abs(found - chance / chance.sum()).max() < 0.01
 
 
+def test_drawn_tables_agree_with_moving_every_customer():
+    discount, copies = 0.5, 20_000
+    drawn = pitman_yor.draw_tables(np.full(copies, 3), np.full(copies, 0.8), discount, np.random.default_rng(1))
+    chance = np.array([0.8 * (1 - discount) * (2 - discount), 3 * 0.8**2 * (1 - discount), 0.8**3])
+    assert np.abs(np.bincount(drawn, minlength=4)[1:] / copies - chance / chance.sum()).max() < 0.015
+    counts = np.array([0, 1, 2, 40, 512, 513, 5000])
+    many = pitman_yor.draw_tables(counts, np.full(len(counts), 1e-12), discount, np.random.default_rng(2))
+    assert many.tolist() == [0, 1, 1, 1, 1, 1, 1]
+    many = pitman_yor.draw_tables(counts, np.full(len(counts), 1e12), discount, np.random.default_rng(2))
+    assert many.tolist() == counts.tolist()
+
+
+@pytest.mark.parametrize("discount", [0.1, 0.5, 0.8, 0.95])
+def test_integral_agrees_with_recurrence(monkeypatch, discount):
+    monkeypatch.setattr(pitman_yor, "TRIANGLE", 1500)
+    monkeypatch.setattr(pitman_yor, "_triangles", {})
+    for count in (513, 1500):
+        for weight in (1e-9, 0.05, 1, 20, 300, 1000, 1e4, 1e6):
+            logs = pitman_yor.triangle(discount)[count] + np.arange(1, count + 1) * np.log(weight)
+            wanted = np.exp(logs - logs.max())
+            least, chance = pitman_yor.chances(count, weight, discount)
+            found = np.zeros(count)
+            found[least - 1 : least - 1 + len(chance)] = chance
+            assert np.abs(found - wanted / wanted.sum()).max() < 1e-6, (count, weight)
+
+
+def test_a_sweep_seats_frequent_pairs_anew():
+    """Two pairs with many customers forget how they started: one sweep gives the tables that their weights ask for."""
+    counts = np.array([5000, 400])
+    row = {"bucket": 0, "words": np.arange(2).astype("<u8").tobytes(), "each": pitman_yor.squeezed(np.ones(2), "<u4")}
+    row |= {"contexts": pitman_yor.squeezed(np.zeros(2), "<u2"), "counts": pitman_yor.squeezed(counts, "<u4")}
+    seated = np.zeros(pitman_yor.CONTEXTS)
+    seated[0] = counts.sum()
+    settings = pitman_yor.Settings(seated, 2, 3, 1)
+    bucket = pitman_yor.Bucket(row, settings)
+    totals = np.zeros(pitman_yor.CONTEXTS + 2)
+    totals[0], totals[-2], totals[-1] = 10, 10_000, 2
+    weight = (pitman_yor.STRENGTH + settings.discount * 10) * bucket.parent_probability(pitman_yor.Totals(totals))
+    bucket.sweep(1, pitman_yor.Totals(totals))
+    assert bucket.tables().sum() < 40 and (weight < 5).all()
+
+
 def test_seats_follow_their_counts():
     rng = np.random.default_rng(2)
     counts = rng.integers(0, 9, 500)
@@ -267,6 +309,16 @@ def test_replayed_seats_are_the_same():
     assert (run() == run()).all()
 
 
+def test_written_seats_go_on_as_replayed_ones(odd, monkeypatch):
+    """Scores don't depend on how often seats are written."""
+    found = []
+    for every in (1, 100):
+        monkeypatch.setattr(pitman_yor, "KEPT_EVERY", every)
+        rows = pitman_yor.score_documents(odd, F.lit(True)).collect()
+        found.append(sorted((str(r["doc_id"]), r["n_tokens"], r["score"]) for r in rows))
+    assert found[0] == found[1]
+
+
 def test_scores_beat_the_base_on_held_out_rows(spark, documents):
     out = QUERIES["op6_lm_scoring"](spark, FOLDER).toPandas()
     assert list(out["held_out"]) == [remainder(i, 7) == 2 for i in out["doc_id"]]
