@@ -15,8 +15,8 @@ THRESHOLD = 0.95
 CELL_ROWS = 4096
 MAX_PIVOTS = 1024
 BLOCK_ROWS = 4096
-#: Widens the radius so that rounding never hides a pair.
-SLACK = 1e-9
+#: Widens the radius so that rounding never hides a pair: distances are roots of 2 - 2 cos, whose rounding they enlarge.
+SLACK = 1e-6
 
 
 def unit_rows(column: pa.Array, dim: int) -> np.ndarray:
@@ -55,8 +55,12 @@ class Pivots:
         near = cos.argmax(axis=1)
         return at[near].astype("int64"), np.sqrt(np.maximum(0, 2 - 2 * cos[np.arange(len(unit)), near]))
 
-    def visits(self, unit: np.ndarray, dim: int, inner: np.ndarray, outer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(row, cell) for all cells of higher number that may hold a vector within the radius.
+    def visits(
+        self, unit: np.ndarray, dim: int, cell: np.ndarray, inner: np.ndarray, outer: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(row, cell) for all cells of higher number than ``cell`` that may hold a vector within the radius.
+
+        ``cell`` is the home that was written: where pivots tie up to rounding, another batch may find another one.
 
         A vector y of cell j lies between the cell's inner and outer radius of pivot j, so by the triangle
         inequality x must lie within the join radius of that ring; and y is nearer to pivot j than to x's own,
@@ -66,7 +70,7 @@ class Pivots:
             return np.zeros(0, "int64"), np.zeros(0, "int64")
         at, pivots, gap = self.of[dim]
         cos = unit @ pivots.T
-        home = cos.argmax(axis=1)
+        home = np.searchsorted(at, cell)
         apart = np.sqrt(np.maximum(0, 2 - 2 * cos))
         ring = (apart <= outer[at] + self.radius) & (apart >= inner[at] - self.radius)
         plane = cos[np.arange(len(unit)), home][:, None] - cos <= self.radius * gap[home] + SLACK
@@ -177,11 +181,12 @@ def near_vectors(
         for batch in batches:
             for dim, at in by_dimension(batch.column(2)):
                 unit = unit_rows(batch.column(2).take(pa.array(at)), dim)
-                who, cells = pivots.visits(unit, dim, inner, outer)
-                taken = batch.take(pa.array(at[who]))
+                home = batch.column(3).to_numpy(zero_copy_only=False)[at]
+                who, cells = pivots.visits(unit, dim, home, inner, outer)
+                taken = batch.select([0, 1, 2]).take(pa.array(at[who]))
                 yield pa.RecordBatch.from_arrays([*taken.columns, pa.array(cells)], ["rep", "weight", "v", "cell"])
 
-    visitors = stage(homes.select("rep", "weight", "v").mapInArrow(visiting, ddl), "visitors")
+    visitors = stage(homes.select("rep", "weight", "v", "cell").mapInArrow(visiting, ddl), "visitors")
     crowds = {r["cell"]: r["count"] for r in visitors.groupBy("cell").count().collect()}
     cells = [(c, -(-r["n"] // block_rows), -(-crowds.get(c, 0) // block_rows)) for c, r in sizes.items()]
     plan = F.broadcast(spark.createDataFrame(cells, "cell bigint, blocks bigint, crowd bigint"))

@@ -121,6 +121,26 @@ def test_vectors_against_all_pairs(spark, cell_rows, block_rows):
     assert sum(w[1] for w in wanted) > 200
 
 
+def test_links_of_tied_pivots_don_t_hang_on_batches(spark, monkeypatch):
+    """Rescaled copies of one vector, several of them pivots: whichever of the tied cells is written is the home."""
+
+    class Tied(metric.Pivots):
+        def homes(self, unit, dim):
+            cell, apart = super().homes(unit, dim)
+            at, pivots, _ = self.of[dim]
+            cos = unit @ pivots.T
+            ties = cos >= cos.max(axis=1, keepdims=True) - 1e-9
+            last = at[len(at) - 1 - ties[:, ::-1].argmax(axis=1)]
+            return np.where(np.arange(len(unit)) % 2, at[ties.argmax(axis=1)], last), apart
+
+    monkeypatch.setattr(metric, "Pivots", Tied)
+    rng = np.random.default_rng(9)
+    v = (rng.standard_normal(64) * rng.uniform(0.1, 9, (300, 1))).astype("float32")
+    table = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id bigint, embedding array<float>")
+    out = metric.near_vectors(table, cell_rows=30)
+    assert set(by(out, "n_links", "component_id")) == {(299, 0)}
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
