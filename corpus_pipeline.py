@@ -44,9 +44,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learnt from the labels of the documents here, finds good."""
+    """Documents that the classifier, learnt from the labels of the documents here, finds good.
+
+    Where none of them has a label 0 or 1, nothing can be learnt and every document is kept.
+    """
     rows = _numbered(docs)
-    labels = rows.select("doc_id", ROW).join(spark.read.parquet(f"{sf_dir}/labels.parquet"), "doc_id")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(F.col("quality").cast("double").isin(0.0, 1.0))
+    labels = stage(rows.select("doc_id", ROW).join(labels.select("doc_id", "quality"), "doc_id"), "labels")
+    if labels.isEmpty():
+        return docs
     found = quality.classify(rows, labels, id_col=ROW, label_id=ROW)
     return _keep(rows, found.where("predicted = 1"))
 

@@ -44,6 +44,13 @@ def test_each_stage_drops_what_it_must(spark, odd):
     assert 1 in left and 13 not in left and 3 in left and 5 not in left
 
 
+@pytest.mark.parametrize("labels", [[], [(99, 1, 0), (1, None, 0), (2, 7, 0)]])
+def test_every_document_stays_where_no_quality_is_learnt(spark, odd, tmp_path, labels):
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    kept = dict(pipeline.STAGES)["quality"](spark, odd, str(tmp_path))
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(str(r["doc_id"]) for r in odd.collect())
+
+
 def test_empty_documents(spark, none):
     empty = stage(none, "none")
     for name, function in pipeline.STAGES:
