@@ -19,7 +19,8 @@ from tallyguard.llm.packing import pack
 from tallyguard.llm.simhash import simhash_groups
 from tallyguard.session import stage
 
-#: A document goes if less than this share of its letter n-grams is of its best language.
+#: A document goes if the share of its letter n-grams that is of its best language is less than this part of the
+#: share that the language's own texts reach.
 LEAST_LANGUAGE = 0.3
 ROW = "_pipeline_row"
 
@@ -39,7 +40,7 @@ def _numbered(docs: DataFrame) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is known. NULL texts, texts without letters and strange ones go."""
     rows = _numbered(docs)
-    found = langid.identify(rows, id_col=ROW)
+    found = langid.identify(rows, id_col=ROW, relative=True)
     return _keep(rows, found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)))
 
 

@@ -92,6 +92,11 @@ class LanguageFilters:
                 self.masks[bit // 64, places] |= np.uint64(1 << (bit % 64))
         fill = np.array([self.has(self.masks, bit).mean() for bit in range(len(self.langs))])
         self.false_rate = np.minimum(fill**HASHES, 0.999)
+        kept = defaultdict(int)
+        for lang, _, count in found:
+            kept[lang] += count
+        #: The share of the n-grams of each language's own texts that its filter holds.
+        self.reached = np.array([kept[lang] / totals[lang] if kept[lang] else 1.0 for lang in self.langs])
 
     @staticmethod
     def has(masks: np.ndarray, bit: int) -> np.ndarray:
@@ -117,8 +122,11 @@ class LanguageFilters:
             hits += [int(self.has(common, bit).sum()) for bit in range(len(self.langs))]
         return total, hits
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """(language, share of the text's n-grams that are the language's, false positives taken off)."""
+    def predict(self, text: str | None, relative: bool = False) -> tuple[str, float]:
+        """(language, share of the text's n-grams that are the language's, false positives taken off).
+
+        ``relative``: the share as a part of the one that the language's own texts reach, 1 at most.
+        """
         if text is None or not self.langs:
             return UNKNOWN, 0.0
         total, hits = self.counts(text)
@@ -126,7 +134,8 @@ class LanguageFilters:
             return UNKNOWN, 0.0
         share = np.clip((hits / total - self.false_rate) / (1 - self.false_rate), 0.0, 1.0)
         best = int(share.argmax())
-        return (self.langs[best], float(share[best])) if share[best] > 0 else (self.prior, 0.0)
+        score = min(1.0, share[best] / self.reached[best]) if relative else share[best]
+        return (self.langs[best], float(score)) if score > 0 else (self.prior, 0.0)
 
 
 def learn(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", min_share: float = MIN_SHARE) -> LanguageFilters:
@@ -149,6 +158,7 @@ def identify(
     text_col: str = "text",
     lang_col: str = "lang",
     min_share: float = MIN_SHARE,
+    relative: bool = False,
 ) -> DataFrame:
     """``id_col``, lang_pred, score for every row, learnt from the rows where ``train`` holds (default: all).
 
@@ -157,7 +167,8 @@ def identify(
     without letters or on NULL the language is ``und`` with score 0; a text with letters unknown to all
     languages gets the one with most n-grams, score 0. Repeated rows come out each; only id and text are read
     to predict; an empty table gives no rows. Names of languages are few: their totals go to the driver, and
-    of n-grams at most 1 / ``min_share`` a language.
+    of n-grams at most 1 / ``min_share`` a language. In a large corpus rare n-grams are therefore in no filter;
+    with ``relative`` the score is divided by the share that the language's own texts reach.
     """
     spark = docs.sparkSession
     filters = learn(docs if train is None else docs.where(train), text_col, lang_col, min_share)
@@ -168,7 +179,7 @@ def identify(
     def predicted(batches):
         model = shared.value
         for batch in batches:
-            found = [model.predict(t.as_py()) for t in batch.column(1)]
+            found = [model.predict(t.as_py(), relative) for t in batch.column(1)]
             langs, scores = pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())
             yield pa.RecordBatch.from_arrays([batch.column(0), langs, scores], ["id", "lang_pred", "score"])
 

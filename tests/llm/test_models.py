@@ -85,6 +85,17 @@ def test_odd_texts_have_defined_languages(odd, none):
     assert {(r["lang_pred"], r["score"]) for r in untaught} == {("und", 0.0)}
 
 
+def test_relative_score_does_not_sink_with_rare_grams(spark):
+    """A script with very many 3-grams: the filter holds few of them, and clean texts would go at 0.3."""
+    rng = random.Random(8)
+    texts = ["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(80)) + " 中文中文中文中文中文" for _ in range(60)]
+    docs = spark.createDataFrame([(i, t, "zh") for i, t in enumerate(texts)], "doc_id bigint, text string, lang string")
+    plain = langid.identify(docs, min_share=0.005).collect()
+    assert all(r["lang_pred"] == "zh" and 0 < r["score"] < 0.3 for r in plain)
+    relative = langid.identify(docs, min_share=0.005, relative=True).collect()
+    assert all(r["lang_pred"] == "zh" and 0.9 < r["score"] <= 1 for r in relative)
+
+
 def test_language_query_on_held_out_rows(spark, documents):
     out = QUERIES["op2_language_id"](spark, FOLDER).toPandas().merge(documents, on="doc_id")
     assert list(out["held_out"]) == [remainder(i, 5) == 0 for i in out["doc_id"]]
