@@ -8,7 +8,7 @@ from public_tokenizers import path as tokenizer_path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm import langid, pitman_yor, quality
+from tallyguard.llm import langid, pitman_yor, quality, warc
 from tallyguard.llm.exact import exact_groups
 from tallyguard.llm.metric import near_vectors
 from tallyguard.llm.packing import pack
@@ -115,3 +115,23 @@ def op9_quality(spark: SparkSession, folder: str) -> DataFrame:
 def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     out = pitman_yor.score_documents(read(spark, folder, "documents"), ~pitman_yor.held_out())
     return out.withColumn("held_out", pitman_yor.held_out())
+
+
+@query(
+    "op11_warc",
+    """WITH p AS (
+          SELECT page_id, coalesce(html, '') AS body, strlen(coalesce(html, '')) AS size, sha1(coalesce(html, '')) AS hex
+          FROM pages),
+        t AS (
+          SELECT *, max(page_id) OVER (PARTITION BY body) AS first,
+            array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (
+              (('0x' || substr(hex, ((i // 4) * 5 + 1)::INT, 5))::BIGINT >> ((3 - i % 4) * 5)::INT) & 31)::INT, 1)), '')
+              AS payload_digest
+          FROM p)
+        SELECT page_id, size AS payload_bytes, payload_digest,
+          CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+          CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM t""",
+)
+def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(read(spark, folder, "pages"))
