@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from public_tokenizers import path as tokenizer_path
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyguard.llm import langid, pitman_yor, quality, warc
@@ -13,6 +13,7 @@ from tallyguard.llm.exact import exact_groups
 from tallyguard.llm.metric import near_vectors
 from tallyguard.llm.packing import pack
 from tallyguard.llm.pieces import encode_pieces
+from tallyguard.llm.runs import periodic_runs
 from tallyguard.llm.sharding import shard_rows
 from tallyguard.llm.simhash import simhash_groups
 from tallyguard.llm.token_files import round_trip
@@ -135,3 +136,23 @@ def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 )
 def op11_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(read(spark, folder, "pages"))
+
+
+def with_repeats(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """The text, with words that repeat periodically from some place on in a tenth of the documents."""
+    seed = F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+    given = F.floor(seed / 10)
+    words = F.split(F.btrim(F.col(text_col), F.lit(" \t\n\x0b\x0c\r")), r"[\x20\x09-\x0D]+")
+    count = F.size(words)
+    first = (given % count).cast("int")
+    period = (1 + F.floor((count - first) / (3 + given % 8))).cast("int")
+    times = F.ceil((count - first) / period).cast("int")
+    block = F.flatten(F.array_repeat(F.slice(words, first + 1, period), times))
+    repeated = F.concat(F.slice(words, F.lit(1), first), F.slice(block, F.lit(1), count - first))
+    return F.when(seed % 10 == 0, F.array_join(repeated, " ")).otherwise(F.col(text_col))
+
+
+@query("op13_periodic_runs")
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents").select("doc_id", with_repeats().alias("text"))
+    return periodic_runs(docs)
