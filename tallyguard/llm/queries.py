@@ -13,6 +13,7 @@ from tallyguard.llm.exact import exact_groups
 from tallyguard.llm.metric import near_vectors
 from tallyguard.llm.packing import pack
 from tallyguard.llm.pieces import encode_pieces
+from tallyguard.llm.repair import repair_conversations
 from tallyguard.llm.runs import periodic_runs
 from tallyguard.llm.sharding import shard_rows
 from tallyguard.llm.simhash import simhash_groups
@@ -156,3 +157,26 @@ def with_repeats(id_col: str = "doc_id", text_col: str = "text") -> Column:
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     docs = read(spark, folder, "documents").select("doc_id", with_repeats().alias("text"))
     return periodic_runs(docs)
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with some rows marked as gone, emptied, without ends of sentences, repeated or reassigned."""
+    space = F.lit(" ")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), space), F.lit(":"), F.coalesce(F.col("turn").cast("string"), space))
+    kind = F.crc32(name.cast("binary")) % 20
+    role, text = F.coalesce("role", space), F.coalesce("text", space)
+    text = F.when(kind == 1, F.lit("")).when(kind == 2, F.translate(text, ".!?", "")).otherwise(text)
+    copies = F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return rows.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, F.lit("user")).otherwise(role).alias("role"),
+        text.alias("text"),
+        (kind == 0).alias("gone"),
+        F.explode(copies).alias("copy"),
+    )
+
+
+@query("op12_conversation_repair")
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return repair_conversations(damaged(read(spark, folder, "conversations")), gone_col="gone", copy_col="copy")
