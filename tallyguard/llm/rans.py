@@ -7,9 +7,11 @@ import numpy as np
 #: State interval of a lane: below LOW a decoder reads a 32-bit word, an encoder writes one before LOW << 32.
 LOW = np.uint64(1 << 31)
 WORD = np.uint64(32)
-LANES = 1024
+LANES = 2048
 #: A decoder can start at every so many rows of lanes.
-CHECKPOINT_ROWS = 128
+CHECKPOINT_ROWS = 64
+#: Ids below this bound are looked up in an array, others are searched for.
+MOST_NUMBERS = 1 << 24
 
 
 class Table:
@@ -27,6 +29,15 @@ class Table:
         self.freq = share.astype("uint64")
         self.start = np.concatenate([[0], np.cumsum(share)[:-1]]).astype("uint64")
         self._symbols = None
+        top = int(self.ids[-1]) + 1
+        self._numbers = None
+        if top <= MOST_NUMBERS:
+            self._numbers = np.zeros(top, "int32")
+            self._numbers[self.ids] = np.arange(len(self.ids))
+
+    def numbers(self, ids: np.ndarray) -> np.ndarray:
+        """The places of ids in the table; all of them are in it."""
+        return np.searchsorted(self.ids, ids) if self._numbers is None else self._numbers[ids]
 
     @property
     def symbols(self) -> np.ndarray:
@@ -39,7 +50,7 @@ class Table:
 def encode(table: Table, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words, places, states) of one block: the word stream in reading order, and for every checkpoint the
     place in it and the states of all lanes there. Id number i belongs to lane i modulo LANES."""
-    symbols = np.searchsorted(table.ids, ids)
+    symbols = table.numbers(ids)
     freq, start = table.freq[symbols], table.start[symbols]
     limit = freq << np.uint64(63 - table.bits)
     shift = np.uint64(table.bits)

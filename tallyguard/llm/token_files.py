@@ -25,7 +25,10 @@ BLOCKS = (
 
 
 def encode_in_order(docs: DataFrame, path: str, end_id: int, id_col: str, text_col: str) -> DataFrame:
-    """Rows (part, part_start, id, n_tokens, ids) sorted by id within parts that are ranges of ids."""
+    """Rows (part, part_start, id, n_tokens, ids, counts) sorted by id within parts that are ranges of ids.
+
+    ``counts`` is NULL but in one more row at the end of each part, without ids, which counts the part's ids.
+    """
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     source = source.withColumn("size", F.octet_length("text"))
     order = ["id", "size"]
@@ -35,9 +38,11 @@ def encode_in_order(docs: DataFrame, path: str, end_id: int, id_col: str, text_c
 
     def tokens(batches):
         encode, part, at = encoder(path), TaskContext.get().partitionId(), 0
+        found = np.zeros(0, "int64")
         for batch in batches:
             ids = [encode(text.as_py()) + end for text in batch.column(1)]
             counts = np.array([len(x) // 4 for x in ids], "int64")
+            found = added(found, ids)
             starts = at + np.cumsum(counts) - counts
             at += int(counts.sum())
             narrow = [np.frombuffer(x, "<u4") for x in ids]
@@ -49,11 +54,30 @@ def encode_in_order(docs: DataFrame, path: str, end_id: int, id_col: str, text_c
                     batch.column(0),
                     pa.array(counts),
                     pa.array(narrow, pa.binary()),
+                    pa.nulls(len(ids), counted),
                 ],
-                ["part", "part_start", "id", "n_tokens", "ids"],
+                names,
             )
+        ids = np.flatnonzero(found)
+        last = [{"token": t, "count": n} for t, n in zip(ids.tolist(), found[ids].tolist())]
+        row = [[part], [at], None, [0], None, [last]]
+        kinds = [pa.int64(), pa.int64(), id_type, pa.int64(), pa.binary(), counted]
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, t) if v is None else pa.array(v, t) for v, t in zip(row, kinds)], names)
+
+    names = ["part", "part_start", "id", "n_tokens", "ids", "counts"]
+    id_type = arrow_fields(docs.sparkSession, f"id {kind}").field("id").type
+    counted = pa.list_(pa.struct([("token", pa.int64()), ("count", pa.int64())]))
+    ddl = f"part bigint, part_start bigint, id {kind}, n_tokens bigint, ids binary, counts array<struct<token: bigint, count: bigint>>"
+    return ranged.mapInArrow(tokens, ddl)
 
-    return ranged.mapInArrow(tokens, f"part bigint, part_start bigint, id {kind}, n_tokens bigint, ids binary")
+
+def added(total: np.ndarray, ids: list[bytes]) -> np.ndarray:
+    """Counts by id, with those of some more documents."""
+    found = np.bincount(np.frombuffer(b"".join(ids), "<u4")) if ids else np.zeros(0, "int64")
+    if len(found) < len(total):
+        found, total = total, found
+    found[: len(total)] += total
+    return found
 
 
 def widen(data: bytes) -> np.ndarray:
@@ -63,21 +87,7 @@ def widen(data: bytes) -> np.ndarray:
 
 def count_ids(rows: DataFrame) -> list:
     """(token, count) over all documents, at most one row per id of the vocabulary."""
-
-    def count(batches):
-        total = np.zeros(0, "int64")
-        for batch in batches:
-            for data in batch.column(0):
-                found = np.bincount(widen(data.as_py()))
-                if len(found) > len(total):
-                    found[: len(total)] += total
-                    total = found
-                else:
-                    total[: len(found)] += found
-        ids = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["token", "count"])
-
-    counted = rows.select("ids").mapInArrow(count, "token bigint, count bigint")
+    counted = rows.where("counts IS NOT NULL").select(F.inline("counts"))
     return counted.groupBy("token").agg(F.sum("count").alias("count")).collect()
 
 
@@ -92,8 +102,8 @@ def write_token_files(
 ) -> None:
     """Encode all documents, append the end id, and write the ids in ascending order of ``id_col``.
 
-    Texts are sorted by range of id, encoded once into a written table, and their ids counted into one table
-    of frequencies, which stands beside the blocks (``folder``/table). A block in ``folder``/blocks holds up to
+    Texts are sorted by range of id, encoded once into a written table and their ids counted on the way; the
+    table of frequencies stands beside the blocks (``folder``/table). A block in ``folder``/blocks holds up to
     ``block_ids`` ids of neighbouring documents, coded on its own, with checkpoints every CHECKPOINT_ROWS rows
     of lanes and checksums of its ids and of its words; a longer document goes on in further blocks. NULL and
     empty texts are the end id alone, NULL ids come first, repeated rows are written each, other columns are
@@ -147,7 +157,7 @@ def write_token_files(
         if parts:
             yield pa.RecordBatch.from_pylist([block(table, parts)], schema)
 
-    placed = rows.withColumnRenamed("part", "_part").join(F.broadcast(offsets), "_part")
+    placed = rows.where("counts IS NULL").withColumnRenamed("part", "_part").join(F.broadcast(offsets), "_part")
     placed = placed.select("id", (F.col("_offset") + F.col("part_start")).alias("start"), "n_tokens", "ids")
     ddl = BLOCKS.format(kind=kind)
     schema = pa.schema(arrow_fields(spark, ddl))
@@ -194,7 +204,8 @@ def read_documents(spark: SparkSession, folder: str, id_col: str = "doc_id", wit
     """Read token files back: ``id_col``, start, n_tokens, ids_crc32, and ids where ``with_ids``.
 
     Blocks are decoded and checked independently. A document that goes over several blocks comes out of each
-    as a piece with its checksum; the pieces are put together by its start, and their checksums combined.
+    as a piece with its checksum; the pieces, written once, are put together by its start, and their checksums
+    combined.
     """
     def use(row, ids):
         pieces = row["pieces"]
@@ -218,7 +229,7 @@ def read_documents(spark: SparkSession, folder: str, id_col: str = "doc_id", wit
     kind = blocks.schema["pieces"].dataType.elementType["id"].dataType.simpleString()
     id_type = arrow_fields(spark, f"id {kind}").field("id").type
     ddl = f"id {kind}, start bigint, n_tokens bigint, place bigint, length bigint, crc bigint"
-    pieces = blocks.mapInArrow(mapped, ddl + (", ids array<int>" if with_ids else ""))
+    pieces = stage(blocks.mapInArrow(mapped, ddl + (", ids array<int>" if with_ids else "")), "pieces")
     whole = F.col("length") == F.col("n_tokens")
     columns = ["id", "start", "n_tokens", F.col("crc").alias("ids_crc32"), *(["ids"] if with_ids else [])]
     done = pieces.where(whole).select(*columns)

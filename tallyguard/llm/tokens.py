@@ -41,6 +41,8 @@ class Encoder:
         self.by_piece = blanks_vanish(json.loads(text))
         split = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.byte_letters = str.maketrans({chr(i): split.pre_tokenize_str(chr(i))[0][0] for i in range(33, 256)})
+        size = self.library.get_vocab_size(with_added_tokens=True)
+        self.id_bytes = [i.to_bytes(4, "little") for i in range(size)]
         self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {"": b""}
 
@@ -48,19 +50,23 @@ class Encoder:
         if not self.by_piece or not is_latin(text) or any(s in text for s in self.special):
             return self.whole(text)
         pieces = text.lower().replace("\n", " ").replace("\r", " ").replace("\t", " ").split(" ")
-        found = list(map(self.pieces.get, pieces))
+        known = self.pieces
+        found = list(map(known.get, pieces))
         if None in found:
-            for i, piece in enumerate(pieces):
-                if found[i] is None:
-                    found[i] = self.pieces.get(piece) or self.piece(piece)
-                    if len(piece) <= MEMORY_LENGTH:
-                        self.pieces[piece] = found[i]
+            for i in [i for i, ids in enumerate(found) if ids is None]:
+                piece = pieces[i]
+                found[i] = ids = known.get(piece) or self.piece(piece)
+                if len(piece) <= MEMORY_LENGTH:
+                    known[piece] = ids
         out = b"".join(found)
+        self._forget()
+        return out
+
+    def _forget(self) -> None:
         if len(self.pieces) > MEMORY_PIECES:
             self.pieces = {"": b""}
         if len(self.words) > MEMORY_PIECES:
             self.words = {}
-        return out
 
     def whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -77,8 +83,8 @@ class Encoder:
     def word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            tokens = self.model.tokenize(word.translate(self.byte_letters))
-            found = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+            letters = word if word.isascii() else word.translate(self.byte_letters)
+            found = b"".join([self.id_bytes[t.id] for t in self.model.tokenize(letters)])
             if len(word) <= MEMORY_LENGTH:
                 self.words[word] = found
         return found
