@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.llm.base import integer_names, stage, text_bytes
+from tallyguard.llm.base import integer_names, stage
 
-BLOCK_BYTES = 4096
+BLOCK_CHARS = 4096
 
 
 def normal_text(text: str = "text") -> Column:
@@ -19,12 +19,12 @@ def exact_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    block_bytes: int = BLOCK_BYTES,
+    block_chars: int = BLOCK_CHARS,
     block_key=lambda block: F.xxhash64(block),
 ) -> DataFrame:
     """Groups of texts that are identical after normalising blanks.
 
-    Each text is cut into blocks of ``block_bytes``. The distinct blocks, sorted by their key, get integer
+    Each text is cut into blocks of ``block_chars`` letters, in one pass over it. The distinct blocks, sorted by their key, get integer
     names; adjacent names are paired and the sorted distinct pairs named again, until every text has one
     name: (level, name) is its identity, and two texts share it exactly if they are equal. Blocks meet under
     a 64-bit key, and one aggregate over the bytes proves that no two different blocks share a key; if some
@@ -40,9 +40,9 @@ def exact_groups(
         F.col(id_col).alias("id"),
         normal_text(text_col).alias("text"),
     )
-    data = text_bytes("text")
-    last = F.floor(F.greatest(F.octet_length("text") - 1, F.lit(0)) / block_bytes).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(data, i * block_bytes + 1, F.lit(block_bytes)))
+    # One expression that yields all blocks: a lambda over block numbers would make Spark normalise the text for each.
+    found = F.regexp_extract_all("text", F.lit(f"(?s).{{1,{block_chars}}}"), F.lit(0))
+    blocks = F.when(F.col("text") == "", F.array(F.lit(""))).otherwise(found)
     cut = rows.select(F.explode(blocks).alias("block")).select(block_key(F.col("block")).alias("key"), "block")
     keys = stage(cut.groupBy("key").agg((F.min("block") != F.max("block")).alias("shared")), "block_keys")
     by_bytes = not keys.where("shared").isEmpty()
