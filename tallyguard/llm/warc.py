@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyguard.llm.base import ship, stage, text_bytes
+from tallyguard.llm.base import ship, text_bytes
 from tallyguard.session import scratch_path
 
 #: A frame is closed once it holds so many bytes of records, a bundle once it holds so many compressed ones.
@@ -151,7 +151,10 @@ def write_bundles(
     payload = text_bytes(text_col)
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("row_no", F.monotonically_increasing_id())
-    rows = stage(rows.withColumn("key", F.unhex(F.sha2("payload", 256))), "payloads")
+    rows = rows.withColumn("key", F.unhex(F.sha2("payload", 256)))
+    path = scratch_path(pages.sparkSession, "payloads")
+    rows.write.option("compression", "zstd").parquet(path)
+    rows = pages.sparkSession.read.schema(rows.schema).parquet(path)
     best = F.max(F.struct(F.col("id").isNotNull().alias("known"), "id", "row_no")).alias("best")
     copies = rows.where(F.octet_length("payload") >= least_bytes).groupBy("key").agg(best, F.count("*").alias("size"))
     copies = copies.where("size > 1").select("key", F.col("best.id").alias("first"), F.col("best.row_no").alias("first_no"))
