@@ -14,9 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from tallyguard.operators.boosting import HistogramBoosting, Settings
 from tallyguard.operators.metrics import binary_metrics, roc_auc_value
 from tallyguard.operators.prepare import SEED, category_codes, fit_scale, with_class_weights
 from tallyguard.operators.quantiles import column_quantiles
+from tallyguard.operators.random_trees import RandomisedTrees
+from tallyguard.operators.stochastic import StochasticLogistic
 from tallyguard.session import scratch_path, stage
 from tallyguard.sources.schemas import LABEL
 
@@ -126,8 +129,8 @@ def fit_preprocess(train: DataFrame, numeric: Sequence[str], categorical: Sequen
 def candidates(rows: int, seed: int = SEED) -> dict[str, Callable[[], Estimator]]:
     """The shortlist by name.
 
-    ``forest_no_bootstrap`` and ``logistic_light`` are the nearest built-in estimators to extremely
-    randomised trees and to a linear model fitted by stochastic gradient.
+    Spark ML gives the logistic regression, the forest and the plain boosting; extremely randomised trees,
+    boosting over histograms and the linear model by stochastic gradient are those of this package.
     """
     # The settings of the estimators, here and below.
     common = {"featuresCol": FEATURES, "labelCol": LABEL}
@@ -137,28 +140,13 @@ def candidates(rows: int, seed: int = SEED) -> dict[str, Callable[[], Estimator]
         "logistic": lambda: LogisticRegression(
             **balanced, maxIter=2000, regParam=1.0 / max(rows, 1), elasticNetParam=0.0, standardization=False
         ),
-        "logistic_light": lambda: LogisticRegression(
-            **balanced, maxIter=2000, regParam=1e-4, elasticNetParam=0.0, tol=1e-3, standardization=False
-        ),
+        "sgd_logistic": lambda: StochasticLogistic(**balanced, alpha=1e-4, most=2000, tol=1e-3, seed=seed),
         "forest": lambda: RandomForestClassifier(**forest),
-        "forest_no_bootstrap": lambda: RandomForestClassifier(
-            **forest, bootstrap=False, featureSubsetStrategy="sqrt"
-        ),
+        "extra_trees": lambda: RandomisedTrees(**balanced, trees=100, depth=18, seed=seed),
         "gbt": lambda: GBTClassifier(
             **common, maxDepth=4, maxIter=100, stepSize=0.08, seed=seed, maxMemoryInMB=1024
         ),
-        "hist_gbt": lambda: GBTClassifier(
-            **balanced,
-            maxDepth=10,
-            maxIter=200,
-            maxBins=255,
-            stepSize=0.1,
-            seed=seed,
-            minInstancesPerNode=20,
-            maxMemoryInMB=1024,
-            cacheNodeIds=True,
-            checkpointInterval=10,
-        ),
+        "hist_gbt": lambda: HistogramBoosting(**balanced, settings=Settings(rounds=200, depth=10)),
     }
 
 

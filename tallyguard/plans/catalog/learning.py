@@ -183,7 +183,7 @@ def clf_logistic(tables: Tables) -> DataFrame:
 
 @query("clf_sgd_logloss", CANDIDATE_SQL)
 def clf_sgd_logloss(tables: Tables) -> DataFrame:
-    return one_candidate(tables, "logistic_light")
+    return one_candidate(tables, "sgd_logistic")
 
 
 @query("clf_forest", CANDIDATE_SQL)
@@ -193,7 +193,7 @@ def clf_forest(tables: Tables) -> DataFrame:
 
 @query("clf_extra_trees", CANDIDATE_SQL)
 def clf_extra_trees(tables: Tables) -> DataFrame:
-    return one_candidate(tables, "forest_no_bootstrap")
+    return one_candidate(tables, "extra_trees")
 
 
 @query("clf_gbt", CANDIDATE_SQL)
@@ -209,7 +209,7 @@ def clf_hist_gbt(tables: Tables) -> DataFrame:
 @query(
     "leaderboard",
     """SELECT model, '' AS error, 1 AS auc_reached, 1 AS in_range
-FROM (VALUES ('logistic'), ('logistic_light'), ('forest'), ('forest_no_bootstrap'), ('gbt'), ('hist_gbt')) t(model)""",
+FROM (VALUES ('logistic'), ('sgd_logistic'), ('forest'), ('extra_trees'), ('gbt'), ('hist_gbt')) t(model)""",
 )
 def leaderboard(tables: Tables) -> DataFrame:
     """All candidates with their full settings."""

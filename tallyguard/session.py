@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import contextlib
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -63,6 +65,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/tallyguard/{uuid.uuid4().hex}/{name}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once a session, for functions that run there."""
+    context = spark.sparkContext
+    if getattr(context, "_tallyguard_shipped", False):
+        return
+    root, folder = Path(__file__).resolve().parent, tempfile.mkdtemp(prefix="package-")
+    copy = Path(folder, "copy", root.name)
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(str(Path(folder, "tallyguard_workers")), "zip", copy.parent, root.name))
+    context._tallyguard_shipped = True
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a table once and read it back.
 
