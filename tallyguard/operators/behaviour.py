@@ -25,9 +25,10 @@ from tallyguard.operators.bounded import collect_small
 
 HOT_ROWS = 100_000
 CHUNK_US = 60 * SECOND_US
-# Amounts below 10^14 and their sums below 10^26, to 10^-12.
-EXACT = "decimal(26,12)"
-EXACT_SUM = "decimal(38,12)"
+# An amount is the sum of three parts, each of which adds up without regard to the order: below 10^14 a decimal with
+# twelve places; from there on its whole part, and the rest as before; NaN, infinite and from 10^28 on, NaN or ±∞.
+SMALL, LARGE = 1e14, 1e28
+PARTS = {"amount_sum": "decimal(38,12)", "amount_large": "decimal(38,0)", "amount_odd": "double"}
 
 FEATURES = ("daily_count", "weekly_count", "avg_amount", "max_24h", "failed_count", "prev_fraud")
 
@@ -47,9 +48,23 @@ class HistoryColumns:
         return F.when(F.expr(condition), 1).otherwise(0).cast("bigint")
 
 
-def exact(amount: str) -> Column:
-    """An amount with twelve decimals, so that sums don't depend on the order of the rows."""
-    return F.col(amount).cast(EXACT)
+def amount_parts(amount: str) -> dict[str, Column]:
+    """The parts of an amount, to be summed one by one; NULL where an amount has none."""
+    x = F.col(amount).cast("double")
+    odd, small = F.isnan(x) | (F.abs(x) >= LARGE), F.abs(x) < SMALL
+    return {
+        "amount_sum": F.when(~odd, F.when(small, x).otherwise(x % 1.0)).cast("decimal(26,12)"),
+        "amount_large": F.when(~odd & ~small, x - x % 1.0).cast("decimal(28,0)"),
+        "amount_odd": F.when(odd, F.when(F.isnan(x), x).otherwise(F.signum(x) * F.lit(float("inf")))),
+    }
+
+
+def mean_of_parts(sums: dict[str, Column], count: Column) -> Column:
+    """The mean from the sums of the parts; the same, bit for bit, in whatever order they were added up."""
+    total = F.lit(0.0)
+    for name in PARTS:
+        total = total + F.coalesce(sums[name].cast("double"), F.lit(0.0))
+    return F.try_divide(total, count)
 
 
 def _plain_windows(df: DataFrame, names: HistoryColumns, wanted: Sequence[str]) -> DataFrame:
@@ -64,8 +79,9 @@ def _plain_windows(df: DataFrame, names: HistoryColumns, wanted: Sequence[str])
     )
     makers = {
         "weekly_count": lambda: F.count("*").over(history.rangeBetween(-WEEK_US, 0)),
-        "avg_amount": lambda: F.try_divide(
-            F.sum(exact(names.amount)).over(to_date).cast("double"), F.count(names.amount).over(to_date)
+        "avg_amount": lambda: mean_of_parts(
+            {name: F.sum(part).over(to_date) for name, part in amount_parts(names.amount).items()},
+            F.count(names.amount).over(to_date),
         ),
         "max_24h": lambda: F.max(names.amount).over(last_day),
         "failed_count": lambda: F.sum(names.flag(names.failed)).over(last_day),
@@ -83,7 +99,7 @@ def _chunked_history(df: DataFrame, names: HistoryColumns) -> DataFrame:
     who = names.customer
     instants = df.groupBy(who, "_us").agg(
         F.count("*").alias("n"),
-        F.sum(exact(names.amount)).alias("amount_sum"),
+        *[F.sum(part).alias(name) for name, part in amount_parts(names.amount).items()],
         F.count(names.amount).alias("amount_n"),
         F.max(names.amount).alias("amount_max"),
         F.sum(names.flag(names.failed)).alias("failed"),
@@ -97,7 +113,7 @@ def _chunked_history(df: DataFrame, names: HistoryColumns) -> DataFrame:
             "week": "bigint",
             "failed": "bigint",
             "fraud": "bigint",
-            "amount_sum": EXACT_SUM,
+            **PARTS,
             "amount_n": "bigint",
             "head_max": "double",
             "tail_max": "double",
@@ -116,7 +132,7 @@ def _chunked_history(df: DataFrame, names: HistoryColumns) -> DataFrame:
                     week=F.col("n"),
                     failed=F.col("failed"),
                     fraud=F.col("fraud"),
-                    amount_sum=F.col("amount_sum"),
+                    **{name: F.col(name) for name in PARTS},
                     amount_n=F.col("amount_n"),
                     head_max=F.col("amount_max"),
                 ),
@@ -129,10 +145,10 @@ def _chunked_history(df: DataFrame, names: HistoryColumns) -> DataFrame:
     line = line.withColumn("chunk", start_of(F.col("_us"), CHUNK_US))
     day = start_of(F.col("chunk"), DAY_US)
 
-    sums = ("week", "failed", "fraud", "amount_sum", "amount_n")
+    sums = ("week", "failed", "fraud", *PARTS, "amount_n")
 
     def kind(name: str) -> str:
-        return EXACT_SUM if name == "amount_sum" else "bigint"
+        return PARTS.get(name, "bigint")
 
     chunks = line.groupBy(who, "chunk").agg(
         *[F.sum(c).cast(kind(c)).alias(c) for c in ("n", *sums)], F.max("head_max").alias("head_max"), F.max("tail_max").alias("tail_max")
@@ -165,7 +181,7 @@ def _chunked_history(df: DataFrame, names: HistoryColumns) -> DataFrame:
         "current",
         total("n").alias("daily_count"),
         total("week").alias("weekly_count"),
-        F.try_divide(total("amount_sum").cast("double"), total("amount_n")).alias("avg_amount"),
+        mean_of_parts({name: total(name) for name in PARTS}, total("amount_n")).alias("avg_amount"),
         F.greatest(
             F.max("head_max").over(upto),
             "before_head_max",
@@ -192,7 +208,8 @@ def customer_profile(
     """The rows with the wanted history features added.
 
     daily_count: transactions of the same day so far. weekly_count: of the last 7 × 24 hours.
-    avg_amount: mean amount so far. max_24h: largest amount and failed_count: failures of the last 24
+    avg_amount: mean amount so far, NaN or infinite from an amount on that is (one of 10^28 or more counts as
+    infinite). max_24h: largest amount and failed_count: failures of the last 24
     hours. prev_fraud: frauds strictly earlier. Days are those of UTC or, without a zone, of the column.
     """
     unknown = set(wanted) - set(FEATURES)

@@ -47,6 +47,36 @@ def prof_avg_amount(tables: Tables) -> DataFrame:
     return profiled(tables, "avg_amount")
 
 
+ODD_AMOUNT = """CASE WHEN CAST(transaction_id AS BIGINT) % 997 = 0 THEN CAST('NaN' AS DOUBLE)
+            WHEN CAST(transaction_id AS BIGINT) % 1009 = 0 THEN CAST('Infinity' AS DOUBLE)
+            WHEN CAST(transaction_id AS BIGINT) % 89 = 0 THEN 1.0e15 + 0.5 ELSE amount END"""
+
+
+@query(
+    "prof_avg_amount_odd",
+    f"""WITH {TXN_SQL}, odd AS (SELECT * REPLACE ({ODD_AMOUNT} AS amount) FROM txn),
+s AS (SELECT transaction_id, customer_id, count(amount) OVER ({TO_DATE}) AS n,
+             count(*) FILTER (isnan(amount)) OVER ({TO_DATE}) AS n_nan, count(*) FILTER (isinf(amount)) OVER ({TO_DATE}) AS n_inf,
+             CAST(sum(CAST(CASE WHEN isfinite(amount) THEN amount END AS DECIMAL(38, 12))) OVER ({TO_DATE}) AS DOUBLE) AS total
+      FROM odd),
+m AS (SELECT *, CASE WHEN n > 0 THEN coalesce(total, 0) / n END AS mean FROM s)
+SELECT transaction_id, customer_id,
+       CASE WHEN n_nan > 0 THEN 'nan' WHEN n_inf > 0 THEN 'infinite' WHEN mean >= 1e9 THEN 'large' ELSE 'ordinary' END AS kind,
+       CASE WHEN n_nan + n_inf > 0 THEN NULL WHEN mean >= 1e9 THEN round(mean / 1e6) ELSE round(mean + 1e-9, 6) + 0.0 END AS avg_amount
+FROM m""",
+)
+def prof_avg_amount_odd(tables: Tables) -> DataFrame:
+    """Means to date where some amounts are NaN, infinite or huge."""
+    rows = tables.transactions().withColumn("amount", F.expr(ODD_AMOUNT))
+    mean = F.col("avg_amount")
+    kind = F.when(F.isnan(mean), "nan").when(F.abs(mean) == float("inf"), "infinite").when(mean >= 1e9, "large")
+    value = F.when(F.col("kind").isin("nan", "infinite"), F.lit(None))
+    value = value.when(mean >= 1e9, F.round(mean / 1e6)).otherwise(r6(mean))
+    out = behaviour.customer_profile(rows, ("avg_amount",), TXN_HISTORY)
+    out = out.withColumn("kind", F.coalesce(kind, F.lit("ordinary")))
+    return out.select("transaction_id", "customer_id", "kind", value.alias("avg_amount"))
+
+
 @query(
     "prof_max_24h",
     f"WITH {TXN_SQL} SELECT transaction_id, customer_id, round(max(amount) OVER ({LAST_DAY}) + 1e-9, 6) + 0.0 AS max_24h FROM txn",

@@ -14,7 +14,8 @@ from pyspark.storagelevel import StorageLevel
 
 from tallyguard.functions.dates import DAY_US, WEEK_US
 from tallyguard.operators.behaviour import HOT_ROWS, HistoryColumns, customer_profile
-from tallyguard.streaming.ingest import TRIGGER_SECONDS, read_written, triggered
+from tallyguard.streaming.generations import read_generations, write_generation
+from tallyguard.streaming.ingest import TRIGGER_SECONDS, triggered
 
 # How far back each feature looks, in microseconds.
 REACH = {"daily_count": DAY_US, "max_24h": DAY_US, "failed_count": DAY_US, "weekly_count": WEEK_US}
@@ -29,11 +30,17 @@ def daily_counts_into(
     trigger_seconds: int = TRIGGER_SECONDS,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Count transactions by customer and day; each batch writes its own counts, late rows are counted too."""
+    """Count transactions by customer and day; each batch writes its own counts, late rows are counted too.
+
+    Folders of batches are merged into larger ones, so that few are left to read.
+    """
+
+    def added(counts: DataFrame) -> DataFrame:
+        return counts.groupBy(customer, "day").agg(F.sum("n").alias("n"))
 
     def step(batch: DataFrame, batch_id: int) -> None:
         counts = batch.groupBy(customer, F.to_date(ts).alias("day")).agg(F.count("*").alias("n"))
-        counts.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        write_generation(counts, path, batch_id, added)
 
     writer = transactions.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return triggered(writer, trigger_seconds, available_now).start()
@@ -41,7 +48,7 @@ def daily_counts_into(
 
 def read_daily_counts(spark: SparkSession, path: str, customer: str = "customer_id", kind: str = "double") -> DataFrame:
     """(customer, day, n) over all batches so far."""
-    written = read_written(spark, path, f"`{customer}` {kind}, day date, n bigint, batch bigint")
+    written = read_generations(spark, path, f"`{customer}` {kind}, day date, n bigint")
     return written.groupBy(customer, "day").agg(F.sum("n").alias("n"))
 
 

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyguard.functions.labels import fraud_flag
-from tallyguard.operators.behaviour import EXACT_SUM, exact
+from tallyguard.operators.behaviour import PARTS, amount_parts, mean_of_parts
 from tallyguard.sources.schemas import LABEL
-from tallyguard.streaming.ingest import TRIGGER_SECONDS, read_written, triggered
+from tallyguard.streaming.generations import read_generations, write_generation
+from tallyguard.streaming.ingest import TRIGGER_SECONDS, triggered
+
+COUNTS = ("transaction_count", "fraud_count", "amount_count")
 
 
 def event_time(date: Column, time: Column) -> Column:
@@ -33,7 +36,7 @@ def summary_into(
     """Keep the summary of every window up to date; late rows revise theirs, however late they are.
 
     Each batch writes its own counts and exact sums by window into its own folder, which a repeated batch
-    replaces; ``read_summary`` adds them up.
+    replaces; folders are merged now and then, so that few are left, and ``read_summary`` adds those up.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
@@ -43,29 +46,28 @@ def summary_into(
             F.count("*").alias("transaction_count"),
             F.sum(fraud_flag(F.col(label), mode)).alias("fraud_count"),
             F.count(amount).alias("amount_count"),
-            F.sum(exact(amount)).alias("amount_sum"),
+            *[F.sum(part).cast(PARTS[name]).alias(name) for name, part in amount_parts(amount).items()],
         )
-        partial.select("w.start", "w.end", "transaction_count", "fraud_count", "amount_count", "amount_sum").write.mode(
-            "overwrite"
-        ).parquet(f"{path}/batch={batch_id}")
+        write_generation(partial.select("w.start", "w.end", *COUNTS, *PARTS), path, batch_id, merged)
 
     writer = transactions.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
     return triggered(writer, trigger_seconds, available_now).start()
 
 
+def merged(rows: DataFrame) -> DataFrame:
+    """One row per window from those of several batches."""
+    sums = [F.sum(c).alias(c) for c in COUNTS] + [F.sum(c).cast(kind).alias(c) for c, kind in PARTS.items()]
+    return rows.groupBy("start", "end").agg(*sums)
+
+
 def read_summary(spark: SparkSession, path: str) -> DataFrame:
     """(window_start, window_end, transaction_count, fraud_count, avg_amount_million) of all windows so far."""
-    schema = (
-        "start timestamp, end timestamp, transaction_count bigint, fraud_count bigint, amount_count bigint, "
-        f"amount_sum {EXACT_SUM}, batch bigint"
-    )
-    mean = F.try_divide(F.sum("amount_sum").cast("double"), F.sum("amount_count"))
-    return (
-        read_written(spark, path, schema)
-        .groupBy(F.col("start").alias("window_start"), F.col("end").alias("window_end"))
-        .agg(
-            F.sum("transaction_count").alias("transaction_count"),
-            F.sum("fraud_count").alias("fraud_count"),
-            mean.alias("avg_amount_million"),
-        )
+    schema = "start timestamp, end timestamp, " + ", ".join(f"{c} bigint" for c in COUNTS)
+    schema += "".join(f", {c} {kind}" for c, kind in PARTS.items())
+    return merged(read_generations(spark, path, schema)).select(
+        F.col("start").alias("window_start"),
+        F.col("end").alias("window_end"),
+        "transaction_count",
+        "fraud_count",
+        mean_of_parts({c: F.col(c) for c in PARTS}, F.col("amount_count")).alias("avg_amount_million"),
     )

@@ -109,3 +109,33 @@ def test_international(spark):
 def test_unusual_time(spark):
     df = spark.createDataFrame([("23:10",), ("05:59",), ("06:00",), ("x",), (None,)], "transaction_time string")
     assert [r[1] for r in behaviour.unusual_time(df).collect()] == ["Yes", "Yes", "No", "No", "No"]
+
+
+@pytest.mark.parametrize("hot_rows", [100, 0])
+def test_odd_amounts(spark, hot_rows):
+    """NaN and infinite amounts make the mean so, huge ones are exact, whatever the order of the rows."""
+    nan, inf = float("nan"), float("inf")
+    amounts = {
+        1.0: [2.0, nan, 4.0],
+        2.0: [1e15, 0.1, -1e15, 1.0],
+        3.0: [1.0, inf, -inf],
+        4.0: [1e27, 3.0, -1e27],
+        5.0: [1.0, 1e28, 5.0],
+        6.0: [None, -2.0, None],
+        7.0: [12345678901234567.25, 0.75],
+    }
+    rows = [(i, c, 1, START + dt.timedelta(minutes=i), a, "buy", None) for c, v in amounts.items() for i, a in enumerate(v)]
+    got = customer_profile(spark.createDataFrame(rows, SCHEMA).repartition(4), ("avg_amount",), NAMES, hot_rows)
+    found = {c: [r["avg_amount"] for r in got.where(F.col("customer_id") == c).orderBy("ts").collect()] for c in amounts}
+    expected = {
+        1.0: [2.0, nan, nan],
+        2.0: [1e15, 1e15 / 2, 0.1 / 3, 1.1 / 4],
+        3.0: [1.0, inf, nan],
+        4.0: [1e27, 5e26, 1.0],
+        5.0: [1.0, inf, inf],
+        6.0: [None, -2.0, -2.0],
+        7.0: [12345678901234567.25, 12345678901234568.0 / 2],
+    }
+    for c, values in expected.items():
+        for a, b in zip(found[c], values, strict=True):
+            assert (a is None and b is None) or np.isclose(a, b, rtol=1e-15, equal_nan=True), (c, found[c])

@@ -94,6 +94,24 @@ def test_windows_are_revised_by_late_rows(spark, tmp_path):
     }
 
 
+def test_odd_amounts_in_windows(spark, tmp_path):
+    source, sink, mark = (str(tmp_path / n) for n in ("rows", "out", "mark"))
+    schema = "ts timestamp, fraud_label string, amount double"
+    nan, inf, day = float("nan"), float("inf"), 1440
+    batches = [
+        [(at(0), "Fraud", 2.0), (at(day), "x", 1e20), (at(2 * day), "x", inf), (at(3 * day), "x", 1.0)],
+        [(at(1), "Fraud", nan), (at(day + 1), "x", 4.0), (at(day + 2), "x", -1e20), (at(2 * day), "x", 1.0)],
+        [(at(2), "Fraud", 4.0), (at(3 * day), "x", -1e30)],
+    ]
+    for batch in batches:
+        put(spark, source, batch, schema)
+        stream = spark.readStream.schema(schema).parquet(source)
+        summary.summary_into(stream, sink, mark, "ts", amount="amount", available_now=True).awaitTermination()
+    got = {r["window_start"]: r["avg_amount_million"] for r in summary.read_summary(spark, sink).collect()}
+    assert str(got.pop(at(0))) == "nan"
+    assert got == {at(day): 4.0 / 3, at(2 * day): inf, at(3 * day): -inf}
+
+
 def test_event_time(spark):
     df = spark.createDataFrame([("2025-01-02", "9:05"), ("n/a", "9:05"), ("2025-01-02", None)], "d string, t string")
     got = [r[0] for r in df.select(summary.event_time(F.col("d"), F.col("t"))).collect()]
