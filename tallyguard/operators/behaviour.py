@@ -31,6 +31,8 @@ SMALL, LARGE = 1e14, 1e28
 PARTS = {"amount_sum": "decimal(38,12)", "amount_large": "decimal(38,0)", "amount_odd": "double"}
 
 FEATURES = ("daily_count", "weekly_count", "avg_amount", "max_24h", "failed_count", "prev_fraud")
+# What avg_amount is made of, for those who add what lies before the rows at hand.
+RUNNING = (*PARTS, "amount_n")
 
 
 @dataclass(frozen=True)
@@ -90,6 +92,8 @@ def _plain_windows(df: DataFrame, names: HistoryColumns, wanted: Sequence[str])
             F.lit(0).cast("bigint"),
         ),
         "daily_count": lambda: F.count("*").over(same_day),
+        "amount_n": lambda: F.count(names.amount).over(to_date),
+        **{name: lambda part=part: F.sum(part).over(to_date) for name, part in amount_parts(names.amount).items()},
     }
     return df.withColumns({name: makers[name]() for name in makers if name in wanted})
 
@@ -190,6 +194,7 @@ def _chunked_history(df: DataFrame, names: HistoryColumns) -> DataFrame:
         ).alias("max_24h"),
         total("failed").alias("failed_count"),
         total("fraud", strictly).alias("prev_fraud"),
+        *[total(name).alias(name) for name in RUNNING],
     )
     return solved.where("current").drop("current")
 
@@ -209,15 +214,16 @@ def customer_profile(
 
     daily_count: transactions of the same day so far. weekly_count: of the last 7 × 24 hours.
     avg_amount: mean amount so far, NaN or infinite from an amount on that is (one of 10^28 or more counts as
-    infinite). max_24h: largest amount and failed_count: failures of the last 24
+    infinite); ``RUNNING`` are its sums and its count. max_24h: largest amount and failed_count: failures of the last 24
     hours. prev_fraud: frauds strictly earlier. Days are those of UTC or, without a zone, of the column.
     """
-    unknown = set(wanted) - set(FEATURES)
+    every = (*FEATURES, *RUNNING)
+    unknown = set(wanted) - set(every)
     if unknown:
         raise ValueError(f"unknown features {sorted(unknown)}")
     who = names.customer
     timed = df.withColumn("_us", micros(df, names.ts))
-    out = [*df.columns, *[f for f in FEATURES if f in wanted]]
+    out = [*df.columns, *[f for f in every if f in wanted]]
 
     hot = hot_customers(timed, who, hot_rows)
     known = collect_small(hot)
@@ -231,7 +237,7 @@ def customer_profile(
     hot_rows_df = timed.alias("t").join(hot.alias("h"), same, "left_semi")
     cold = _plain_windows(cold_rows, names, wanted).select(*out)
     history = _chunked_history(hot_rows_df, names).select(
-        F.col(who).alias("_who"), F.col("_us").alias("_at"), *[f for f in FEATURES if f in wanted]
+        F.col(who).alias("_who"), F.col("_us").alias("_at"), *[f for f in every if f in wanted]
     )
     warm = hot_rows_df.join(
         history, F.col(who).eqNullSafe(F.col("_who")) & (F.col("_us") == F.col("_at")), "left"

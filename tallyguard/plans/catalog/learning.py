@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -146,8 +148,23 @@ def classification_report(tables: Tables) -> DataFrame:
 PLANTED_AUC = 0.9
 
 
+def once(tables: Tables, name: str, make: Callable[[], TrainingSet]) -> TrainingSet:
+    """Training data that several queries of a session share; its tables are written, so they're only made once."""
+    key = (tables.spark.sparkContext.applicationId, tables.folder, name)
+    if key not in PREPARED:
+        PREPARED[key] = make()
+    return PREPARED[key]
+
+
+PREPARED: dict[tuple[str, str, str], TrainingSet] = {}
+
+
 def fraud_training(tables: Tables) -> TrainingSet:
     """Training data from the clean transactions with their history and a planted, noisy sign of the label."""
+    return once(tables, "transactions", lambda: made_from_transactions(tables))
+
+
+def made_from_transactions(tables: Tables) -> TrainingSet:
     rows = tables.enriched().drop("ts")
     planted = F.expr(f"2 * {LABEL} + CAST(CAST(transaction_id AS BIGINT) % 7 AS DOUBLE) / 3")
     return training_set(rows.withColumn("planted_sign", planted))
@@ -233,6 +250,10 @@ m AS (SELECT CAST(sum(ceil(n * 0.2::DOUBLE)) AS BIGINT) AS n_test FROM k)"""
 
 def message_training(tables: Tables) -> TrainingSet:
     """Training data from the messages themselves."""
+    return once(tables, "messages", lambda: made_from_messages(tables))
+
+
+def made_from_messages(tables: Tables) -> TrainingSet:
     parsed = parse_transactions(filter_transactions(to_bronze(tables.messages()))).drop("raw_json")
     return training_set(stage(clean_table(parsed), "clean_table"))
 

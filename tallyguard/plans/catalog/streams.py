@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import fields, replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyguard.operators.parse import filter_transactions, parse_transactions
+from tallyguard.operators.parse import PERMISSIVE, filter_transactions, parse_transactions
 from tallyguard.plans.catalog.io import BRONZE_ROWS_SQL, bronze_rows, stored_bronze
 from tallyguard.plans.catalog.learning import message_training, one_model
 from tallyguard.plans.registry import query, r6, rounded, stamp
 from tallyguard.plans.tables import BRONZE_SQL, TXN_HISTORY, TXN_SQL, Tables
 from tallyguard.session import stage
+from tallyguard.sources.schemas import TRANSACTION_SCHEMA
 from tallyguard.sources.topic import to_bronze
 from tallyguard.streaming import dedupe, ingest, profile, score, summary
+from tallyguard.streaming.history import MessageColumns
 
 
 def drained(tables: Tables, stream: DataFrame, name: str) -> DataFrame:
@@ -107,6 +111,48 @@ def stream_score(tables: Tables) -> DataFrame:
     return agreement(drained(tables, live, "scores"), table)
 
 
+HISTORY_WINDOWS = "PARTITION BY customer_id ORDER BY ts RANGE BETWEEN"
+TO_DATE = f"{HISTORY_WINDOWS} UNBOUNDED PRECEDING AND CURRENT ROW"
+
+
+@query(
+    "stream_score_history",
+    f"""WITH {TXN_SQL}
+SELECT transaction_id, customer_id,
+       count(*) OVER (PARTITION BY customer_id, CAST(ts AS DATE) ORDER BY ts RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS daily_transaction_count,
+       count(*) OVER ({HISTORY_WINDOWS} INTERVAL 168 HOURS PRECEDING AND CURRENT ROW) AS weekly_transaction_count,
+       round(avg(amount) OVER ({TO_DATE}) + 1e-9, 6) + 0.0 AS avg_transaction_amount_million,
+       round(max(amount) OVER ({HISTORY_WINDOWS} INTERVAL 24 HOURS PRECEDING AND CURRENT ROW) + 1e-9, 6) + 0.0 AS max_transaction_last_24h_million,
+       count(*) FILTER (trim(transaction_type) = 'error') OVER ({HISTORY_WINDOWS} INTERVAL 24 HOURS PRECEDING AND CURRENT ROW) AS failed_transaction_count,
+       count(*) FILTER (lower(trim(fraud_label)) = 'fraud') OVER ({TO_DATE})
+         - count(*) FILTER (lower(trim(fraud_label)) = 'fraud') OVER (PARTITION BY customer_id, ts) AS previous_fraud_count,
+       CASE WHEN ts = min(ts) OVER (PARTITION BY customer_id, merchant_id) THEN 'Yes' ELSE 'No' END AS is_new_merchant,
+       1 AS in_range
+FROM txn""",
+)
+def stream_score_history(tables: Tables) -> DataFrame:
+    """Scores of messages that come in the order of time, four batches, with the history that was written before."""
+    model = one_model(message_training(tables))
+    state, checkpoint, path, source = (tables.scratch(n) for n in ("state", "checkpoint", "scores", "arrived"))
+    message = F.from_json("raw_json", TRANSACTION_SCHEMA, PERMISSIVE).alias("t")
+    parsed = filter_transactions(to_bronze(tables.messages())).select(F.col("kafka_ts").alias("ts"), message)
+    rows = stage(parsed.select("ts", "t.*"), "messages")
+    day = F.to_date("ts")
+    first, last = rows.agg(F.min(day), F.max(day)).first()
+    edges = [first + (last - first) * k / 4 for k in range(1, 4)]
+    quarter = sum((F.when(day > F.lit(e), 1).otherwise(0) for e in edges), F.lit(0))
+    names = replace(TXN_HISTORY, amount="transaction_amount_million")
+    for k in range(4):
+        rows.where(quarter == k).write.mode("append").parquet(source)
+        stream = tables.spark.readStream.schema(rows.schema).parquet(source)
+        score.score_into(model, stream, path, state, checkpoint, names, available_now=True).awaitTermination()
+    scored = tables.spark.read.parquet(path)
+    history = [f.name for f in fields(MessageColumns)]
+    out = rounded(scored, "avg_transaction_amount_million", "max_transaction_last_24h_million")
+    in_range = F.coalesce(F.col("fraud_probability").between(0, 1), F.lit(False)).cast("int").alias("in_range")
+    return out.select("transaction_id", "customer_id", *[getattr(MessageColumns(), n) for n in history], in_range)
+
+
 @query(
     "stream_alerts",
     "SELECT CAST(0 AS BIGINT) AS n_missing, CAST(0 AS BIGINT) AS n_extra, CAST(0 AS BIGINT) AS n_below, 1 AS some",

@@ -15,6 +15,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 FAN_OUT = 8
 MANIFESTS_KEPT = 4
@@ -120,9 +121,9 @@ def _clean(store: Store, batch: int) -> None:
             store.remove(name)
 
 
-def read_generations(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """All rows of the folders that count; none before the first batch."""
-    folders = current(Store(spark, path))
+def read_generations(spark: SparkSession, path: str, schema: str | StructType, before: int | None = None) -> DataFrame:
+    """All rows of the folders that count (before a batch); none before the first one."""
+    folders = current(Store(spark, path), before)
     if not folders:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(*[f"{path}/{f.name}" for f in sorted(folders)])
