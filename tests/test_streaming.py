@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -71,6 +72,42 @@ def test_dedupe_keeps_late_messages_that_have_no_copy(spark, tmp_path):
         assert deduped(spark, source, sink, mark) == wanted
 
 
+def test_dedupe_opens_only_folders_that_may_hold_a_copy(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dedupe, "SEGMENT", 8)
+    source, sink, mark = (str(tmp_path / n) for n in ("topic", "out", "mark"))
+    asked = []
+    real = dedupe.folders_to_open
+    monkeypatch.setattr(dedupe, "folders_to_open", lambda *a: asked.append(real(*a)) or asked[-1])
+    batches = [[message(100 * b + i, b, f"{b}.0", amount=i) for i in range(40)] for b in range(4)]
+    batches += [[message(900, 9, "2.0", amount=7), message(901, 9, "9.0", amount=1), message(902, 9, "0.0", amount=39)]]
+    for batch in batches:
+        put(spark, source, batch, TOPIC_SCHEMA)
+        kept = deduped(spark, source, sink, mark)
+    assert asked == [[], [], [], [], [0, 2]]
+    assert len(kept) == 161 and 901 in kept and 900 not in kept and 902 not in kept
+
+
+def test_dedupe_of_a_backlog_and_of_a_repeated_batch(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(dedupe, "MOST_SOUGHT", 2)
+    source, sink, mark = (str(tmp_path / n) for n in ("topic", "out", "mark"))
+    put(spark, source, [message(i, 0, amount=i) for i in range(5)], TOPIC_SCHEMA)
+    assert deduped(spark, source, sink, mark) == [0, 1, 2, 3, 4]
+    put(spark, source, [message(10 + i, 0, amount=i) for i in range(3, 8)], TOPIC_SCHEMA)
+    assert deduped(spark, source, sink, mark) == [0, 1, 2, 3, 4, 15, 16, 17]
+    for name in ("1", ".1.crc"):
+        (tmp_path / "mark" / "commits" / name).unlink(missing_ok=True)
+    assert deduped(spark, source, sink, mark) == [0, 1, 2, 3, 4, 15, 16, 17]
+
+
+def test_filters_hold_what_was_put_in_and_little_else():
+    rng = np.random.default_rng(1)
+    known, others = (rng.integers(0, 2**64, 20_000, dtype="uint64") for _ in range(2))
+    bits = dedupe.made_filter(known)
+    assert len(dedupe.may_hold(bits, known)) == 20_000
+    assert len(dedupe.may_hold(bits, others)) <= 2
+    assert len(dedupe.may_hold(dedupe.made_filter(known[:0]), others)) == 0
+
+
 def test_windows_are_revised_by_late_rows(spark, tmp_path):
     source, sink, mark = (str(tmp_path / n) for n in ("rows", "out", "mark"))
     schema = "ts timestamp, fraud_label string, amount double"
