@@ -1,8 +1,8 @@
 """The corpus pipeline: language ID, quality, exact dedup, SimHash near-dedup, packing.
 
 Every stage takes the documents that its predecessor kept and returns those that it keeps, with the same columns;
-the last one packs them. Rows are told apart by their place in the stage's own input, which is a written table,
-so documents that share an id are judged each on its own.
+the last one packs them. Each stage numbers its rows once, in a table that it writes, and tells them apart by that
+number: documents that share an id are judged each on its own, and the input may be any DataFrame.
 """
 
 from __future__ import annotations
@@ -34,7 +34,14 @@ def _keep(rows: DataFrame, kept: DataFrame) -> DataFrame:
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
+    """The rows with a number of their own, written, so that every later pass sees the same numbers."""
+    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
+def _ordered(rows: DataFrame) -> DataFrame:
+    """Texts under (id, number), NULL ids last: what decides which row of a group stays."""
+    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col(ROW).alias("row"))
+    return rows.select(order.alias("order"), "text")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,7 +60,7 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(F.col("quality").cast("double").isin(0.0, 1.0))
     labels = stage(rows.select("doc_id", ROW).join(labels.select("doc_id", "quality"), "doc_id"), "labels")
     if labels.isEmpty():
-        return docs
+        return rows.drop(ROW)
     found = quality.classify(rows, labels, id_col=ROW, label_id=ROW)
     return _keep(rows, found.where("predicted = 1"))
 
@@ -61,16 +68,14 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of equal texts."""
     rows = _numbered(docs)
-    kept = exact_groups(docs).where("kept").select(F.col("row_no").alias(ROW))
-    return _keep(rows, kept)
+    kept = exact_groups(_ordered(rows), id_col="order").where("kept")
+    return _keep(rows, kept.select(F.col("order.row").alias(ROW)))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group of linked fingerprints."""
     rows = _numbered(docs)
-    order = F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id"), F.col(ROW).alias("row"))
-    ordered = rows.select(order.alias("order"), "text")
-    kept = simhash_groups(ordered, id_col="order").where("component_id = order")
+    kept = simhash_groups(_ordered(rows), id_col="order").where("component_id = order")
     return _keep(rows, kept.select(F.col("order.row").alias(ROW)))
 
 
