@@ -17,7 +17,7 @@ from tallyguard.llm import langid, quality
 from tallyguard.llm.exact import exact_groups
 from tallyguard.llm.packing import pack
 from tallyguard.llm.simhash import simhash_groups
-from tallyguard.session import stage
+from tallyguard.session import scratch_path, stage
 
 #: A document goes if the share of its letter n-grams that is of its best language is less than this part of the
 #: share that the language's own texts reach.
@@ -35,7 +35,9 @@ def _keep(rows: DataFrame, kept: DataFrame) -> DataFrame:
 
 def _numbered(docs: DataFrame) -> DataFrame:
     """The rows with a number of their own, written, so that every later pass sees the same numbers."""
-    return stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+    numbered, path = docs.withColumn(ROW, F.monotonically_increasing_id()), scratch_path(docs.sparkSession, "numbered")
+    numbered.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(numbered.schema).parquet(path)
 
 
 def _ordered(rows: DataFrame) -> DataFrame:
