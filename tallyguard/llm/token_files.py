@@ -86,8 +86,23 @@ def widen(data: bytes) -> np.ndarray:
 
 
 def count_ids(rows: DataFrame) -> list:
-    """(token, count) over all documents, at most one row per id of the vocabulary."""
-    counted = rows.where("counts IS NOT NULL").select(F.inline("counts"))
+    """(token, count) over all documents, at most one row per id of the vocabulary.
+
+    The counts of the parts that a task reads are added up before they are shuffled.
+    """
+
+    def added_up(batches):
+        total = np.zeros(0, "int64")
+        for batch in batches:
+            pairs = batch.column(0).flatten()
+            tokens, counts = (pairs.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            if len(tokens):
+                total = np.concatenate([total, np.zeros(max(0, int(tokens.max()) + 1 - len(total)), "int64")])
+                np.add.at(total, tokens, counts)
+        ids = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(total[ids])], ["token", "count"])
+
+    counted = rows.where("counts IS NOT NULL").select("counts").mapInArrow(added_up, "token bigint, count bigint")
     return counted.groupBy("token").agg(F.sum("count").alias("count")).collect()
 
 
