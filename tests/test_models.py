@@ -62,7 +62,8 @@ def test_full_settings():
     full = {name: make() for name, make in models.candidates(1000).items()}
     assert full["forest"].getNumTrees() == 100 and full["forest"].getMaxDepth() == 18
     assert full["gbt"].getMaxIter() == 100 and full["gbt"].getStepSize() == 0.08
-    assert full["hist_gbt"].getMaxIter() == 200 and full["hist_gbt"].getMaxDepth() == 10
+    assert full["hist_gbt"].settings.rounds == 200 and full["hist_gbt"].settings.depth == 10
+    assert full["extra_trees"].trees == 100 and full["extra_trees"].depth == 18
     assert full["logistic"].getRegParam() == 0.001 and full["logistic"].getMaxIter() == 2000
 
 
