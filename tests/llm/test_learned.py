@@ -96,6 +96,42 @@ def test_relative_score_does_not_sink_with_rare_grams(spark):
     assert all(r["lang_pred"] == "zh" and 0.9 < r["score"] <= 1 for r in relative)
 
 
+def test_thousands_of_languages(spark):
+    """Each with a letter of its own, on either side of what they share."""
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 5000)]
+    rows = [(i, f"{x}{x} shared {x}{x}{x}", f"l{i}") for i, x in enumerate(letters)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(4)
+    found = {r["doc_id"]: r for r in langid.identify(docs).collect()}
+    assert all(found[i]["lang_pred"] == lang and found[i]["score"] > 0.9 for i, _, lang in rows)
+
+
+def test_table_put_together_in_blocks(spark, documents, monkeypatch):
+    """Blocks of the cluster make the table that the n-grams at hand make; a small table is full, not short."""
+    docs = spark.createDataFrame(documents[["text", "lang"]].dropna())
+    monkeypatch.setattr(langid, "BLOCK_BITS", 1 << 12)
+    for size in (1 << 27, 1 << 12):
+        monkeypatch.setattr(langid, "TABLE_BYTES", size)
+        filters = langid.learn(docs, typical=0.0)
+        counts = [(r["lang"], r["gram"], r["count"]) for r in langid.count_grams(docs, "text", "lang").collect()]
+        totals = Counter()
+        for lang, _, count in counts:
+            totals[lang] += count
+        plain = langid.LanguageFilters(counts, dict(totals))
+        assert filters.masks.nbytes <= size and np.array_equal(filters.masks, plain.masks)
+        assert np.allclose(filters.false_rate, plain.false_rate) and (filters.reached == 1).all()
+
+
+def test_foreign_words_do_not_join_a_language(spark):
+    rows = [("en", "the whole thing " * 300)] * 3 + [("fr", "une chose entière " * 900 + "whole")] * 3
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    counts = langid.count_grams(docs, "text", "lang")
+    totals = {r["lang"]: r["t"] for r in counts.groupBy("lang").agg(F.sum("count").alias("t")).collect()}
+    languages = spark.createDataFrame([("en", 0, totals["en"]), ("fr", 1, totals["fr"])], "lang string, code bigint, total bigint")
+    held = {(as_text(r["gram"]), r["code"]) for r in langid.typical_grams(counts, languages, langid.TYPICAL, 0.0).collect()}
+    assert ("who", 0) in held and ("who", 1) not in held and ("ose", 1) in held
+    assert {g for g, _ in held} == {as_text(r["gram"]) for r in counts.collect()}
+
+
 def test_language_query_on_held_out_rows(spark, documents):
     out = QUERIES["op2_language_id"](spark, FOLDER).toPandas().merge(documents, on="doc_id")
     assert list(out["held_out"]) == [remainder(i, 5) == 0 for i in out["doc_id"]]
