@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from tallyguard.functions.dates import month_bucket, parse_date
 from tallyguard.functions.labels import fraud_flag
-from tallyguard.functions.numeric import numeric_columns, spread
+from tallyguard.functions.numeric import numeric_columns
 from tallyguard.functions.text import strip
 from tallyguard.operators.bounded import broadcast_if_small, collect_small
+from tallyguard.operators.moments import pearson
 from tallyguard.operators.quantiles import (
     ACCURACY,
     approximate_quantiles,
@@ -262,43 +263,16 @@ def box_stats_by(df: DataFrame, value: str, by: str) -> DataFrame:
     )
 
 
-def pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """(i, r): Pearson of the i-th pair of columns over the rows where both are present.
-
-    Every row yields one entry per pair, and entries merge before the shuffle: narrow aggregates that
-    run faster than one aggregate as wide as all pairs. A constant column gives NULL.
-    """
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("i"),
-                _quoted(a).cast("double").alias("x"),
-                _quoted(b).cast("double").alias("y"),
-            )
-            for i, (a, b) in enumerate(pairs)
-        ]
-    )
-    return (
-        df.select(F.inline(entries))
-        .where("x IS NOT NULL AND y IS NOT NULL")
-        .groupBy("i")
-        .agg(F.try_divide(F.covar_pop("x", "y"), spread(F.col("x")) * spread(F.col("y"))).alias("r"))
-    )
-
-
-def _pair_names(names: Sequence[tuple[str, ...]], found: DataFrame, *out: str) -> DataFrame:
+def _named_pairs(found: DataFrame, left: Sequence[str], right: Sequence[str], *out: str) -> DataFrame:
     """The names of each pair next to its correlation, also for a pair without rows."""
-    listed = found.sparkSession.createDataFrame([(i, *n) for i, n in enumerate(names)], ["i", *out])
-    return F.broadcast(listed).join(found, "i", "left").drop("i")
+    pairs = [(i, j, a, b) for i, a in enumerate(left) for j, b in enumerate(right)]
+    listed = found.sparkSession.createDataFrame(pairs, ["i", "j", *out])
+    return F.broadcast(listed).join(found, ["i", "j"], "left").drop("i", "j")
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(x, y, r): Pearson for every ordered pair, NULL for a constant column, on the diagonal too."""
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    half = _pair_names(pairs, pair_correlations(df, pairs), "x", "y")
-    both = F.array(F.struct("x", "y"), F.struct(F.col("y").alias("x"), F.col("x").alias("y")))
-    sides = F.when(F.col("x") == F.col("y"), F.slice(both, 1, 1)).otherwise(both)
-    return half.select("r", F.inline(sides)).select("x", "y", "r")
+    return _named_pairs(pearson(df, columns, columns), columns, columns, "x", "y")
 
 
 def fraud_rate_by(df: DataFrame, columns: Sequence[str], label: str = LABEL) -> DataFrame:
@@ -404,8 +378,7 @@ def rate_by_value(df: DataFrame, value: str, label: str = LABEL) -> DataFrame:
 
 def feature_target_corr(df: DataFrame, features: Sequence[str], target: str = LABEL) -> DataFrame:
     """(feature, r): Pearson with the target, strongest first, constant features last."""
-    found = pair_correlations(df, [(c, target) for c in features])
-    table = _pair_names([(c,) for c in features], found, "feature")
+    table = _named_pairs(pearson(df, features, [target]), features, [target], "feature", "target").drop("target")
     return table.orderBy(F.abs("r").desc_nulls_last(), "feature")
 
 
