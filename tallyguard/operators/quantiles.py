@@ -43,7 +43,7 @@ def _same_group(left: str, right: str, by: Sequence[str]) -> Column:
     return condition
 
 
-def _with_ranks(counted: DataFrame, group: Sequence[str], spread_out: bool) -> DataFrame:
+def running_counts(counted: DataFrame, group: Sequence[str], spread_out: bool) -> DataFrame:
     """``upto``: the rows of a group up to each value x, the values below its bracket (x NULL) first.
 
     Spread out, the values are sorted by range; sums by partition give what lies before each, and a running
@@ -106,7 +106,7 @@ def grouped_quantiles(
         .agg(F.count("*").alias("c"))
     )
 
-    counted = _with_ranks(counted, [*by, "i"], largest * 2 * SLACK / accuracy > edge_rows)
+    counted = running_counts(counted, [*by, "i"], largest * 2 * SLACK / accuracy > edge_rows)
     wanted = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("i") + 1) * (F.col("n") - 1)
     ranked = counted.select("*", wanted.alias("rank"))
 

@@ -8,12 +8,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyguard.functions.numeric import numeric_columns
 from tallyguard.operators import models, profile
 from tallyguard.operators.clean import clean_table
 from tallyguard.operators.features import FeatureColumns, feature_table, median_hour
 from tallyguard.operators.parse import parse_for_summary, select_features
 from tallyguard.operators.prepare import stratified_split
 from tallyguard.operators.profile import gold_summary
+from tallyguard.operators.value_counts import ValueCounts
 from tallyguard.session import stage
 from tallyguard.sources.schemas import CORRELATED_COLUMNS, LABEL, RATE_COLUMNS
 
@@ -29,19 +31,24 @@ def profile_tables(
     date: str = "transaction_date",
     earlier: str = "previous_fraud_count",
 ) -> dict[str, DataFrame]:
-    """The profile of a labelled table by name: shape, gaps, distributions, correlations, rates, outliers, trend."""
+    """The profile of a labelled table by name: shape, gaps, distributions, correlations, rates, outliers, trend.
+
+    The table is scanned twice: once for the counts of all values, once for the correlations.
+    """
+    counts = ValueCounts(df)
+    quartiles = counts.quantiles(numeric_columns(df))
     return {
-        "shape": profile.profile_shape(df),
-        "missing": profile.missing_counts(df),
-        "numbers": profile.describe_numeric(df),
-        "labels": profile.label_distribution(df),
-        "imbalance": profile.imbalance_ratio(df),
-        "cardinality": profile.cardinality(df),
+        "shape": counts.shape(),
+        "missing": counts.missing(),
+        "numbers": counts.numbers(quartiles),
+        "labels": counts.labels(),
+        "imbalance": counts.imbalance(),
+        "cardinality": counts.cardinality(),
         "correlations": profile.corr_matrix(df, CORRELATED_COLUMNS),
-        "rates": profile.fraud_rate_by(df, RATE_COLUMNS),
-        "outliers": profile.iqr_outliers(df, amount),
-        "trend": profile.monthly_trend(df, date),
-        "earlier_frauds": profile.crosstab_pct(df, earlier),
+        "rates": counts.rates(RATE_COLUMNS),
+        "outliers": counts.outliers(amount, quartiles),
+        "trend": counts.trend(date),
+        "earlier_frauds": counts.crosstab(earlier),
     }
 
 
