@@ -6,15 +6,19 @@ count is told by a manifest, a file per batch that is put in place by one rename
 before or those of after, never both. A batch that runs again finds its number in the manifest that it wrote and
 starts from the one before. Merged folders stay until ``MANIFESTS_KEPT`` further batches are through, for readers
 that began earlier.
+
+A partitioned table has a folder per value of a column within each generation, and a reader may name the values it
+wants: the files of all others are neither listed nor opened.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 FAN_OUT = 8
@@ -68,6 +72,8 @@ class Store:
 
 
 MANIFESTS = "_manifests"
+#: The folders of a partitioned generation; the column itself stays in the files.
+PART = "generation_part"
 
 
 def _manifest(batch: int) -> str:
@@ -86,13 +92,22 @@ def write_generation(
     batch: int,
     merge: Callable[[DataFrame], DataFrame],
     after_write: Callable[[str], None] | None = None,
+    partition: str | None = None,
 ) -> None:
-    """Add a batch's rows and merge full levels. A repeated batch replaces what it had added."""
+    """Add a batch's rows and merge full levels. A repeated batch replaces what it had added.
+
+    With ``partition``, a column without NULLs, every value gets a folder; skewed ones are split into files of the
+    usual size.
+    """
     spark, store = rows.sparkSession, Store(rows.sparkSession, path)
     folders = current(store, before=batch)
 
     def write(df: DataFrame, folder: Folder) -> None:
-        df.write.mode("overwrite").parquet(f"{path}/{folder.name}")
+        if partition:
+            dealt = df.hint("rebalance", F.col(partition)).withColumn(PART, F.col(partition).cast("string"))
+            dealt.write.mode("overwrite").partitionBy(PART).parquet(f"{path}/{folder.name}")
+        else:
+            df.write.mode("overwrite").parquet(f"{path}/{folder.name}")
         if after_write:
             after_write(folder.name)
 
@@ -102,8 +117,7 @@ def write_generation(
     level = 0
     while len(full := sorted(f for f in folders if f.level == level)) >= FAN_OUT:
         above = Folder(level + 1, full[0].first, full[-1].last)
-        paths = [f"{path}/{f.name}" for f in full]
-        write(merge(spark.read.schema(rows.schema).parquet(*paths)), above)
+        write(merge(_read(spark, store, full, rows.schema, bool(partition))), above)
         folders = [f for f in folders if f.level != level] + [above]
         level += 1
     store.put(_manifest(batch), json.dumps([(f.level, f.first, f.last) for f in folders]))
@@ -121,9 +135,40 @@ def _clean(store: Store, batch: int) -> None:
             store.remove(name)
 
 
-def read_generations(spark: SparkSession, path: str, schema: str | StructType, before: int | None = None) -> DataFrame:
-    """All rows of the folders that count (before a batch); none before the first one."""
-    folders = current(Store(spark, path), before)
-    if not folders:
+def _read(
+    spark: SparkSession,
+    store: Store,
+    folders: list[Folder],
+    schema: str | StructType,
+    partitioned: bool = False,
+    parts: Collection[str] | None = None,
+) -> DataFrame:
+    paths = []
+    for folder in sorted(folders):
+        if not partitioned:
+            paths.append(f"{store.path}/{folder.name}")
+            continue
+        there = {n.removeprefix(f"{PART}=") for n in store.names(folder.name) if n.startswith(f"{PART}=")}
+        wanted = there if parts is None else there & set(parts)
+        if wanted:
+            listed = "*" if parts is None else f"{{{','.join(sorted(wanted))}}}"
+            paths.append(f"{store.path}/{folder.name}/{PART}={listed}")
+    if not paths:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{path}/{f.name}" for f in sorted(folders)])
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def read_generations(
+    spark: SparkSession,
+    path: str,
+    schema: str | StructType,
+    before: int | None = None,
+    partitioned: bool = False,
+    parts: Collection[str] | None = None,
+) -> DataFrame:
+    """All rows of the folders that count (before a batch); none before the first one.
+
+    Of a partitioned table, ``parts`` names the values to read, as text.
+    """
+    store = Store(spark, path)
+    return _read(spark, store, current(store, before), schema, partitioned, parts)

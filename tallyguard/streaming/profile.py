@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,7 +13,7 @@ from pyspark.storagelevel import StorageLevel
 
 from tallyguard.functions.dates import DAY_US, WEEK_US
 from tallyguard.operators.behaviour import HOT_ROWS, HistoryColumns, customer_profile
-from tallyguard.streaming.generations import read_generations, write_generation
+from tallyguard.streaming.generations import PART, read_generations, write_generation
 from tallyguard.streaming.ingest import TRIGGER_SECONDS, triggered
 
 # How far back each feature looks, in microseconds.
@@ -59,23 +58,28 @@ def _same(left: str, right: str, columns: Sequence[str]) -> Column:
     return out
 
 
-def _read_days(spark: SparkSession, path: str, days: Sequence[dt.date], schema: T.StructType) -> DataFrame:
-    """The rows of some days; days without a folder count as empty, and the files of others are not listed."""
-    folders = f"{path}/day={{{','.join(map(str, days))}}}"
-    try:
-        return spark.read.schema(schema).option("basePath", path).parquet(folders)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+# Columns that the table keeps beside a row and its features: its day, how many such rows there are, the batch.
+DAY, COPIES, BATCH = "_day", "_copies", "_batch"
 
 
-def newest_rows(written: DataFrame, customer: str) -> DataFrame:
-    """A batch writes whole (customer, day) groups anew: of each, the rows of the newest batch."""
-    keys = [customer, "day"]
-    newest = written.groupBy(*keys).agg(F.max("batch").alias("newest"))
-    both = written.alias("w").join(newest.alias("n"), _same("w", "n", keys) & (F.col("w.batch") == F.col("n.newest")))
-    return both.select("w.*")
+def stored_schema(spark: SparkSession, columns: T.StructType, wanted: Sequence[str], names: HistoryColumns) -> T.StructType:
+    """The rows' own columns, their features, and the three columns of the table."""
+    profiled = customer_profile(spark.createDataFrame([], columns), wanted, names).schema
+    kept = [T.StructField(DAY, T.DateType()), T.StructField(COPIES, T.LongType()), T.StructField(BATCH, T.LongType())]
+    return T.StructType([*columns.fields, *[profiled[f] for f in wanted], *kept])
+
+
+def newest_records(written: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Equal rows share one record; of the records of a row, that of the newest batch."""
+    others = [c for c in written.columns if c not in columns]
+    newest = F.max_by(F.struct(*[F.col(f"`{c}`") for c in others]), BATCH).alias("newest")
+    return written.groupBy(*[f"`{c}`" for c in columns]).agg(newest).select(*[f"`{c}`" for c in columns], "newest.*")
+
+
+def _repeated(records: DataFrame) -> DataFrame:
+    """Each record as often as there are such rows."""
+    times = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col(COPIES)))
+    return records.withColumn("_time", times).drop("_time")
 
 
 def profile_stream(
@@ -90,37 +94,49 @@ def profile_stream(
 ) -> StreamingQuery:
     """Rows with trailing features, kept right as rows come in, late ones too.
 
-    The output, a folder per day with a folder per batch in it, is the history. A batch reads, for its own
-    customers only, the days that its rows' frames reach and the days whose frames reach its rows, and
-    writes the (customer, day) groups that change as a whole; ``read_profile`` takes the newest of each.
-    A repeated batch replaces its own folders. Rows without a time have no day and are left out.
+    The output is the history, a generation table with a folder per day. A batch reads, for its own customers
+    only, the days that its rows' frames reach and the days whose frames reach its rows, and writes its rows and
+    those older rows whose features a late row has changed, nothing else; ``read_profile`` takes the newest record
+    of each row. Equal rows are one record with a count, −0.0 being equal to 0.0. A repeated batch replaces what it
+    wrote. Rows without a time have no day and are left out.
     """
     if unknown := set(wanted) - set(REACH):
         raise ValueError(f"features {sorted(unknown)} look back without a bound and can't be kept on a stream")
+    wanted = list(wanted)
     reach = max(REACH[f] for f in wanted) // DAY_US
-    columns, who = transactions.schema, names.customer
-    stored = stored_schema(columns)
+    columns, who = transactions.columns, names.customer
+    stored = stored_schema(transactions.sparkSession, transactions.schema, wanted, names)
+    own_columns = [F.col(f"`{c}`") for c in columns]
+
+    def newest(written: DataFrame) -> DataFrame:
+        return newest_records(written, columns).select(*[f"`{c}`" for c in stored.names])
 
     def step(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.where(F.col(names.ts).isNotNull()).withColumn("day", F.to_date(names.ts))
+        fresh = batch.where(F.col(names.ts).isNotNull()).withColumn(DAY, F.to_date(names.ts))
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            dates = [r["day"] for r in fresh.select("day").distinct().collect()]
-            days = sorted({d + dt.timedelta(days=k) for d in dates for k in range(-reach, reach + 1)})
+            dates = [r[DAY] for r in fresh.select(DAY).distinct().collect()]
+            days = {str(d + dt.timedelta(days=k)) for d in dates for k in range(-reach, reach + 1)}
             if not days:
                 return
             later = F.explode(F.sequence(F.lit(0), F.lit(reach))).alias("later")
-            touched = fresh.select(who, "day", later).select(who, F.date_add("day", F.col("later")).alias("day")).distinct()
-            history = _read_days(spark, path, days, stored).where(F.col("batch") < batch_id)
+            touched = fresh.select(who, DAY, later).select(who, F.date_add(DAY, F.col("later")).alias(DAY)).distinct()
+            history = read_generations(spark, path, stored, before=batch_id, partitioned=True, parts=days)
             own = fresh.select(who).distinct()
-            history = newest_rows(history.alias("h").join(own.alias("o"), _same("h", "o", [who]), "left_semi"), who)
-            both = history.select(*columns.names).unionByName(fresh.select(*columns.names))
-            rows = customer_profile(both, wanted, names, hot_rows).withColumn("day", F.to_date(names.ts))
-            changed = rows.alias("r").join(touched.alias("t"), _same("r", "t", [who, "day"]), "left_semi")
-            changed = changed.withColumn("batch", F.lit(batch_id).cast("bigint"))
-            writer = changed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.partitionBy("day", "batch").parquet(path)
+            history = newest(history.alias("h").join(own.alias("o"), _same("h", "o", [who]), "left_semi"))
+            before = F.struct(*[F.col(f) for f in wanted], F.col(COPIES)).alias("_before")
+            known = _repeated(history.select(*own_columns, COPIES, before)).select(*own_columns, "_before")
+            arrived = fresh.select(*own_columns, F.lit(None).cast(known.schema["_before"].dataType).alias("_before"))
+            rows = customer_profile(known.unionByName(arrived), wanted, names, hot_rows)
+            rows = rows.withColumn(DAY, F.to_date(names.ts))
+            near = rows.alias("r").join(touched.alias("t"), _same("r", "t", [who, DAY]), "left_semi")
+            now = near.groupBy(*own_columns, DAY).agg(
+                *[F.first(f).alias(f) for f in wanted], F.count("*").alias(COPIES), F.max("_before").alias("_before")
+            )
+            same = F.struct(*wanted, COPIES).eqNullSafe(F.col("_before"))
+            changed = now.where(~same).withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+            write_generation(changed.select(*[f"`{c}`" for c in stored.names]), path, batch_id, newest, partition=DAY)
         finally:
             fresh.unpersist()
 
@@ -128,10 +144,9 @@ def profile_stream(
     return triggered(writer, trigger_seconds, available_now).start()
 
 
-def stored_schema(columns: T.StructType) -> T.StructType:
-    return T.StructType([*columns.fields, T.StructField("day", T.DateType()), T.StructField("batch", T.LongType())])
-
-
-def read_profile(spark: SparkSession, path: str, customer: str = "customer_id") -> DataFrame:
-    """All rows with their features as they are now."""
-    return newest_rows(spark.read.parquet(path), customer).drop("day", "batch")
+def read_profile(spark: SparkSession, path: str) -> DataFrame:
+    """All rows with their features as they are now; none but an error before the first batch with rows."""
+    schema = spark.read.parquet(f"{path}/g*/{PART}=*").schema
+    columns = [c for c in schema.names if c not in (*REACH, DAY, COPIES, BATCH)]
+    written = read_generations(spark, path, schema, partitioned=True)
+    return _repeated(newest_records(written, columns)).drop(DAY, COPIES, BATCH)

@@ -5,11 +5,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tallyguard.operators.behaviour import HistoryColumns, customer_profile
+from tallyguard.operators.behaviour import HOT_ROWS, HistoryColumns, customer_profile
 from tallyguard.sources import files
 from tallyguard.sources.schemas import BRONZE_SCHEMA, TOPIC_SCHEMA
 from tallyguard.sources.topic import to_bronze
-from tallyguard.streaming import dedupe, ingest, profile, score, summary
+from tallyguard.streaming import dedupe, generations, ingest, profile, score, summary
 
 START = dt.datetime(2024, 3, 1)
 
@@ -200,6 +200,49 @@ def test_profile_revises_rows_after_late_ones(spark, tmp_path):
     assert got.count() == 8 and got.select(*expected.columns).exceptAll(expected).count() == 0
 
 
+@pytest.mark.parametrize("hot_rows", [HOT_ROWS, 3])
+def test_profile_writes_only_what_changes_and_merges_folders(spark, tmp_path, monkeypatch, hot_rows):
+    """Batches in order write their own rows; a late row writes those after it; equal rows are one record."""
+    monkeypatch.setattr(generations, "FAN_OUT", 2)
+    path, mark, source = (str(tmp_path / n) for n in ("out", "mark", "rows"))
+    schema = "row int, customer_id double, ts timestamp_ntz, amount double, event_type string, fraud_label string"
+    batches = [[(10 * b + i, float(i % 2), at(600 * b + 7 * i), float(i), "buy", None) for i in range(6)] for b in range(3)]
+    batches.append([(99, 0.0, at(600 * 2 - 1), 1.0, "buy", None)])
+    batches.append([(20, 0.0, at(1200), 0.0, "buy", None)] * 2)
+    wanted = ("daily_count", "max_24h")
+    written = []
+    for number, batch in enumerate(batches):
+        put(spark, source, batch, schema)
+        stream = spark.readStream.schema(schema).parquet(source)
+        profile.profile_stream(stream, path, mark, wanted, hot_rows=hot_rows, available_now=True).awaitTermination()
+        folders = generations.current(generations.Store(spark, path))
+        assert len(folders) == bin(number + 1).count("1")
+        every = spark.read.parquet(*[f"{path}/{f.name}/{generations.PART}=*" for f in folders])
+        written.append(every.where(F.col("_batch") == number).count())
+        so_far = spark.createDataFrame([r for b in batches[: number + 1] for r in b], schema)
+        expected = customer_profile(so_far, wanted, HistoryColumns())
+        got = profile.read_profile(spark, path).select(*expected.columns)
+        assert got.count() == expected.count() and got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
+    # In order: six new rows. Late: itself and the three later rows of its customer that day. Copies: the record
+    # of the row, and two rows after it.
+    assert written == [6, 6, 6, 4, 3]
+
+
+def test_profile_reads_the_days_it_needs(spark, tmp_path, monkeypatch):
+    path, mark, source = (str(tmp_path / n) for n in ("out", "mark", "rows"))
+    schema = "row int, customer_id double, ts timestamp_ntz, amount double, event_type string, fraud_label string"
+    asked = []
+    plain = profile.read_generations
+    monkeypatch.setattr(profile, "read_generations", lambda *a, **k: asked.append((k["parts"], plain(*a, **k))) or asked[-1][1])
+    for day in (0, 1, 30):
+        put(spark, source, [(day, 1.0, at(1440 * day), 1.0, "buy", None)], schema)
+        stream = spark.readStream.schema(schema).parquet(source)
+        profile.profile_stream(stream, path, mark, available_now=True).awaitTermination()
+    parts, frame = asked[-1]
+    assert len(parts) == 3 and frame.inputFiles() == []
+    assert len(asked[1][1].inputFiles()) == 1
+
+
 def test_profile_refuses_features_without_a_bound(spark, tmp_path):
     stream = spark.readStream.schema("customer_id double, ts timestamp").parquet(str(tmp_path))
     with pytest.raises(ValueError, match="avg_amount"):
