@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from llm_rows import ROWS
+from tallyguard.llm.queries import QUERIES
 from tallyguard.llm.sharding import half_bits, permute, shard_rows
 
 
@@ -47,3 +48,45 @@ def test_more_shards_than_rows_and_no_rows(odd, none):
     rows = shard_rows(odd.limit(2), shards=40).collect()
     assert len({r["shard"] for r in rows}) == 2 and {r["slot"] for r in rows} == {0}
     assert shard_rows(none).count() == 0
+
+
+def plain_places(rows, shards, seed):
+    """Shard and slot of each (id, text), one number at a time with plain integers."""
+    prime = 2**31 - 1
+    state, keys = seed, []
+    for _ in range(6 * 4):
+        state = (state * 48271 + 11) % prime
+        keys.append(state % (prime - 1) + 1)
+    bits = 1
+    while 4**bits < len(rows):
+        bits += 1
+
+    def step(x):
+        left, right = divmod(x, 2**bits)
+        for k in range(0, len(keys), 4):
+            mixed = (right * keys[k] + keys[k + 1]) % prime
+            mixed = ((mixed ^ (mixed >> 13)) * keys[k + 2] + keys[k + 3]) % prime
+            left, right = right, left ^ (mixed % 2**bits)
+        return left * 2**bits + right
+
+    data = [(id_, (text or "").encode()) for id_, text in rows]
+    ordered = sorted((id_ is not None, id_ or 0, zlib.crc32(raw), len(raw) + 16) for id_, raw in data)
+    out = []
+    for number, (known, id_, crc, size) in enumerate(ordered):
+        place = step(number)
+        while place >= len(rows):
+            place = step(place)
+        out.append((id_ if known else None, size, crc, place % shards, place // shards))
+    return out
+
+
+def test_every_row_has_the_place_of_a_plain_version(odd, spark):
+    def found(df):
+        return sorted(map(str, ((r["doc_id"], r["size"], r["text_crc32"], r["shard"], r["slot"]) for r in df.collect())))
+
+    for shards, seed in ((1, 20), (4, 7), (40, 20)):
+        wanted = plain_places([r[:2] for r in ROWS], shards, seed)
+        assert found(shard_rows(odd, shards, seed)) == sorted(map(str, wanted))
+    folder = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]
+    assert found(QUERIES["op7_sharding"](spark, folder)) == sorted(map(str, plain_places(rows, 40, 20)))
