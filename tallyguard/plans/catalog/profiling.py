@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyguard.operators import profile
 from tallyguard.operators.features import cyclic_encode
 from tallyguard.operators.prepare import stratified_split
+from tallyguard.operators.value_counts import ValueCounts
 from tallyguard.plans.flows import bronze_to_gold
 from tallyguard.plans.registry import query, r6, rounded
 from tallyguard.plans.tables import BRONZE_SQL, DOCS_SQL, TXN_SQL, Tables
@@ -68,19 +69,35 @@ def missing_counts(tables: Tables) -> DataFrame:
     return profile.missing_counts(tables.transactions())
 
 
+def described(column: str, table: str) -> str:
+    return f"""SELECT '{column}' AS "column", count({column}) AS count, round(avg({column}) + 1e-9, 6) + 0.0 AS mean,
+       round(stddev_samp({column}) + 1e-9, 6) + 0.0 AS std, round(min({column}) + 1e-9, 6) + 0.0 AS min, round(quantile_cont({column}, 0.25) + 1e-9, 6) + 0.0 AS q25,
+       round(quantile_cont({column}, 0.5) + 1e-9, 6) + 0.0 AS q50, round(quantile_cont({column}, 0.75) + 1e-9, 6) + 0.0 AS q75,
+       round(max({column}) + 1e-9, 6) + 0.0 AS max FROM {table}"""
+
+
+DESCRIBED = ("mean", "std", "min", "q25", "q50", "q75", "max")
+
+
+@query("describe_numeric", " UNION ALL ".join(described(c, "lineitem") for c in MEASURES))
+def describe_numeric(tables: Tables) -> DataFrame:
+    return rounded(profile.describe_numeric(tables.read("lineitem"), MEASURES), *DESCRIBED)
+
+
 @query(
-    "describe_numeric",
-    " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}) + 1e-9, 6) + 0.0 AS mean,
-       round(stddev_samp({c}) + 1e-9, 6) + 0.0 AS std, round(min({c}) + 1e-9, 6) + 0.0 AS min, round(quantile_cont({c}, 0.25) + 1e-9, 6) + 0.0 AS q25,
-       round(quantile_cont({c}, 0.5) + 1e-9, 6) + 0.0 AS q50, round(quantile_cont({c}, 0.75) + 1e-9, 6) + 0.0 AS q75,
-       round(max({c}) + 1e-9, 6) + 0.0 AS max FROM lineitem"""
-        for c in MEASURES
-    ),
+    "describe_stacked",
+    described("measure", "(" + " UNION ALL ".join(f"SELECT {c} AS measure FROM lineitem" for c in MEASURES) + ")"),
 )
-def describe_numeric(tables: Tables) -> DataFrame:
-    table = profile.describe_numeric(tables.read("lineitem"), MEASURES)
-    return rounded(table, "mean", "std", "min", "q25", "q50", "q75", "max")
+def describe_stacked(tables: Tables) -> DataFrame:
+    """All measures as one column: from sf0.01 on, enough rows for quantiles by brackets."""
+    measures = F.explode(F.array(*[F.col(c).cast("double") for c in MEASURES])).alias("measure")
+    return rounded(profile.describe_numeric(tables.read("lineitem").select(measures)), *DESCRIBED)
+
+
+@query("describe_counted", " UNION ALL ".join(described(c, "lineitem") for c in MEASURES))
+def describe_counted(tables: Tables) -> DataFrame:
+    """As describe_numeric, from counts of values."""
+    return rounded(ValueCounts(tables.read("lineitem").select(*MEASURES)).numbers(), *DESCRIBED)
 
 
 @query(
@@ -186,8 +203,7 @@ def corr_matrix(tables: Tables) -> DataFrame:
 RATE_COLUMNS = ("transaction_type", "is_new_merchant", "txn_city")
 
 
-@query(
-    "fraud_rate_by",
+RATES_SQL = (
     f"WITH {TXN_SQL} "
     + " UNION ALL ".join(
         f"""SELECT '{c}' AS "column", CAST({c} AS VARCHAR) AS value,
@@ -195,12 +211,21 @@ RATE_COLUMNS = ("transaction_type", "is_new_merchant", "txn_city")
        round(avg(CASE WHEN trim(fraud_label) = 'Fraud' THEN 1.0::DOUBLE ELSE 0 END) * 100, 2) AS rate_pct
 FROM txn WHERE {c} IS NOT NULL AND fraud_label IS NOT NULL GROUP BY 2"""
         for c in RATE_COLUMNS
-    ),
+    )
 )
+
+
+@query("fraud_rate_by", RATES_SQL)
 def fraud_rate_by(tables: Tables) -> DataFrame:
     return rounded(profile.fraud_rate_by(tables.transactions(), RATE_COLUMNS), "rate")
 
 
+@query("fraud_rate_counted", RATES_SQL)
+def fraud_rate_counted(tables: Tables) -> DataFrame:
+    """As fraud_rate_by, from counts of values."""
+    return rounded(ValueCounts(tables.transactions()).rates(RATE_COLUMNS), "rate")
+
+
 BOUNDS_SQL = """SELECT a - 1.5 * (b - a) AS low, b + 1.5 * (b - a) AS high FROM
   (SELECT quantile_cont({v}, 0.25) AS a, quantile_cont({v}, 0.75) AS b FROM {t})"""
 
