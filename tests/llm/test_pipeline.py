@@ -1,14 +1,22 @@
 """The pipeline's stages and queries of this folder."""
 
+import re
+
+import numpy as np
+import pandas as pd
 import pytest
+import xxhash
+from public_tokenizers import path as tokenizer_path
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from __spark_entry__ import oracle_sql, queries
 from check_oracle import compare, connect
 from llm_rows import CLASHES, ROWS
+from plain_quality import plain_quality
 from tallyguard.llm.queries import ORACLE, QUERIES
 from tallyguard.session import stage
+from tokenizers import Tokenizer
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -75,3 +83,52 @@ def test_run_on_the_tables(spark):
     documents = {r["doc_id"]: r["doc_tokens"] for r in rows}
     assert sum(fill.values()) == sum(documents.values()) and 100 < len(documents) < 200
     assert len(CLASHES) and len(ROWS)
+
+
+def fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    shingles = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def smallest_linked(prints):
+    """The ids that are the smallest of their component, all pairs compared."""
+    ids, root = sorted(prints), {i: i for i in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in ids:
+            for b in ids:
+                if (prints[a] ^ prints[b]).bit_count() <= 2 and root[a] < root[b]:
+                    root[b], changed = root[a], True
+    return {i for i in ids if root[i] == i}
+
+
+def test_run_equals_a_plain_version(spark):
+    """Quality, equal texts, near texts and tokens written a second time; languages from their operator, whose masks
+    and shares have a test of their own."""
+    first = pipeline.STAGES[0][1](spark, spark.read.parquet(f"{FOLDER}/documents.parquet"), FOLDER)
+    rows = sorted((r["doc_id"], r["text"]) for r in first.select("doc_id", "text").collect())
+    labels = dict(pd.read_parquet(f"{FOLDER}/labels.parquet")[["doc_id", "quality"]].itertuples(index=False))
+    learn = np.array([labels.get(i) in (0, 1) for i, _ in rows])
+    scores = plain_quality([t for _, t in rows], learn, [labels.get(i) for i, _ in rows])
+    texts = {}
+    for (i, text), score in zip(rows, scores):
+        if score >= 0.7:
+            texts.setdefault(re.sub(r"[\x20\x09-\x0D]+", " ", text), (i, text))
+    texts = dict(texts.values())
+    left = smallest_linked({i: fingerprint(t) for i, t in texts.items()})
+    library = Tokenizer.from_file(str(tokenizer_path("word_bpe_49k.json")))
+    wanted = {i: len(library.encode(texts[i], add_special_tokens=False).ids) + 1 for i in left}
+    found, pieces = {}, {}
+    for r in pipeline.run(spark, FOLDER).collect():
+        found[r["doc_id"]] = r["doc_tokens"]
+        pieces.setdefault(r["doc_id"], []).append((r["start"], r["length"]))
+    assert found == wanted
+    for i, parts in pieces.items():
+        at = 0
+        for start, length in sorted(parts):
+            assert start == at
+            at += length
+        assert at == wanted[i]
