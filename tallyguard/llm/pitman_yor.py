@@ -1,28 +1,31 @@
-"""LM scoring: a hierarchical Pitman-Yor model of words, seated by Gibbs sampling over the whole corpus."""
+"""LM scoring: a hierarchical Pitman-Yor model of words given the word before, seated by Gibbs sampling over the whole corpus."""
 
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyguard.llm.base import PART_BIT, remainder, ship, stage, summed
 
-#: Contexts: short words by hash, longer ones by their last two bytes, and the start of a document.
-SHORT_BYTES = 4
-SHORT_CONTEXTS = 1024
-ENDING_CONTEXTS = 256
-START = SHORT_CONTEXTS + ENDING_CONTEXTS
-CONTEXTS = START + 1
+#: Contexts laid out by hand, as tests do; those of score_documents are words and grow with the corpus.
+CONTEXTS = 1281
 #: Tokens of a chunk of documents, words of a bucket of the model, chunks answered together: they bound memory.
 CHUNK_TOKENS = 1_500_000
 BUCKET_WORDS = 400_000
 TURN_CHUNKS = 1024
-#: Sweeps over all seats, the last SAMPLES of which are averaged; seats are written every KEPT_EVERY sweeps before.
+#: Words that requests write as short numbers, taken from so many chunks; all others are written out.
+BOOK_WORDS = 1 << 18
+BOOK_CHUNKS = 8
+#: Totals of contexts meet in a home per bucket up to so many homes, then in one per HOME_BUCKETS buckets.
+HOMES = 64
+HOME_BUCKETS = 16
+#: Sweeps over all seats, the last SAMPLES of which are averaged; every KEPT_EVERY-th is written to shared storage.
 SWEEPS = 8
 SAMPLES = 3
 KEPT_EVERY = 3
@@ -33,29 +36,114 @@ SEED = 6
 
 CHUNK_FIELDS = (
     "chunk bigint, doc_no array<bigint>, ids array<{kind}>, train array<boolean>, lengths array<bigint>, "
-    "first array<int>, tokens binary, words binary, classes binary"
+    "first array<int>, tokens binary, words binary"
 )
+REQUEST_FIELDS = "bucket bigint, turn bigint, chunk bigint, words binary, each binary, contexts binary, counts binary"
 MODEL_FIELDS = "bucket bigint, turn bigint, words binary, each binary, contexts binary, counts binary"
-SEATS_FIELDS = ", done bigint, seated binary, parents binary"
+ACTIVE_FIELDS = "bucket bigint, each binary, single binary, places binary, counts binary, ids binary"
+MESSAGE_FIELDS = "bucket bigint, home bigint, ids binary, amounts binary, wanted binary"
+SEATS_FIELDS = (
+    "bucket bigint, home bigint, ids binary, amounts binary, wanted binary, fixed binary, seated binary, "
+    "customers binary, parents binary, all_customers bigint, all_parents bigint"
+)
+ANSWER_FIELDS = (
+    "chunk bigint, bucket bigint, frequency binary, customers binary, parents binary, totals binary, counts binary, "
+    "tables binary"
+)
+
+
+def schema_of(fields: str) -> pa.Schema:
+    kinds = {"bigint": pa.int64(), "binary": pa.binary()}
+    return pa.schema([(name, kinds[kind]) for name, kind in map(str.split, fields.split(", "))])
 
 
 def squeezed(values: np.ndarray, kind: str) -> bytes:
-    """An array as compressed bytes."""
+    """An array as compressed bytes: the first byte of every number, then the second ones, and so on."""
     import zstandard
 
-    return zstandard.ZstdCompressor(level=1).compress(values.astype(kind).tobytes())
+    if kind == "<u4" and len(values) and values.max() > 0xFFFFFFFF:
+        raise OverflowError("a count beyond 2**32")
+    flat = np.ascontiguousarray(values.astype(kind))
+    planes = flat.view("u1").reshape(-1, flat.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def expanded(data: bytes, kind: str) -> np.ndarray:
     import zstandard
 
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind) if data else np.zeros(0, kind)
-
-
-def context_of(word: bytes, hashed: int) -> int:
-    if len(word) <= SHORT_BYTES:
-        return hashed % SHORT_CONTEXTS
-    return SHORT_CONTEXTS + (word[-2] * 31 + word[-1]) % ENDING_CONTEXTS
+    if not data:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), "u1").reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+class Book:
+    """Short numbers for frequent words, so that requests stay small; words outside are written as whole hashes."""
+
+    def __init__(self, words: np.ndarray):
+        """Hashes of words, the most frequent first."""
+        self.words = words
+        self.order = np.argsort(words)
+        self.sorted = words[self.order]
+
+    def codes(self, words: np.ndarray) -> np.ndarray:
+        """The number from 1 of each word, 0 of those outside."""
+        at, has = find(self.sorted, words)
+        out = np.zeros(len(words), "int64")
+        out[has] = self.order[at[has]] + 1
+        return out
+
+    def pack(self, words: np.ndarray, codes: np.ndarray | None = None) -> bytes:
+        codes = self.codes(words) if codes is None else codes
+        data = squeezed(codes, "<u4")
+        return len(data).to_bytes(8, "little") + data + words[codes == 0].tobytes()
+
+    def split(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of packed words, hashes of those with number 0)."""
+        if not data:
+            return np.zeros(0, "int64"), np.zeros(0, "<u8")
+        end = 8 + int.from_bytes(data[:8], "little")
+        return expanded(data[8:end], "<u4").astype("int64"), np.frombuffer(data[end:], "<u8")
+
+    def unpack(self, data: bytes) -> np.ndarray:
+        codes, plain = self.split(data)
+        out, known = np.empty(len(codes), "<u8"), codes > 0
+        out[known] = self.words[codes[known] - 1]
+        out[~known] = plain
+        return out
+
+    def places(self, packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(distinct words in order of hash, the place there of each packed word)."""
+        parts = [self.split(data) for data in packed]
+        codes, plain = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
+        used = np.flatnonzero(np.bincount(codes, minlength=len(self.words) + 1)[1:])
+        extra, extra_at = np.unique(plain, return_inverse=True)
+        ids = np.concatenate([self.words[used], extra])
+        order = np.argsort(ids)
+        rank = np.empty(len(ids), "int64")
+        rank[order] = np.arange(len(ids))
+        table = np.zeros(len(self.words) + 1, "int64")
+        table[used + 1] = rank[: len(used)]
+        out = table[codes]
+        out[codes == 0] = rank[len(used) :][extra_at]
+        return ids[order], out
+
+
+class Places:
+    """Finds packed words among known ones, those of the book by their number."""
+
+    def __init__(self, known: np.ndarray, book: Book):
+        self.known, self.book = known, book
+        codes = book.codes(known)
+        self.table = np.full(len(book.words) + 1, -1)
+        self.table[codes] = np.arange(len(known))
+
+    def find(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        codes, plain = self.book.split(data)
+        at = self.table[codes]
+        spelled, has = find(self.known, plain)
+        at[codes == 0] = np.where(has, spelled, -1)
+        return np.maximum(at, 0), at >= 0
 
 
 def as_chunks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> DataFrame:
@@ -74,10 +162,9 @@ def as_chunks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> Dat
 
         def flush():
             hashes = np.array([xxh64_intdigest(w, SEED) for w in words], "<u8")
-            classes = np.array([context_of(w, h) for w, h in zip(words, hashes.tolist())], "<u2")
             names = ["doc_no", "ids", "train", "lengths", "first"]
             row = dict(zip(names, map(list, zip(*rows))))
-            row |= {"chunk": (part << PART_BIT) + number, "words": hashes.tobytes(), "classes": classes.tobytes()}
+            row |= {"chunk": (part << PART_BIT) + number, "words": hashes.tobytes()}
             row["tokens"] = squeezed(np.concatenate(tokens), "<u4")
             return pa.RecordBatch.from_pylist([row], schema)
 
@@ -88,18 +175,19 @@ def as_chunks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> Dat
                 schema = pa.schema(
                     [("chunk", pa.int64()), ("doc_no", pa.list_(pa.int64())), ("ids", listed)]
                     + [("train", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("first", pa.list_(pa.int32()))]
-                    + [("tokens", pa.binary()), ("words", pa.binary()), ("classes", pa.binary())]
+                    + [("tokens", pa.binary()), ("words", pa.binary())]
                 )
             for id_, text, in_train in zip(*batch.columns):
                 id_, in_train = id_.as_py(), in_train.as_py()
                 found = text.as_buffer().to_pybytes().lower().split()
                 found.append(b"")
-                first = START
+                before = b""
                 for at in range(0, len(found), CHUNK_TOKENS):
                     piece = found[at : at + CHUNK_TOKENS]
+                    first = words.setdefault(before, len(words))
                     rows.append(((part << PART_BIT) + doc_no, id_, in_train, len(piece), first))
                     tokens.append(np.array([words.setdefault(w, len(words)) for w in piece], "<u4"))
-                    first = context_of(piece[-1], xxh64_intdigest(piece[-1], SEED))
+                    before = piece[-1]
                     size += len(piece)
                     if size >= CHUNK_TOKENS:
                         yield flush()
@@ -112,102 +200,148 @@ def as_chunks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> Dat
     return source.mapInArrow(chunked, CHUNK_FIELDS.format(kind=kind))
 
 
+def book_of(chunks: DataFrame) -> Book:
+    """Frequent words of a few chunks. Results don't depend on which words are in the book, only sizes do."""
+    some = [r["chunk"] for r in chunks.select("chunk").orderBy(F.xxhash64("chunk")).limit(BOOK_CHUNKS).collect()]
+
+    def frequent(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                words = np.frombuffer(row["words"], "<u8")
+                counts = np.bincount(expanded(row["tokens"], "<u4"), minlength=len(words))
+                top = np.argsort(-counts, kind="stable")[: BOOK_WORDS // 2]
+                out = {"words": words[top].tobytes(), "counts": counts[top].astype("<i8").tobytes()}
+                yield pa.RecordBatch.from_pylist([out], pa.schema([(c, pa.binary()) for c in ("words", "counts")]))
+
+    rows = chunks.where(F.col("chunk").isin(some)).select("words", "tokens").mapInArrow(
+        frequent, "words binary, counts binary").collect()
+    words = np.concatenate([np.frombuffer(r["words"], "<u8") for r in rows] + [np.zeros(0, "<u8")])
+    counts = np.concatenate([np.frombuffer(r["counts"], "<i8") for r in rows] + [np.zeros(0, "<i8")])
+    words, place = np.unique(words, return_inverse=True)
+    counts = np.bincount(place, weights=counts, minlength=len(words))
+    return Book(words[np.argsort(-counts, kind="stable")[:BOOK_WORDS]])
+
+
 class Chunk:
-    """A chunk's distinct (word, context) pairs, in the order of buckets in which they are asked for."""
+    """A chunk's distinct (word, context) pairs, in the order of buckets in which they are asked for.
+
+    A context is the word before, by its place in the chunk's dictionary; the end of a document stands before the next.
+    """
 
     def __init__(self, row: dict, buckets: int):
-        self.words = np.frombuffer(row["words"], "<u8")
-        classes = np.frombuffer(row["classes"], "<u2").astype("int64")
+        if "homes" in row:
+            bucket_of = expanded(row["homes"], "<u4").astype("int64")
+        else:
+            self.words = np.frombuffer(row["words"], "<u8")
+            bucket_of = (self.words % np.uint64(buckets)).astype("int64")
         self.tokens = expanded(row["tokens"], "<u4").astype("int64")
         self.lengths = np.array(row["lengths"], "int64")
         self.starts = np.cumsum(self.lengths) - self.lengths
         context = np.empty(len(self.tokens), "int64")
-        context[1:] = classes[self.tokens[:-1]]
+        context[1:] = self.tokens[:-1]
         context[self.starts] = row["first"]
-        keys, self.pair_of = np.unique(self.tokens * CONTEXTS + context, return_inverse=True)
-        word, self.context = np.divmod(keys, CONTEXTS)
-        trained = np.repeat(np.array(row["train"], bool), self.lengths)
-        self.counts = np.bincount(self.pair_of, weights=trained, minlength=len(keys)).astype("int64")
-        bucket_of = (self.words % np.uint64(buckets)).astype("int64")
+        size = len(bucket_of)
+        keys, self.pair_of = distinct(self.tokens * size + context)
+        self.word, self.context = np.divmod(keys, size)
+        if "train" in row:
+            trained = np.repeat(np.array(row["train"], bool), self.lengths)
+            self.counts = np.bincount(self.pair_of, weights=trained, minlength=len(keys)).astype("int64")
+        if buckets <= 1 << 16:
+            bucket_of = bucket_of.astype("<u2")
         self.word_order = np.argsort(bucket_of, kind="stable")
-        self.pair_order = np.argsort(bucket_of[word], kind="stable")
-        self.word_buckets, self.pair_buckets = bucket_of[self.word_order], bucket_of[word][self.pair_order]
-        self.each = np.bincount(word, minlength=len(self.words))
-
-    def requests(self, chunk: int) -> pa.RecordBatch:
+        self.pair_order = np.argsort(bucket_of[self.word], kind="stable")
+        self.word_buckets, self.pair_buckets = bucket_of[self.word_order], bucket_of[self.word][self.pair_order]
+        self.each = np.bincount(self.word, minlength=size)
+
+    def keep(self, pairs: np.ndarray) -> None:
+        """Leave out all other pairs, and words without any left."""
+        self.word, self.context, self.counts = (x[pairs] for x in (self.word, self.context, self.counts))
+        left = pairs[self.pair_order]
+        self.pair_order = (np.cumsum(pairs) - 1)[self.pair_order[left]]
+        self.pair_buckets = self.pair_buckets[left]
+        self.each = np.bincount(self.word, minlength=len(self.each))
+        used = self.each[self.word_order] > 0
+        self.word_order, self.word_buckets = self.word_order[used], self.word_buckets[used]
+
+    def requests(self, chunk: int, book: Book) -> pa.RecordBatch:
         """One row per bucket: its words, the number of contexts of each, the contexts, the training counts."""
-        found = np.unique(self.word_buckets)
+        found, codes = np.unique(self.word_buckets), book.codes(self.words)
         edges = [np.searchsorted(x, found, side=s) for x in (self.word_buckets, self.pair_buckets) for s in ("left", "right")]
         rows = []
         for bucket, a, b, c, d in zip(found.tolist(), *edges):
             own, pairs = self.word_order[a:b], self.pair_order[c:d]
+            contexts = self.context[pairs]
             rows.append(
                 {
                     "bucket": bucket,
                     "turn": 0,
                     "chunk": chunk,
-                    "words": self.words[own].tobytes(),
+                    "words": book.pack(self.words[own], codes[own]),
                     "each": squeezed(self.each[own], "<u4"),
-                    "contexts": squeezed(self.context[pairs], "<u2"),
+                    "contexts": book.pack(self.words[contexts], codes[contexts]),
                     "counts": squeezed(self.counts[pairs], "<u4"),
                 }
             )
-        return pa.RecordBatch.from_pylist(rows, REQUEST_SCHEMA)
-
+        return pa.RecordBatch.from_pylist(rows, schema_of(REQUEST_FIELDS))
 
-REQUEST_SCHEMA = pa.schema(
-    [("bucket", pa.int64()), ("turn", pa.int64()), ("chunk", pa.int64())]
-    + [(c, pa.binary()) for c in ("words", "each", "contexts", "counts")]
-)
 
+def requests(chunks: DataFrame, buckets: int, book, learn: bool) -> DataFrame:
+    """Requests for all pairs of all chunks, for training those that count."""
 
-def requests(chunks: DataFrame, buckets: int) -> DataFrame:
     def asked(batches):
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                yield Chunk(row, buckets).requests(row["chunk"])
+                chunk = Chunk(row, buckets)
+                if learn:
+                    chunk.keep(chunk.counts > 0)
+                yield chunk.requests(row["chunk"], book.value)
 
-    fields = "bucket bigint, turn bigint, chunk bigint, words binary, each binary, contexts binary, counts binary"
-    out = chunks.drop("ids", "doc_no").mapInArrow(asked, fields)
+    out = chunks.drop("ids", "doc_no").mapInArrow(asked, REQUEST_FIELDS)
     return out.withColumn("turn", F.pmod(F.xxhash64("chunk"), F.lit(max(1, -(-chunks.count() // TURN_CHUNKS)))))
 
 
-def arrays(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, pairs of each, contexts, counts) of a request or model row."""
-    return (
-        np.frombuffer(row["words"], "<u8"),
-        expanded(row["each"], "<u4").astype("int64"),
-        expanded(row["contexts"], "<u2").astype("int64"),
-        expanded(row["counts"], "<u4").astype("int64"),
-    )
+def pairs_of(row: dict, book: Book) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words, the pairs' places among them, contexts, the pairs' places among them, counts) of a model row."""
+    words, ids = book.unpack(row["words"]), book.places([row["contexts"]])
+    word = np.repeat(np.arange(len(words)), expanded(row["each"], "<u4"))
+    return words, word, *ids, expanded(row["counts"], "<u4").astype("int64")
 
 
-def merge(group: pa.Table) -> pa.Table:
+def merge(group: pa.Table, book: Book) -> pa.Table:
     """Training counts of the rows of one bucket added up; pairs and words without any left out."""
-    parts = [arrays(row) for row in group.select(["words", "each", "contexts", "counts"]).to_pylist()]
-    words = np.concatenate([np.repeat(p[0], p[1]) for p in parts])
-    contexts, counts = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
+    rows = group.select(["words", "each", "contexts", "counts"]).to_pylist()
+    words, word = book.places([r["words"] for r in rows])
+    contexts, context = book.places([r["contexts"] for r in rows])
+    each, counts = (np.concatenate([expanded(r[c], "<u4").astype("int64") for r in rows]) for c in ("each", "counts"))
+    keys = np.repeat(word, each) * max(len(contexts), 1) + context
     keep = counts > 0
-    words, contexts, counts = words[keep], contexts[keep], counts[keep]
-    order = np.lexsort((contexts, words))
-    words, contexts, counts = words[order], contexts[order], counts[order]
-    new = np.ones(len(words), bool)
-    new[1:] = (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])
-    at = np.flatnonzero(new)
-    totals = np.add.reduceat(counts, at) if len(at) else counts
-    if len(totals) and totals.max() > 0xFFFFFFFF:
-        raise OverflowError("a pair occurs more than 2**32 times")
-    distinct, each = np.unique(words[at], return_counts=True)
+    keys, counts = keys[keep], counts[keep]
+    pairs, place = distinct(keys)
+    totals = np.bincount(place, weights=counts, minlength=len(pairs)).astype("int64")
+    word, context = np.divmod(pairs, max(len(contexts), 1))
+    each = np.bincount(word, minlength=len(words))
+    left = each > 0
     row = {
         "bucket": group["bucket"][0].as_py(),
         "turn": group["turn"][0].as_py(),
-        "words": distinct.astype("<u8").tobytes(),
-        "each": squeezed(each, "<u4"),
-        "contexts": squeezed(contexts[at], "<u2"),
+        "words": book.pack(words[left]),
+        "each": squeezed(each[left], "<u4"),
+        "contexts": book.pack(contexts[context]),
         "counts": squeezed(totals, "<u4"),
     }
-    return pa.Table.from_pylist([row], pa.schema([f for f in REQUEST_SCHEMA if f.name != "chunk"]))
+    return pa.Table.from_pylist([row], schema_of(MODEL_FIELDS))
+
+
+def stacked(samples: np.ndarray) -> bytes:
+    """One row of numbers per sample, all but the first as steps from the one before."""
+    steps = np.diff(samples, axis=0, prepend=0)
+    return squeezed(((steps << 1) ^ (steps >> 63)).ravel(), "<u8")
+
+
+def unstacked(data: bytes) -> np.ndarray:
+    steps = expanded(data, "<u8").astype("int64").reshape(SAMPLES, -1)
+    return np.cumsum((steps >> 1) ^ -(steps & 1), axis=0)
 
 
 def first_tables(counts: np.ndarray, discount: float) -> np.ndarray:
@@ -358,14 +492,14 @@ def draw_tables(counts: np.ndarray, weight: np.ndarray, discount: float, rng) ->
 
 
 class Totals:
-    """Sums over all buckets at the end of a sweep: tables of every context, customers and tables of the parent."""
+    """Sums at the end of a sweep: tables of the contexts at hand, customers and tables of the parent."""
 
     def __init__(self, values: np.ndarray):
-        self.tables, self.customers, self.parents = values[:CONTEXTS], values[CONTEXTS], values[CONTEXTS + 1]
+        self.tables, self.customers, self.parents = values[:-2], values[-2], values[-1]
 
 
 class Settings:
-    """What all buckets share: customers of every context, distinct words, discounts, seed and strength."""
+    """What all buckets share: distinct words, discounts and base; ``seated``, customers of contexts laid out by hand."""
 
     def __init__(self, seated: np.ndarray, words: float, ones: float, twos: float):
         self.seated, self.words = seated, words
@@ -373,40 +507,45 @@ class Settings:
         self.parent_discount = self.discount
         self.base = 1.0 / (words + 1.0)
 
+    def parent_probability(self, customers: np.ndarray, parents: np.ndarray, totals: Totals) -> np.ndarray:
+        own = customers - self.parent_discount * parents
+        return (own + (STRENGTH + self.parent_discount * totals.parents) * self.base) / (STRENGTH + totals.customers)
+
 
 class Bucket:
-    """All words of one bucket of the model, their contexts and the seats that the sweeps so far have led to.
+    """All words of one bucket of the model, their pairs with contexts and the seats of those.
 
-    Sweeps are replayed from the seats written last, or the counts, and the recorded totals, with seeds of bucket
-    and sweep, so that a repeated task gives the same seats.
+    Where a row has ``places``, it holds the pairs with two customers or more, contexts as places among the bucket's
+    own, and the number of pairs with one customer of each word, whose one table never changes. Draws have seeds of
+    bucket and sweep, so that a repeated task gives the same seats.
     """
 
     def __init__(self, row: dict, settings: Settings):
         self.number, self.settings = row["bucket"], settings
-        self.words, each, self.context, self.counts = arrays(row)
-        self.word = np.repeat(np.arange(len(self.words)), each)
-        self.active = np.flatnonzero(self.counts > 1)
-        self.done = row.get("done") or 0
-        if self.done:
-            self.seated, self.parents = (expanded(row[c], "<u4").astype("int64") for c in ("seated", "parents"))
+        each, self.counts = (expanded(row[c], "<u4").astype("int64") for c in ("each", "counts"))
+        self.size, self.word = len(each), np.repeat(np.arange(len(each)), each)
+        if "places" in row:
+            self.context, self.single = (expanded(row[c], "<u4").astype("int64") for c in ("places", "single"))
         else:
-            self.seated = first_tables(self.counts, settings.discount)
-            self.parents = first_tables(self.customers(), settings.parent_discount)
+            self.context, self.single = expanded(row["contexts"], "<u2").astype("int64"), np.zeros(self.size, "int64")
+        self.active = np.flatnonzero(self.counts > 1)
+        self.done = 0
+        self.seated = first_tables(self.counts, settings.discount)
+        self.parents = first_tables(self.customers(), settings.parent_discount)
 
     def tables(self) -> np.ndarray:
         return self.seated
 
     def customers(self) -> np.ndarray:
-        return np.bincount(self.word, weights=self.tables(), minlength=len(self.words)).astype("int64")
+        own = np.bincount(self.word, weights=self.tables(), minlength=self.size).astype("int64")
+        return own + self.single
 
     def totals(self) -> np.ndarray:
-        contexts = np.bincount(self.context, weights=self.tables(), minlength=CONTEXTS)
-        return np.concatenate([contexts, [self.seated.sum(), self.parents.sum()]])
+        contexts = np.bincount(self.context, weights=self.tables(), minlength=len(self.settings.seated))
+        return np.concatenate([contexts, [self.customers().sum(), self.parents.sum()]])
 
     def parent_probability(self, totals: Totals) -> np.ndarray:
-        s = self.settings
-        own = self.customers() - s.parent_discount * self.parents
-        return (own + (STRENGTH + s.parent_discount * totals.parents) * s.base) / (STRENGTH + totals.customers)
+        return self.settings.parent_probability(self.customers(), self.parents, totals)
 
     def sweep(self, number: int, totals: Totals) -> None:
         """All customers of every pair are seated anew, given the totals of the sweep before; then the parent's."""
@@ -415,7 +554,7 @@ class Bucket:
         weight = STRENGTH + s.discount * totals.tables[self.context[self.active]]
         weight *= self.parent_probability(totals)[self.word[self.active]]
         self.seated[self.active] = draw_tables(self.counts[self.active], weight, s.discount, rng)
-        new = np.full(len(self.words), (STRENGTH + s.parent_discount * totals.parents) * s.base)
+        new = np.full(self.size, (STRENGTH + s.parent_discount * totals.parents) * s.base)
         self.parents = draw_tables(self.customers(), new, s.parent_discount, rng)
 
     def replay(self, history: list[np.ndarray]):
@@ -425,118 +564,306 @@ class Bucket:
             yield number
 
 
-def seated(model: DataFrame, settings: Settings, history: list[np.ndarray]) -> DataFrame:
-    """The model with its seats after all sweeps of the history, written."""
+class Homes:
+    """Where the tables of a context meet: contexts are dealt by hash like words, homes take whole buckets."""
+
+    def __init__(self, buckets: int):
+        self.buckets, self.number = buckets, max(min(buckets, HOMES), -(-buckets // HOME_BUCKETS))
+
+    def of(self, ids: np.ndarray) -> np.ndarray:
+        return (ids % np.uint64(self.buckets)).astype("int64") % self.number
+
+    def messages(self, bucket: int, ids: np.ndarray, amounts: np.ndarray, book: Book, wanted=None) -> list[dict]:
+        """One row per home: a bucket's contexts and its amount of each. Contexts stay in their order."""
+        home, codes = self.of(ids), book.codes(ids)
+        rows = []
+        for h in np.unique(home).tolist():
+            at = np.flatnonzero(home == h)
+            row = {"bucket": bucket, "home": h, "ids": book.pack(ids[at], codes[at]), "amounts": squeezed(amounts[at], "<u4")}
+            if wanted is not None:
+                row["wanted"] = squeezed(wanted[at], "<u1")
+            rows.append(row)
+        return rows
+
+
+def met(messages: DataFrame, homes: Homes, book, own: bool = False) -> DataFrame:
+    """To every message the sums of its contexts over all buckets, of the wanted ones where it names them; if
+    ``own``, also rows with ``ids``: the sums for the bucket that holds the context as a word."""
+
+    def meet(group: pa.Table) -> pa.Table:
+        rows, home = group.to_pylist(), group["home"][0].as_py()
+        known, places = book.value.places([r["ids"] for r in rows])
+        amounts = [expanded(r["amounts"], "<u4") for r in rows]
+        sums = np.bincount(places, weights=np.concatenate(amounts), minlength=len(known)).astype("int64")
+        out = []
+        for row, place in zip(rows, np.split(places, np.cumsum([len(a) for a in amounts])[:-1])):
+            if row["wanted"] is not None:
+                place = place[expanded(row["wanted"], "<u1") > 0]
+            out.append({"bucket": row["bucket"], "home": home, "amounts": squeezed(sums[place], "<u4")})
+        if own:
+            bucket = (known % np.uint64(homes.buckets)).astype("int64")
+            for b in np.unique(bucket).tolist():
+                at = np.flatnonzero(bucket == b)
+                ids, amounts = book.value.pack(known[at]), squeezed(sums[at], "<u4")
+                out.append({"bucket": b, "home": home, "ids": ids, "amounts": amounts})
+        return pa.Table.from_pylist(out, schema_of(MESSAGE_FIELDS))
+
+    return messages.groupBy("home").applyInArrow(meet, MESSAGE_FIELDS)
+
+
+def single_tables(model: DataFrame, homes: Homes, book) -> DataFrame:
+    """Messages about pairs with one customer, whose tables never change. Wanted are contexts with other pairs too."""
 
-    def placed(batches):
+    def told(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                bucket = Bucket(row, settings)
-                for _ in bucket.replay(history):
-                    pass
-                for table in (bucket.seated, bucket.parents):
-                    if len(table) and table.max() > 0xFFFFFFFF:
-                        raise OverflowError("a pair has more than 2**32 tables")
-                row |= {"done": len(history), "seated": squeezed(bucket.seated, "<u4")}
-                row["parents"] = squeezed(bucket.parents, "<u4")
-                yield pa.RecordBatch.from_pylist([row], schema)
-
-    fields = MODEL_FIELDS + SEATS_FIELDS
-    kinds = {"bigint": pa.int64(), "binary": pa.binary()}
-    schema = pa.schema([(name, kinds[kind]) for name, kind in map(str.split, fields.split(", "))])
-    return stage(model.mapInArrow(placed, fields), "seats")
+                _, _, ids, place, counts = pairs_of(row, book.value)
+                single = np.bincount(place, weights=counts == 1, minlength=len(ids)).astype("int64")
+                wanted = np.bincount(place, weights=counts > 1, minlength=len(ids)) > 0
+                rows = homes.messages(row["bucket"], ids, single, book.value, wanted)
+                yield pa.RecordBatch.from_pylist(rows, schema_of(MESSAGE_FIELDS))
 
+    return model.mapInArrow(told, MESSAGE_FIELDS)
 
-def train(model: DataFrame, settings: Settings) -> tuple[DataFrame, list[np.ndarray]]:
-    """The model with the seats written last, and totals before each sweep and after the last one: SWEEPS + 1
-    arrays of fixed size."""
-    history: list[np.ndarray] = []
-    for number in range(SWEEPS + 1):
-        left = SWEEPS - SAMPLES - number
-        if number and left >= 0 and left % KEPT_EVERY == 0:
-            model = seated(model, settings, list(history))
 
-        def after(batch, history=tuple(history)):
-            total = np.zeros(CONTEXTS + 2)
-            for i in range(batch.num_rows):
-                bucket = Bucket(batch.slice(i, 1).to_pylist()[0], settings)
-                for _ in bucket.replay(list(history)):
-                    pass
-                total += bucket.totals()
-            return total
+def active_pairs(model: DataFrame, book) -> DataFrame:
+    """Pairs with two customers or more, which sweeps seat anew."""
+
+    def active(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                words, word, ids, place, counts = pairs_of(row, book.value)
+                many = counts > 1
+                used = np.bincount(place[many], minlength=len(ids)) > 0
+                ids, place = ids[used], (np.cumsum(used) - 1)[place]
+                out = {
+                    "bucket": row["bucket"],
+                    "each": squeezed(np.bincount(word[many], minlength=len(words)), "<u4"),
+                    "single": squeezed(np.bincount(word[~many], minlength=len(words)), "<u4"),
+                    "places": squeezed(place[many], "<u4"),
+                    "counts": squeezed(counts[many], "<u4"),
+                    "ids": book.value.pack(ids),
+                }
+                yield pa.RecordBatch.from_pylist([out], schema_of(ACTIVE_FIELDS))
 
-        history.append(summed(model, CONTEXTS + 2, after))
-    return model, history
+    return model.mapInArrow(active, ACTIVE_FIELDS)
 
 
-def answers(asked: DataFrame, model: DataFrame, settings: Settings, history: list[np.ndarray], turns: int) -> DataFrame:
-    """For every request: counts of its words, log10 of the averaged probability of its pairs."""
-    spark = asked.sparkSession
-    shared = spark.sparkContext.broadcast((settings, history))
+def swept(active: DataFrame, notes: DataFrame, settings: Settings, homes: Homes, book, number: int, sums) -> DataFrame:
+    """Seats after a sweep and messages about them, from the replies about the seats before and these seats.
+
+    Number 0 lays out the first seats; its replies are about single tables, which later rows carry along.
+    """
+    shared = active.sparkSession.sparkContext.broadcast(settings)
+
+    def sweep(pairs: pa.Table, notes: pa.Table) -> pa.Table:
+        row = pairs.to_pylist()[0]
+        bucket, ids = Bucket(row, shared.value), book.value.unpack(row["ids"])
+        told, seats = [], None
+        for note in notes.to_pylist():
+            if note["home"] is None:
+                seats = note
+            else:
+                told.append(note)
+        told.sort(key=lambda note: note["home"])
+        found = np.concatenate([expanded(n["amounts"], "<u4") for n in told] + [np.zeros(0, "<u4")]).astype("int64")
+        tables = np.empty(len(ids), "int64")
+        tables[np.argsort(homes.of(ids), kind="stable")] = found
+        if number:
+            fixed = expanded(seats["fixed"], "<u4").astype("int64")
+            bucket.seated, bucket.parents = (expanded(seats[c], "<u4").astype("int64") for c in ("seated", "parents"))
+            bucket.sweep(number, Totals(np.concatenate([fixed + tables, sums])))
+        else:
+            fixed = tables
+        own = np.bincount(bucket.context, weights=bucket.seated, minlength=len(ids)).astype("int64")
+        customers = bucket.customers()
+        rows = homes.messages(row["bucket"], ids, own, book.value)
+        rows.append(
+            {
+                "bucket": row["bucket"],
+                "fixed": squeezed(fixed, "<u4"),
+                "seated": squeezed(bucket.seated, "<u4"),
+                "customers": squeezed(customers, "<u4"),
+                "parents": squeezed(bucket.parents, "<u4"),
+                "all_customers": int(customers.sum()),
+                "all_parents": int(bucket.parents.sum()),
+            }
+        )
+        return pa.Table.from_pylist(rows, schema_of(SEATS_FIELDS))
+
+    return active.groupBy("bucket").cogroup(notes.groupBy("bucket")).applyInArrow(sweep, SEATS_FIELDS)
+
+
+def train(model: DataFrame, settings: Settings, homes: Homes, book) -> tuple[DataFrame, list[tuple[int, int]]]:
+    """Seats and sums of contexts of the last SAMPLES sweeps, and the parent's customers and tables after each.
+
+    Pairs stay where they are through all sweeps; only totals of contexts and seats move.
+    """
+    parts = int(model.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    active = active_pairs(model, book).repartition(min(parts, homes.buckets), "bucket").persist(StorageLevel.DISK_ONLY)
+    told = stage(met(single_tables(model, homes, book), homes, book, own=True), "single")
+    notes, sums, kept, samples, sizes = told.where("ids is null"), np.zeros(2), None, [], []
+    samples.append(told.where("ids is not null").withColumn("sample", F.lit(None).cast("int")))
+    try:
+        for number in range(SWEEPS + 1):
+            out = swept(active, notes, settings, homes, book, number, sums)
+            sampled = number > SWEEPS - SAMPLES
+            out = stage(out, "seats") if sampled or number % KEPT_EVERY == 0 else out.persist(StorageLevel.DISK_ONLY)
+            seats = out.where("home is null")
+            messages = out.where("home is not null").select("bucket", "home", "ids", "amounts", "wanted")
+            sums = np.array(seats.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("all_customers", "all_parents")]).first())
+            told = met(messages, homes, book, own=sampled)
+            if sampled:
+                told = stage(told, "sums")
+                samples += [p.withColumn("sample", F.lit(len(sizes))) for p in (told.where("ids is not null"), seats)]
+                sizes.append(tuple(sums.tolist()))
+            notes = told.where("ids is null").unionByName(seats, allowMissingColumns=True)
+            if kept is not None:
+                kept.unpersist()
+            kept = out if out.is_cached else None
+    finally:
+        active.unpersist()
+        if kept is not None:
+            kept.unpersist()
+    notes = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), samples)
+    return notes.select("bucket", "sample", "ids", "amounts", "seated", "customers", "parents"), sizes
+
+
+class Known:
+    """What the samples say about a bucket: tables of its pairs, added up, and of its words as dishes and contexts."""
+
+    def __init__(self, rows: list[dict], book: Book):
+        row = dict.fromkeys(("words", "each", "contexts", "counts"), b"")
+        row = next((r for r in rows if r["words"] is not None), row)
+        self.words, word, ids, place, self.counts = pairs_of(row, book)
+        self.size = max(len(ids), 1)
+        self.keys = word * self.size + place
+        self.dishes, self.contexts = Places(self.words, book), Places(ids, book)
+        frequency = np.bincount(word, weights=self.counts, minlength=len(self.words)).astype("int64")
+        self.tables = np.where(self.counts > 1, 0, SAMPLES)
+        many = np.flatnonzero(self.counts > 1)
+        customers, parents, totals = (np.zeros((SAMPLES, len(self.words)), "int64") for _ in range(3))
+        for note in rows:
+            if note["seated"] is not None:
+                self.tables[many] += expanded(note["seated"], "<u4")
+                customers[note["sample"]] = expanded(note["customers"], "<u4")
+                parents[note["sample"]] = expanded(note["parents"], "<u4")
+            elif note["ids"] is not None:
+                which = slice(None) if note["sample"] is None else note["sample"]
+                at, _ = self.dishes.find(note["ids"])
+                totals[which, at] += expanded(note["amounts"], "<u4").astype("int64")
+        self.of_words = {"frequency": frequency, "customers": customers, "parents": parents, "totals": totals}
+
+    def reply(self, request: dict) -> dict:
+        at, has = self.dishes.find(request["words"])
+        context, seen = self.contexts.find(request["contexts"])
+        each = expanded(request["each"], "<u4")
+        pair, there = find(self.keys, np.repeat(at, each) * self.size + context)
+        there &= seen & np.repeat(has, each)
+        out = {"chunk": request["chunk"], "bucket": request["bucket"]}
+        for name, values in self.of_words.items():
+            picked = np.zeros((*values.shape[:-1], len(at)), "int64")
+            picked[..., has] = values[..., at[has]]
+            out[name] = squeezed(picked, "<i8") if name == "frequency" else stacked(picked)
+        counts, tables = (np.zeros(len(context), "int64") for _ in range(2))
+        counts[there], tables[there] = self.counts[pair[there]], self.tables[pair[there]]
+        return out | {"counts": squeezed(counts, "<u4"), "tables": squeezed(tables[counts > 1], "<u4")}
+
+
+def answers(asked: DataFrame, model: DataFrame, notes: DataFrame, turns: int, book) -> DataFrame:
+    """For every request: counts of its words and their tables as dishes and contexts, counts of its pairs and tables
+    of those with two customers or more."""
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(turns - 1).cast("bigint")))
-    copies = model.drop("turn").withColumn("turn", every)
-    out_schema = pa.schema([("chunk", pa.int64()), ("bucket", pa.int64()), ("counts", pa.binary()), ("logs", pa.binary())])
+    known = model.drop("turn").unionByName(notes, allowMissingColumns=True).withColumn("turn", every)
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
-        s, totals = shared.value
-        empty = {"bucket": 0, "words": b"", "each": b"", "contexts": b"", "counts": b""}
-        bucket = Bucket(known.to_pylist()[0] if known.num_rows else empty, s)
-        keys = bucket.word * CONTEXTS + bucket.context
+        bucket = Known(known.to_pylist(), book.value)
         rows = asked.select(["chunk", "bucket", "words", "each", "contexts"]).to_pylist()
-        places, sums = [], []
-        for row in rows:
-            words, each = np.frombuffer(row["words"], "<u8"), expanded(row["each"], "<u4").astype("int64")
-            context = expanded(row["contexts"], "<u2").astype("int64")
-            at, has = find(bucket.words, words)
-            pair, has_pair = find(keys, np.repeat(at, each) * CONTEXTS + context)
-            has_pair &= np.repeat(has, each)
-            places.append((at, has, each, context, pair, has_pair))
-            sums.append(np.zeros(len(context)))
-        for number in bucket.replay(totals[:-1]):
-            if number <= SWEEPS - SAMPLES:
-                continue
-            now = Totals(totals[number])
-            parent, tables = bucket.parent_probability(now), bucket.tables()
-            rest = (STRENGTH + s.parent_discount * now.parents) * s.base / (STRENGTH + now.customers)
-            own = bucket.counts - s.discount * tables
-            for (at, has, each, context, pair, has_pair), total in zip(places, sums):
-                below = np.full(len(at), rest)
-                below[has] = parent[at[has]]
-                seated = np.zeros(len(context))
-                seated[has_pair] = own[pair[has_pair]]
-                open_ = STRENGTH + s.discount * now.tables[context]
-                total += (seated + open_ * np.repeat(below, each)) / (STRENGTH + s.seated[context])
-        frequency = np.bincount(bucket.word, weights=bucket.counts, minlength=len(bucket.words)).astype("int64")
-        out = []
-        for row, (at, has, *_), total in zip(rows, places, sums):
-            counts = np.zeros(len(at), "<i8")
-            counts[has] = frequency[at[has]]
-            logs = squeezed(np.log10(total / SAMPLES), "<f4")
-            out.append({"chunk": row["chunk"], "bucket": row["bucket"], "counts": squeezed(counts, "<i8"), "logs": logs})
-        return pa.Table.from_pylist(out, out_schema)
-
-    both = asked.drop("counts").groupBy("bucket", "turn").cogroup(copies.groupBy("bucket", "turn"))
-    return both.applyInArrow(answer, "chunk bigint, bucket bigint, counts binary, logs binary")
+        return pa.Table.from_pylist([bucket.reply(r) for r in rows], schema_of(ANSWER_FIELDS))
+
+    both = asked.drop("counts").groupBy("bucket", "turn").cogroup(known.groupBy("bucket", "turn"))
+    return both.applyInArrow(answer, ANSWER_FIELDS)
+
+
+def log_probabilities(own: Chunk, found: list[dict], settings: Settings, sizes: list[tuple[int, int]]):
+    """(counts of a chunk's words, log10 of the averaged probability of its pairs) from the answers of its buckets."""
+    s = settings
+    size = len(own.word_order)
+
+    def of_words(parts: list[np.ndarray]) -> np.ndarray:
+        out = np.empty((*parts[0].shape[:-1], size), "int64")
+        out[..., own.word_order] = np.concatenate(parts, axis=-1)
+        return out
+
+    frequency = of_words([expanded(f["frequency"], "<i8") for f in found])
+    counts, tables = (np.concatenate([expanded(f[c], "<u4").astype("int64") for f in found]) for c in ("counts", "tables"))
+    all_tables = SAMPLES * counts
+    all_tables[counts > 1] = tables
+    total = np.empty(len(counts))
+    total[own.pair_order] = SAMPLES * counts - s.discount * all_tables
+    each = zip(sizes, *(of_words([unstacked(f[c]) for f in found]) for c in ("customers", "parents", "totals")))
+    for (all_customers, all_parents), customers, parents, tables in each:
+        parent = s.parent_probability(customers, parents, Totals(np.array([all_customers, all_parents])))
+        total += (STRENGTH + s.discount * tables)[own.context] * parent[own.word]
+    return frequency, np.log10(total / (SAMPLES * (STRENGTH + frequency[own.context])))
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys in order, the place there of each), keys of 0 or more; key and row share a number where they fit."""
+    bits = len(keys).bit_length()
+    if not len(keys) or int(keys.max()).bit_length() + bits > 63:
+        return np.unique(keys, return_inverse=True)
+    both = np.sort(keys << bits | np.arange(len(keys)))
+    ordered, rows = both >> bits, both & ((1 << bits) - 1)
+    new = np.diff(ordered, prepend=-1) > 0
+    place = np.empty(len(keys), "int64")
+    place[rows] = np.cumsum(new) - 1
+    return ordered[new], place
 
 
 def find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(place, whether it is there) of each wanted value in sorted values."""
     if not len(known):
         return np.zeros(len(wanted), "int64"), np.zeros(len(wanted), bool)
-    at = np.minimum(np.searchsorted(known, wanted), len(known) - 1)
+    order = np.argsort(wanted)
+    at = np.empty(len(wanted), "int64")
+    at[order] = np.minimum(np.searchsorted(known, wanted[order]), len(known) - 1)
     return at, known[at] == wanted
 
 
+def fitted(chunks: DataFrame, buckets: int, turns: int, book):
+    """(model, settings, training tokens, notes of the last sweeps, their sizes) of the training documents."""
+
+    def merged(group: pa.Table) -> pa.Table:
+        return merge(group, book.value)
+
+    once = requests(chunks, buckets, book, learn=True).drop("chunk")
+    once = once.groupBy("bucket", "turn").applyInArrow(merged, MODEL_FIELDS)
+    model = stage(once.groupBy("bucket").applyInArrow(merged, MODEL_FIELDS) if turns > 1 else once, "model")
+
+    def shape(batch):
+        total = np.zeros(4)
+        for i in range(batch.num_rows):
+            words, *_, counts = pairs_of(batch.slice(i, 1).to_pylist()[0], book.value)
+            total += [len(words), (counts == 1).sum(), (counts == 2).sum(), counts.sum()]
+        return total
+
+    *shapes, n = summed(model, 4, shape)
+    settings = Settings(np.zeros(0), *shapes)
+    return model, settings, int(n), *train(model, settings, Homes(buckets), book)
+
+
 def score_documents(
     docs: DataFrame, train_rows: Column, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``id_col``, n_tokens, n_known, train_tokens, base_score, score (log10) for every whole text.
 
-    Words and one end per document are tokens. A token's restaurant is that of the context of the token before
-    it (a bounded number of contexts); all restaurants share one parent over words, whose base is uniform over
-    the words seen and one unseen. Counts of (word, context) pairs come from all training documents. Buckets of
-    words are sampled in parallel, given the totals of the sweep before, and the probabilities of the last
-    SAMPLES sweeps are averaged. A chunk of documents asks for each distinct pair once.
+    Words and one end per document are tokens. A token's restaurant is that of the word before it, the end of a
+    document standing before the first; all restaurants share one parent over words, whose base is uniform over the
+    words seen and one unseen. Counts of (word, context) pairs come from all training documents. Buckets of words are
+    sampled in parallel; after every sweep the tables of a context are added up over the buckets in its home and sent
+    back. The probabilities of the last SAMPLES sweeps are averaged. A chunk of documents asks for each distinct pair
+    once.
 
     NULL and empty texts are one end. Repeated rows are learnt from and scored each; without training rows all
     scores are 0; other columns are not read; an empty table gives no rows.
@@ -546,34 +873,26 @@ def score_documents(
     chunks = stage(as_chunks(docs, train_rows, id_col, text_col), "chunks")
     size, number = chunks.agg(F.sum(F.octet_length("words")) / 8, F.count("*")).first()
     buckets, turns = max(1, -(-int(size or 0) // BUCKET_WORDS)), max(1, -(-number // TURN_CHUNKS))
-    asked = requests(chunks, buckets)
-    fields = MODEL_FIELDS
-    once = asked.drop("chunk").groupBy("bucket", "turn").applyInArrow(merge, fields)
-    model = stage(once.groupBy("bucket").applyInArrow(merge, fields) if turns > 1 else once, "model")
-
-    def shape(batch):
-        total = np.zeros(CONTEXTS + 3)
-        for i in range(batch.num_rows):
-            words, _, context, counts = arrays(batch.slice(i, 1).to_pylist()[0])
-            total[:CONTEXTS] += np.bincount(context, weights=counts, minlength=CONTEXTS)
-            total[CONTEXTS:] += [len(words), (counts == 1).sum(), (counts == 2).sum()]
-        return total
+    book = spark.sparkContext.broadcast(book_of(chunks))
 
-    shapes = summed(model, CONTEXTS + 3, shape)
-    settings = Settings(shapes[:CONTEXTS], *shapes[CONTEXTS:])
-    n = int(shapes[:CONTEXTS].sum())
-    model, history = train(model, settings)
-    found = answers(asked, model, settings, history, turns)
+    model, settings, n, notes, sizes = fitted(chunks, buckets, turns, book)
+    found = answers(requests(chunks, buckets, book, learn=False), model, notes, turns, book)
     kind = docs.schema[id_col].dataType.simpleString()
     log_total = float(np.log10(n + settings.words + 1))
 
+    def slim(batches):
+        for batch in batches:
+            homes = [squeezed(np.frombuffer(w.as_buffer(), "<u8") % np.uint64(buckets), "<u4") for w in batch["words"]]
+            yield batch.drop_columns(["words"]).append_column("homes", pa.array(homes, pa.binary()))
+
+    fields = CHUNK_FIELDS.format(kind=kind).replace("train array<boolean>, ", "").replace("words", "homes")
+    chunks = chunks.drop("train").mapInArrow(slim, fields)
+
     def scored(chunk: pa.Table, found: pa.Table) -> pa.Table:
         row = chunk.to_pylist()[0]
         own = Chunk(row, buckets)
-        found = sorted(found.select(["bucket", "counts", "logs"]).to_pylist(), key=lambda f: f["bucket"])
-        logs, counts = np.empty(len(own.counts)), np.empty(len(own.words), "int64")
-        logs[own.pair_order] = np.concatenate([expanded(f["logs"], "<f4") for f in found])
-        counts[own.word_order] = np.concatenate([expanded(f["counts"], "<i8") for f in found])
+        found = sorted(found.to_pylist(), key=lambda f: f["bucket"])
+        counts, logs = log_probabilities(own, found, settings, sizes)
         base = np.log10(counts + 1.0) - log_total
         sums = [np.add.reduceat(x, own.starts) for x in (
             (counts > 0).astype("int64")[own.tokens], base[own.tokens], logs[own.pair_of])]

@@ -386,6 +386,111 @@ def test_written_seats_go_on_as_replayed_ones(odd, monkeypatch):
     assert found[0] == found[1]
 
 
+def test_contexts_are_words_not_classes(spark):
+    """Long words that end alike are followed by other words; so are short ones."""
+    texts = ["northing alpha", "southing beta", "to gamma", "of delta"] * 30
+    asked = ["northing alpha", "northing beta", "southing beta", "southing alpha", "to gamma", "to delta"]
+    rows = list(enumerate(texts + asked))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = {r["doc_id"]: r["score"] for r in pitman_yor.score_documents(docs, F.col("doc_id") < len(texts)).collect()}
+    scores = [out[len(texts) + k] for k in range(len(asked))]
+    assert all(right > wrong + 1 for right, wrong in zip(scores[::2], scores[1::2]))
+
+
+def fitted_words(spark, monkeypatch, docs, train):
+    """(chunk row, answers to it, model rows, what was fitted) with many buckets and few homes."""
+    monkeypatch.setattr(pitman_yor, "HOMES", 3)
+    monkeypatch.setattr(pitman_yor, "BOOK_WORDS", 10)
+    base.ship(spark)
+    chunks = pitman_yor.stage(pitman_yor.as_chunks(docs.coalesce(1), train, "doc_id", "text"), "chunks")
+    book = spark.sparkContext.broadcast(pitman_yor.book_of(chunks))
+    model, settings, n, notes, sizes = pitman_yor.fitted(chunks, 7, 1, book)
+    found = pitman_yor.answers(pitman_yor.requests(chunks, 7, book, False), model, notes, 1, book)
+    found = sorted((r.asDict() for r in found.collect()), key=lambda r: r["bucket"])
+    (chunk,) = chunks.collect()
+    return chunk.asDict(), found, model, settings, notes, sizes, book.value
+
+
+@pytest.fixture
+def word_documents(spark):
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"word{i}" for i in rng.zipf(1.5, 30) if i < 60) for _ in range(80)]
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string"), texts
+
+
+def test_pairs_and_tables_are_those_of_real_words(spark, monkeypatch, word_documents):
+    """Counts of all pairs of words; totals of a context are the tables that its pairs have in all buckets."""
+    from xxhash import xxh64_intdigest
+
+    docs, texts = word_documents
+    _, _, model, _, notes, sizes, book = fitted_words(spark, monkeypatch, docs, F.lit(True))
+    wanted = Counter()
+    for text in texts:
+        words = [b"", *text.encode().split(), b""]
+        wanted.update((xxh64_intdigest(w, 6), xxh64_intdigest(c, 6)) for c, w in zip(words, words[1:]))
+    notes, rows = notes.collect(), [r.asDict() for r in model.collect()]
+    found, tables = Counter(), [Counter() for _ in sizes]
+    for row in rows:
+        words, word, ids, place, counts = pitman_yor.pairs_of(row, book)
+        found.update(dict(zip(zip(words[word].tolist(), ids[place].tolist()), counts.tolist())))
+        for note in notes:
+            if note["bucket"] == row["bucket"] and note["seated"] is not None:
+                seated = np.ones(len(counts), "int64")
+                seated[counts > 1] = pitman_yor.expanded(note["seated"], "<u4")
+                for context, t in zip(ids[place].tolist(), seated.tolist()):
+                    tables[note["sample"]][context] += t
+    assert found == wanted and len(rows) == 7
+    told = [Counter() for _ in sizes]
+    for note in notes:
+        if note["ids"] is not None:
+            ids = book.unpack(note["ids"])
+            assert set(ids % np.uint64(7)) == {note["bucket"]}
+            for sample in told if note["sample"] is None else [told[note["sample"]]]:
+                for context, t in zip(ids.tolist(), pitman_yor.expanded(note["amounts"], "<u4").tolist()):
+                    sample[context] += t
+    assert len(sizes) == pitman_yor.SAMPLES and [+t for t in told] == tables
+    assert [sum(t.values()) for t in tables] == [customers for customers, _ in sizes]
+
+
+def test_probabilities_after_a_word_sum_to_one(spark, monkeypatch, word_documents):
+    docs, texts = word_documents
+    words = sorted({w for t in texts for w in t.split()})
+    contexts = ["word1", words[-1], "unheard"]
+    asked = [f"{c} {w}" for c in contexts for w in [*words, "unseen", ""]]
+    more = spark.createDataFrame([(1000 + k, t) for k, t in enumerate(asked)], "doc_id bigint, text string")
+    chunk, found, _, settings, _, sizes, _ = fitted_words(spark, monkeypatch, docs.union(more), F.col("doc_id") < 1000)
+    own = pitman_yor.Chunk(chunk, 7)
+    _, logs = pitman_yor.log_probabilities(own, found, settings, sizes)
+    first = {chunk["ids"][k]: own.tokens[at] for k, at in enumerate(own.starts)}
+    assert settings.words == len(words) + 1
+    for k in range(len(contexts)):
+        pairs = own.context == first[1000 + k * (len(words) + 2)]
+        assert pairs.sum() == len(words) + 2 and abs((10 ** logs[pairs]).sum() - 1) < 1e-9
+
+
+@pytest.mark.parametrize("high", [1, 50, 2**40, 2**62])
+def test_distinct_keys_and_their_places(high):
+    keys = np.random.default_rng(7).integers(0, high, 3000)
+    for part in (keys, keys[:1], keys[:0]):
+        found, wanted = pitman_yor.distinct(part), np.unique(part, return_inverse=True)
+        assert all((a == b).all() and len(a) == len(b) for a, b in zip(found, wanted))
+
+
+def test_words_come_back_from_the_book():
+    rng = np.random.default_rng(6)
+    words = rng.integers(0, 2**64, 400, dtype="<u8")
+    book, asked = pitman_yor.Book(words[:50]), rng.choice(words[:300], 2000)
+    packed = [book.pack(part) for part in np.split(asked, [700])]
+    assert (np.concatenate([book.unpack(p) for p in packed]) == asked).all()
+    ids, place = book.places(packed)
+    assert (ids == np.unique(asked)).all() and (ids[place] == asked).all()
+    known = np.sort(words[20:200])
+    at, has = pitman_yor.Places(known, book).find(packed[0])
+    assert (has == np.isin(asked[:700], known)).all() and (known[at[has]] == asked[:700][has]).all()
+    samples = rng.integers(0, 9, (pitman_yor.SAMPLES, 40))
+    assert (pitman_yor.unstacked(pitman_yor.stacked(samples)) == samples).all()
+
+
 def test_scores_beat_the_base_on_held_out_rows(spark, documents):
     out = QUERIES["op6_lm_scoring"](spark, FOLDER).toPandas()
     assert list(out["held_out"]) == [remainder(i, 7) == 2 for i in out["doc_id"]]
