@@ -7,6 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,13 +16,14 @@ from tallyguard.llm.base import PART_BIT, remainder, ship, stage, summed
 
 #: Contexts laid out by hand, as tests do; those of score_documents are words and grow with the corpus.
 CONTEXTS = 1281
-#: Tokens of a chunk of documents, words of a bucket of the model, chunks answered together: they bound memory.
+#: Tokens of a chunk of documents, words of a bucket of the model, chunks and pairs answered together: they bound memory.
 CHUNK_TOKENS = 1_500_000
 BUCKET_WORDS = 400_000
 TURN_CHUNKS = 1024
-#: Words that requests write as short numbers, taken from so many chunks; all others are written out.
+TURN_PAIRS = 1 << 24
+#: Words that chunks and requests write as short numbers, taken from about so many documents; all others are written out.
 BOOK_WORDS = 1 << 18
-BOOK_CHUNKS = 8
+BOOK_DOCUMENTS = 1 << 14
 #: Totals of contexts meet in a home per bucket up to so many homes, then in one per HOME_BUCKETS buckets.
 HOMES = 64
 HOME_BUCKETS = 16
@@ -36,15 +38,17 @@ SEED = 6
 
 CHUNK_FIELDS = (
     "chunk bigint, doc_no array<bigint>, ids array<{kind}>, train array<boolean>, lengths array<bigint>, "
-    "first array<int>, tokens binary, words binary"
+    "first array<int>, n_words bigint, tokens binary, words binary"
 )
-REQUEST_FIELDS = "bucket bigint, turn bigint, chunk bigint, words binary, each binary, contexts binary, counts binary"
-MODEL_FIELDS = "bucket bigint, turn bigint, words binary, each binary, contexts binary, counts binary"
+REQUEST_FIELDS = (
+    "bucket bigint, turn bigint, chunk bigint, asked bigint, words binary, each binary, contexts binary, counts binary"
+)
+MODEL_FIELDS = "bucket bigint, turn bigint, asked bigint, words binary, each binary, contexts binary, counts binary"
 ACTIVE_FIELDS = "bucket bigint, each binary, single binary, places binary, counts binary, ids binary"
 MESSAGE_FIELDS = "bucket bigint, home bigint, ids binary, amounts binary, wanted binary"
 SEATS_FIELDS = (
     "bucket bigint, home bigint, ids binary, amounts binary, wanted binary, fixed binary, seated binary, "
-    "customers binary, parents binary, all_customers bigint, all_parents bigint"
+    "parents binary, all_customers bigint, all_parents bigint"
 )
 ANSWER_FIELDS = (
     "chunk bigint, bucket bigint, frequency binary, customers binary, parents binary, totals binary, counts binary, "
@@ -77,8 +81,34 @@ def expanded(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
 
 
+def begins(each: np.ndarray | int | None, size: int) -> np.ndarray:
+    """Where runs of so many values begin; 0 stands for one run, None for a run a value."""
+    if each is None:
+        return np.arange(size)
+    if isinstance(each, int):
+        return np.zeros(min(size, 1), "int64")
+    return (np.cumsum(each) - each)[each > 0]
+
+
+def steps(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Unsigned values as steps from the one before in their run, small where runs are in order."""
+    before = np.roll(values, 1)
+    before[starts] = 0
+    return values - before
+
+
+def walked(steps: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The values that gave the steps."""
+    total = np.cumsum(steps, dtype=steps.dtype)
+    return total - np.repeat((total - steps)[starts], np.diff(starts, append=len(steps)))
+
+
 class Book:
-    """Short numbers for frequent words, so that requests stay small; words outside are written as whole hashes."""
+    """Short numbers for frequent words, so that requests stay small; words outside are written as whole hashes.
+
+    Numbers are written as steps within runs whose lengths the reader knows, hashes as steps within the same runs.
+    Any order comes back; runs in the book's order are the shortest.
+    """
 
     def __init__(self, words: np.ndarray):
         """Hashes of words, the most frequent first."""
@@ -93,28 +123,44 @@ class Book:
         out[has] = self.order[at[has]] + 1
         return out
 
-    def pack(self, words: np.ndarray, codes: np.ndarray | None = None) -> bytes:
+    def in_order(self, words: np.ndarray, codes: np.ndarray | None = None) -> np.ndarray:
+        """The book's order of words: those outside by hash, then the others by number."""
+        return np.lexsort((words, self.codes(words) if codes is None else codes))
+
+    @staticmethod
+    def plain_begins(each: np.ndarray | int | None, outside: np.ndarray) -> np.ndarray:
+        """Where runs begin among the words outside; without runs they are one."""
+        size = np.count_nonzero(outside)
+        if each is None or isinstance(each, int):
+            return begins(0, size)
+        run = np.repeat(np.arange(len(each)), each)
+        return np.flatnonzero(np.diff(run[outside], prepend=-1))
+
+    def pack(self, words: np.ndarray, codes: np.ndarray | None = None, each: np.ndarray | int | None = None) -> bytes:
         codes = self.codes(words) if codes is None else codes
-        data = squeezed(codes, "<u4")
-        return len(data).to_bytes(8, "little") + data + words[codes == 0].tobytes()
+        data = squeezed(steps(codes.astype("<u4"), begins(each, len(codes))), "<u4")
+        plain = steps(words[codes == 0], self.plain_begins(each, codes == 0))
+        return len(data).to_bytes(8, "little") + data + squeezed(plain, "<u8")
 
-    def split(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    def split(self, data: bytes, each: np.ndarray | int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(numbers of packed words, hashes of those with number 0)."""
         if not data:
             return np.zeros(0, "int64"), np.zeros(0, "<u8")
         end = 8 + int.from_bytes(data[:8], "little")
-        return expanded(data[8:end], "<u4").astype("int64"), np.frombuffer(data[end:], "<u8")
+        codes = expanded(data[8:end], "<u4")
+        codes = walked(codes, begins(each, len(codes))).astype("int64")
+        return codes, walked(expanded(data[end:], "<u8"), self.plain_begins(each, codes == 0))
 
-    def unpack(self, data: bytes) -> np.ndarray:
-        codes, plain = self.split(data)
+    def unpack(self, data: bytes, each: np.ndarray | int | None = None) -> np.ndarray:
+        codes, plain = self.split(data, each)
         out, known = np.empty(len(codes), "<u8"), codes > 0
         out[known] = self.words[codes[known] - 1]
         out[~known] = plain
         return out
 
-    def places(self, packed: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def places(self, packed: list[bytes], runs: list | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(distinct words in order of hash, the place there of each packed word)."""
-        parts = [self.split(data) for data in packed]
+        parts = [self.split(*x) for x in (zip(packed, runs) if runs is not None else zip(packed))]
         codes, plain = (np.concatenate([p[i] for p in parts]) for i in (0, 1))
         used = np.flatnonzero(np.bincount(codes, minlength=len(self.words) + 1)[1:])
         extra, extra_at = np.unique(plain, return_inverse=True)
@@ -138,16 +184,22 @@ class Places:
         self.table = np.full(len(book.words) + 1, -1)
         self.table[codes] = np.arange(len(known))
 
-    def find(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-        codes, plain = self.book.split(data)
+    def find(self, data: bytes, each: np.ndarray | int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        codes, plain = self.book.split(data, each)
         at = self.table[codes]
         spelled, has = find(self.known, plain)
         at[codes == 0] = np.where(has, spelled, -1)
         return np.maximum(at, 0), at >= 0
 
 
-def as_chunks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> DataFrame:
-    """Documents as numbers: one row per chunk with its own dictionary of words and the tokens of its documents."""
+NO_BOOK = Book(np.zeros(0, "<u8"))
+
+
+def as_chunks(docs: DataFrame, train: Column, id_col: str, text_col: str, book=None) -> DataFrame:
+    """Documents as numbers: one row per chunk with its own dictionary of words and the tokens of its documents.
+
+    Words of a dictionary stand in the order of the book, if there is one, so that pairs of a chunk do too.
+    """
     source = docs.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), train.alias("train")
     )
@@ -162,10 +214,16 @@ def as_chunks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> Dat
 
         def flush():
             hashes = np.array([xxh64_intdigest(w, SEED) for w in words], "<u8")
+            known = book.value if book else NO_BOOK
+            codes = known.codes(hashes)
+            order = known.in_order(hashes, codes)
+            place = np.empty(len(order), "int64")
+            place[order] = np.arange(len(order))
             names = ["doc_no", "ids", "train", "lengths", "first"]
             row = dict(zip(names, map(list, zip(*rows))))
-            row |= {"chunk": (part << PART_BIT) + number, "words": hashes.tobytes()}
-            row["tokens"] = squeezed(np.concatenate(tokens), "<u4")
+            row |= {"chunk": (part << PART_BIT) + number, "n_words": len(order)}
+            row |= {"first": place[row["first"]], "words": known.pack(hashes[order], codes[order], 0)}
+            row["tokens"] = squeezed(place[np.concatenate(tokens)], "<u4")
             return pa.RecordBatch.from_pylist([row], schema)
 
         schema = None
@@ -175,7 +233,7 @@ def as_chunks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> Dat
                 schema = pa.schema(
                     [("chunk", pa.int64()), ("doc_no", pa.list_(pa.int64())), ("ids", listed)]
                     + [("train", pa.list_(pa.bool_())), ("lengths", pa.list_(pa.int64())), ("first", pa.list_(pa.int32()))]
-                    + [("tokens", pa.binary()), ("words", pa.binary())]
+                    + [("n_words", pa.int64()), ("tokens", pa.binary()), ("words", pa.binary())]
                 )
             for id_, text, in_train in zip(*batch.columns):
                 id_, in_train = id_.as_py(), in_train.as_py()
@@ -201,25 +259,20 @@ def as_chunks(docs: DataFrame, train: Column, id_col: str, text_col: str) -> Dat
 
 
 def book_of(chunks: DataFrame) -> Book:
-    """Frequent words of a few chunks. Results don't depend on which words are in the book, only sizes do."""
-    some = [r["chunk"] for r in chunks.select("chunk").orderBy(F.xxhash64("chunk")).limit(BOOK_CHUNKS).collect()]
+    """Frequent words of chunks without a book. Results don't depend on which words are in it, only sizes do."""
 
-    def frequent(batches):
+    def counted(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                words = np.frombuffer(row["words"], "<u8")
+                words = NO_BOOK.unpack(row["words"], 0)
                 counts = np.bincount(expanded(row["tokens"], "<u4"), minlength=len(words))
-                top = np.argsort(-counts, kind="stable")[: BOOK_WORDS // 2]
-                out = {"words": words[top].tobytes(), "counts": counts[top].astype("<i8").tobytes()}
-                yield pa.RecordBatch.from_pylist([out], pa.schema([(c, pa.binary()) for c in ("words", "counts")]))
+                columns = [pa.array(words.view("<i8")), pa.array(counts.astype("int64"))]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "count"])
 
-    rows = chunks.where(F.col("chunk").isin(some)).select("words", "tokens").mapInArrow(
-        frequent, "words binary, counts binary").collect()
-    words = np.concatenate([np.frombuffer(r["words"], "<u8") for r in rows] + [np.zeros(0, "<u8")])
-    counts = np.concatenate([np.frombuffer(r["counts"], "<i8") for r in rows] + [np.zeros(0, "<i8")])
-    words, place = np.unique(words, return_inverse=True)
-    counts = np.bincount(place, weights=counts, minlength=len(words))
-    return Book(words[np.argsort(-counts, kind="stable")[:BOOK_WORDS]])
+    rows = chunks.select("words", "tokens").mapInArrow(counted, "word bigint, count bigint")
+    rows = rows.groupBy("word").agg(F.sum("count").alias("count")).where("count > 1")
+    words = rows.orderBy(F.desc("count"), "word").limit(BOOK_WORDS).select("word").toArrow()
+    return Book(words["word"].to_numpy().view("<u8"))
 
 
 class Chunk:
@@ -228,30 +281,36 @@ class Chunk:
     A context is the word before, by its place in the chunk's dictionary; the end of a document stands before the next.
     """
 
-    def __init__(self, row: dict, buckets: int):
+    def __init__(self, row: dict, buckets: int, book: Book = NO_BOOK):
         if "homes" in row:
             bucket_of = expanded(row["homes"], "<u4").astype("int64")
         else:
-            self.words = np.frombuffer(row["words"], "<u8")
+            self.words = book.unpack(row["words"], 0)
             bucket_of = (self.words % np.uint64(buckets)).astype("int64")
-        self.tokens = expanded(row["tokens"], "<u4").astype("int64")
+        self.tokens = expanded(row["tokens"], "<u4").astype("int32")
         self.lengths = np.array(row["lengths"], "int64")
         self.starts = np.cumsum(self.lengths) - self.lengths
-        context = np.empty(len(self.tokens), "int64")
+        context = np.empty(len(self.tokens), "int32")
         context[1:] = self.tokens[:-1]
         context[self.starts] = row["first"]
         size = len(bucket_of)
-        keys, self.pair_of = distinct(self.tokens * size + context)
-        self.word, self.context = np.divmod(keys, size)
+        keys = self.tokens.astype("int64")
+        keys *= size
+        keys += context
+        keys, self.pair_of = distinct(keys)
+        self.word = (keys // size).astype("int32")
+        self.context = (keys - self.word * np.int64(size)).astype("int32")
         if "train" in row:
             trained = np.repeat(np.array(row["train"], bool), self.lengths)
-            self.counts = np.bincount(self.pair_of, weights=trained, minlength=len(keys)).astype("int64")
+            self.counts = np.bincount(self.pair_of[trained], minlength=len(keys))
         if buckets <= 1 << 16:
             bucket_of = bucket_of.astype("<u2")
         self.word_order = np.argsort(bucket_of, kind="stable")
         self.pair_order = np.argsort(bucket_of[self.word], kind="stable")
         self.word_buckets, self.pair_buckets = bucket_of[self.word_order], bucket_of[self.word][self.pair_order]
         self.each = np.bincount(self.word, minlength=size)
+        self.found = np.unique(self.word_buckets)
+        self.asked = np.diff([np.searchsorted(self.pair_buckets, self.found, side=s) for s in ("left", "right")], axis=0)[0]
 
     def keep(self, pairs: np.ndarray) -> None:
         """Leave out all other pairs, and words without any left."""
@@ -264,21 +323,23 @@ class Chunk:
         self.word_order, self.word_buckets = self.word_order[used], self.word_buckets[used]
 
     def requests(self, chunk: int, book: Book) -> pa.RecordBatch:
-        """One row per bucket: its words, the number of contexts of each, the contexts, the training counts."""
-        found, codes = np.unique(self.word_buckets), book.codes(self.words)
+        """One row per bucket: its words, the number of contexts of each, the contexts, the training counts; ``asked``
+        counts all pairs of the chunk, those left out too."""
+        found, codes = self.found, book.codes(self.words)
         edges = [np.searchsorted(x, found, side=s) for x in (self.word_buckets, self.pair_buckets) for s in ("left", "right")]
         rows = []
-        for bucket, a, b, c, d in zip(found.tolist(), *edges):
+        for bucket, pairs_asked, a, b, c, d in zip(found.tolist(), self.asked.tolist(), *edges):
             own, pairs = self.word_order[a:b], self.pair_order[c:d]
-            contexts = self.context[pairs]
+            contexts, each = self.context[pairs], self.each[own]
             rows.append(
                 {
                     "bucket": bucket,
                     "turn": 0,
                     "chunk": chunk,
-                    "words": book.pack(self.words[own], codes[own]),
-                    "each": squeezed(self.each[own], "<u4"),
-                    "contexts": book.pack(self.words[contexts], codes[contexts]),
+                    "asked": pairs_asked,
+                    "words": book.pack(self.words[own], codes[own], 0),
+                    "each": squeezed(each, "<u4"),
+                    "contexts": book.pack(self.words[contexts], codes[contexts], each),
                     "counts": squeezed(self.counts[pairs], "<u4"),
                 }
             )
@@ -292,42 +353,60 @@ def requests(chunks: DataFrame, buckets: int, book, learn: bool) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                chunk = Chunk(row, buckets)
+                chunk = Chunk(row, buckets, book.value)
+                del chunk.tokens, chunk.pair_of
                 if learn:
                     chunk.keep(chunk.counts > 0)
                 yield chunk.requests(row["chunk"], book.value)
 
-    out = chunks.drop("ids", "doc_no").mapInArrow(asked, REQUEST_FIELDS)
+    out = chunks.drop("ids", "doc_no", "n_words").mapInArrow(asked, REQUEST_FIELDS)
     return out.withColumn("turn", F.pmod(F.xxhash64("chunk"), F.lit(max(1, -(-chunks.count() // TURN_CHUNKS)))))
 
 
 def pairs_of(row: dict, book: Book) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(words, the pairs' places among them, contexts, the pairs' places among them, counts) of a model row."""
-    words, ids = book.unpack(row["words"]), book.places([row["contexts"]])
-    word = np.repeat(np.arange(len(words)), expanded(row["each"], "<u4"))
-    return words, word, *ids, expanded(row["counts"], "<u4").astype("int64")
+    """(words, the pairs' places among them, contexts, the pairs' places among them, counts) of a model row.
+
+    Words, contexts and pairs come in order of hash, whatever the book.
+    """
+    each = expanded(row["each"], "<u4").astype("int64")
+    words, (ids, place) = book.unpack(row["words"], 0), book.places([row["contexts"]], [each])
+    by_hash = np.argsort(words)
+    rank = np.empty(len(words), "int64")
+    rank[by_hash] = np.arange(len(words))
+    word, counts = np.repeat(rank, each), expanded(row["counts"], "<u4").astype("int64")
+    order = sorting(word * max(len(ids), 1) + place)
+    return words[by_hash], word[order], ids, place[order], counts[order]
 
 
 def merge(group: pa.Table, book: Book) -> pa.Table:
-    """Training counts of the rows of one bucket added up; pairs and words without any left out."""
+    """Training counts of the rows of one bucket added up; pairs and words without any left out, as are buckets."""
     rows = group.select(["words", "each", "contexts", "counts"]).to_pylist()
-    words, word = book.places([r["words"] for r in rows])
-    contexts, context = book.places([r["contexts"] for r in rows])
-    each, counts = (np.concatenate([expanded(r[c], "<u4").astype("int64") for r in rows]) for c in ("each", "counts"))
-    keys = np.repeat(word, each) * max(len(contexts), 1) + context
+    runs, counts = ([expanded(r[c], "<u4").astype("int64") for r in rows] for c in ("each", "counts"))
+    words, word = book.places([r["words"] for r in rows], [0] * len(rows))
+    contexts, context = book.places([r["contexts"] for r in rows], runs)
+    each, counts = np.concatenate(runs), np.concatenate(counts)
+    word_codes, codes = book.codes(words), book.codes(contexts)
+    word_order, order = book.in_order(words, word_codes), book.in_order(contexts, codes)
+    word_rank, rank = np.empty(len(words), "int64"), np.empty(len(contexts), "int64")
+    word_rank[word_order], rank[order] = np.arange(len(words)), np.arange(len(contexts))
+    keys = np.repeat(word_rank[word], each) * max(len(contexts), 1) + rank[context]
     keep = counts > 0
+    if not keep.any():
+        return pa.Table.from_pylist([], schema_of(MODEL_FIELDS))
     keys, counts = keys[keep], counts[keep]
     pairs, place = distinct(keys)
     totals = np.bincount(place, weights=counts, minlength=len(pairs)).astype("int64")
     word, context = np.divmod(pairs, max(len(contexts), 1))
     each = np.bincount(word, minlength=len(words))
-    left = each > 0
+    left, context = each > 0, order[context]
+    words, word_codes, each = words[word_order][left], word_codes[word_order][left], each[left]
     row = {
         "bucket": group["bucket"][0].as_py(),
         "turn": group["turn"][0].as_py(),
-        "words": book.pack(words[left]),
-        "each": squeezed(each[left], "<u4"),
-        "contexts": book.pack(contexts[context]),
+        "asked": pc.sum(group["asked"]).as_py(),
+        "words": book.pack(words, word_codes, 0),
+        "each": squeezed(each, "<u4"),
+        "contexts": book.pack(contexts[context], codes[context], each),
         "counts": squeezed(totals, "<u4"),
     }
     return pa.Table.from_pylist([row], schema_of(MODEL_FIELDS))
@@ -683,7 +762,6 @@ def swept(active: DataFrame, notes: DataFrame, settings: Settings, homes: Homes,
                 "bucket": row["bucket"],
                 "fixed": squeezed(fixed, "<u4"),
                 "seated": squeezed(bucket.seated, "<u4"),
-                "customers": squeezed(customers, "<u4"),
                 "parents": squeezed(bucket.parents, "<u4"),
                 "all_customers": int(customers.sum()),
                 "all_parents": int(bucket.parents.sum()),
@@ -701,6 +779,7 @@ def train(model: DataFrame, settings: Settings, homes: Homes, book) -> tuple[Dat
     """
     parts = int(model.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     active = active_pairs(model, book).repartition(min(parts, homes.buckets), "bucket").persist(StorageLevel.DISK_ONLY)
+    active.count()  # only then later plans know how it is dealt, and don't deal it again
     told = stage(met(single_tables(model, homes, book), homes, book, own=True), "single")
     notes, sums, kept, samples, sizes = told.where("ids is null"), np.zeros(2), None, [], []
     samples.append(told.where("ids is not null").withColumn("sample", F.lit(None).cast("int")))
@@ -726,7 +805,7 @@ def train(model: DataFrame, settings: Settings, homes: Homes, book) -> tuple[Dat
         if kept is not None:
             kept.unpersist()
     notes = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), samples)
-    return notes.select("bucket", "sample", "ids", "amounts", "seated", "customers", "parents"), sizes
+    return notes.select("bucket", "sample", "ids", "amounts", "seated", "parents"), sizes
 
 
 class Known:
@@ -742,11 +821,14 @@ class Known:
         frequency = np.bincount(word, weights=self.counts, minlength=len(self.words)).astype("int64")
         self.tables = np.where(self.counts > 1, 0, SAMPLES)
         many = np.flatnonzero(self.counts > 1)
+        single = np.bincount(word[self.counts == 1], minlength=len(self.words))
         customers, parents, totals = (np.zeros((SAMPLES, len(self.words)), "int64") for _ in range(3))
         for note in rows:
             if note["seated"] is not None:
-                self.tables[many] += expanded(note["seated"], "<u4")
-                customers[note["sample"]] = expanded(note["customers"], "<u4")
+                seated = expanded(note["seated"], "<u4")
+                self.tables[many] += seated
+                own = np.bincount(word[many], weights=seated, minlength=len(self.words))
+                customers[note["sample"]] = single + own.astype("int64")
                 parents[note["sample"]] = expanded(note["parents"], "<u4")
             elif note["ids"] is not None:
                 which = slice(None) if note["sample"] is None else note["sample"]
@@ -755,9 +837,9 @@ class Known:
         self.of_words = {"frequency": frequency, "customers": customers, "parents": parents, "totals": totals}
 
     def reply(self, request: dict) -> dict:
-        at, has = self.dishes.find(request["words"])
-        context, seen = self.contexts.find(request["contexts"])
-        each = expanded(request["each"], "<u4")
+        each = expanded(request["each"], "<u4").astype("int64")
+        at, has = self.dishes.find(request["words"], 0)
+        context, seen = self.contexts.find(request["contexts"], each)
         pair, there = find(self.keys, np.repeat(at, each) * self.size + context)
         there &= seen & np.repeat(has, each)
         out = {"chunk": request["chunk"], "bucket": request["bucket"]}
@@ -770,18 +852,30 @@ class Known:
         return out | {"counts": squeezed(counts, "<u4"), "tables": squeezed(tables[counts > 1], "<u4")}
 
 
+def turns_of(model: DataFrame, turns: int) -> DataFrame:
+    """(bucket, in how many turns it answers): all but buckets of hot words in one, so that they are sent once."""
+    own = F.least(F.ceil(F.col("asked") / TURN_PAIRS), F.lit(turns).cast("bigint"))
+    return model.select("bucket", own.alias("turns"))
+
+
 def answers(asked: DataFrame, model: DataFrame, notes: DataFrame, turns: int, book) -> DataFrame:
     """For every request: counts of its words and their tables as dishes and contexts, counts of its pairs and tables
     of those with two customers or more."""
-    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(turns - 1).cast("bigint")))
-    known = model.drop("turn").unionByName(notes, allowMissingColumns=True).withColumn("turn", every)
+    known = model.drop("turn", "asked").unionByName(notes, allowMissingColumns=True)
+    asked, zero = asked.drop("asked", "counts"), F.lit(0).cast("bigint")
+    if turns > 1:
+        own, least = F.broadcast(turns_of(model, turns)), F.coalesce("turns", F.lit(turns).cast("bigint"))
+        asked = asked.join(own, "bucket", "left").withColumn("turn", F.pmod("turn", least)).drop("turns")
+        known = known.join(own, "bucket", "left").withColumn("turn", F.explode(F.sequence(zero, least - 1))).drop("turns")
+    else:
+        asked, known = asked.withColumn("turn", zero), known.withColumn("turn", zero)
 
     def answer(asked: pa.Table, known: pa.Table) -> pa.Table:
         bucket = Known(known.to_pylist(), book.value)
         rows = asked.select(["chunk", "bucket", "words", "each", "contexts"]).to_pylist()
         return pa.Table.from_pylist([bucket.reply(r) for r in rows], schema_of(ANSWER_FIELDS))
 
-    both = asked.drop("counts").groupBy("bucket", "turn").cogroup(known.groupBy("bucket", "turn"))
+    both = asked.groupBy("bucket", "turn").cogroup(known.groupBy("bucket", "turn"))
     return both.applyInArrow(answer, ANSWER_FIELDS)
 
 
@@ -813,12 +907,29 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     bits = len(keys).bit_length()
     if not len(keys) or int(keys.max()).bit_length() + bits > 63:
         return np.unique(keys, return_inverse=True)
-    both = np.sort(keys << bits | np.arange(len(keys)))
-    ordered, rows = both >> bits, both & ((1 << bits) - 1)
-    new = np.diff(ordered, prepend=-1) > 0
-    place = np.empty(len(keys), "int64")
-    place[rows] = np.cumsum(new) - 1
-    return ordered[new], place
+    kind = "int32" if bits < 32 else "int64"
+    both = keys << bits
+    both |= np.arange(len(keys))
+    both.sort()
+    rows = (both & ((1 << bits) - 1)).astype(kind)
+    both >>= bits
+    new = np.ones(len(keys), bool)
+    np.not_equal(both[1:], both[:-1], out=new[1:])
+    place = np.empty(len(keys), kind)
+    place[rows] = np.cumsum(new, dtype=kind) - 1
+    return both[new], place
+
+
+def sorting(keys: np.ndarray) -> np.ndarray:
+    """The rows of distinct keys of 0 or more in order; key and row share a number where they fit."""
+    bits = len(keys).bit_length()
+    if not len(keys) or int(keys.max()).bit_length() + bits > 63:
+        return np.argsort(keys)
+    both = keys << bits
+    both |= np.arange(len(keys))
+    both.sort()
+    both &= (1 << bits) - 1
+    return both
 
 
 def find(known: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -870,10 +981,12 @@ def score_documents(
     """
     spark = docs.sparkSession
     ship(spark)
-    chunks = stage(as_chunks(docs, train_rows, id_col, text_col), "chunks")
-    size, number = chunks.agg(F.sum(F.octet_length("words")) / 8, F.count("*")).first()
+    share = min(1.0, BOOK_DOCUMENTS / max(1, docs.count()))
+    some = as_chunks(docs.sample(share, seed=SEED), train_rows, id_col, text_col)
+    book = spark.sparkContext.broadcast(book_of(stage(some, "some")))
+    chunks = stage(as_chunks(docs, train_rows, id_col, text_col, book), "chunks")
+    size, number = chunks.agg(F.sum("n_words"), F.count("*")).first()
     buckets, turns = max(1, -(-int(size or 0) // BUCKET_WORDS)), max(1, -(-number // TURN_CHUNKS))
-    book = spark.sparkContext.broadcast(book_of(chunks))
 
     model, settings, n, notes, sizes = fitted(chunks, buckets, turns, book)
     found = answers(requests(chunks, buckets, book, learn=False), model, notes, turns, book)
@@ -882,11 +995,11 @@ def score_documents(
 
     def slim(batches):
         for batch in batches:
-            homes = [squeezed(np.frombuffer(w.as_buffer(), "<u8") % np.uint64(buckets), "<u4") for w in batch["words"]]
+            homes = [squeezed(book.value.unpack(w.as_py(), 0) % np.uint64(buckets), "<u4") for w in batch["words"]]
             yield batch.drop_columns(["words"]).append_column("homes", pa.array(homes, pa.binary()))
 
-    fields = CHUNK_FIELDS.format(kind=kind).replace("train array<boolean>, ", "").replace("words", "homes")
-    chunks = chunks.drop("train").mapInArrow(slim, fields)
+    fields = CHUNK_FIELDS.format(kind=kind).replace("train array<boolean>, ", "").replace("n_words bigint, ", "").replace("words", "homes")
+    chunks = chunks.drop("train", "n_words").mapInArrow(slim, fields)
 
     def scored(chunk: pa.Table, found: pa.Table) -> pa.Table:
         row = chunk.to_pylist()[0]
@@ -894,8 +1007,8 @@ def score_documents(
         found = sorted(found.to_pylist(), key=lambda f: f["bucket"])
         counts, logs = log_probabilities(own, found, settings, sizes)
         base = np.log10(counts + 1.0) - log_total
-        sums = [np.add.reduceat(x, own.starts) for x in (
-            (counts > 0).astype("int64")[own.tokens], base[own.tokens], logs[own.pair_of])]
+        of_tokens = ((counts > 0).astype("int64"), own.tokens), (base, own.tokens), (logs, own.pair_of)
+        sums = [np.add.reduceat(values[at], own.starts) for values, at in of_tokens]
         columns = [pa.array(row["doc_no"], pa.int64()), chunk["ids"].combine_chunks().flatten(), pa.array(own.lengths)]
         return pa.Table.from_arrays([*columns, *map(pa.array, sums)], ["doc_no", "id", "n_tokens", "n_known", "base", "score"])
 

@@ -491,6 +491,61 @@ def test_words_come_back_from_the_book():
     assert (pitman_yor.unstacked(pitman_yor.stacked(samples)) == samples).all()
 
 
+def test_runs_in_order_of_the_book_come_back_and_are_small():
+    """Numbers and hashes are steps within runs: a chunk's dictionary and requests took 8 bytes a word outside before."""
+    rng = np.random.default_rng(8)
+    words = rng.integers(0, 2**64, 40_000, dtype="<u8")
+    book, each = pitman_yor.Book(words[:20_000]), np.array([0, 3, 25_000, 0, 14_997, 0])
+    for runs, parts in ((each, np.split(words, np.cumsum(each)[:-1])), (0, [words]), (None, [words])):
+        packed = book.pack(words, each=runs)
+        assert (book.unpack(packed, runs) == words).all()
+        in_order = np.concatenate([part[book.in_order(part)] for part in parts])
+        ordered = book.pack(in_order, each=runs)
+        assert (book.unpack(ordered, runs) == in_order).all()
+        if runs is not None:
+            assert len(ordered) < 0.85 * len(packed) and len(ordered) < 7.5 * 20_000 + 20_000
+            ids, place = book.places([ordered, packed], [runs, runs])
+            assert (ids[place] == np.concatenate([in_order, words])).all()
+    assert len(book.unpack(book.pack(words[:0], each=each[:1]), each[:1])) == 0
+
+
+def test_chunks_with_a_book_hold_the_same_pairs_in_less(spark):
+    """The book changes sizes only; chunks number words in its order."""
+    base.ship(spark)
+    rng = np.random.default_rng(9)
+    texts = [" ".join(f"w{i}" for i in rng.zipf(1.2, 300) % 20_000) for _ in range(400)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    plain = pitman_yor.as_chunks(docs, F.lit(True), "doc_id", "text").collect()[0].asDict()
+    book = pitman_yor.book_of(spark.createDataFrame([plain], "tokens binary, words binary"))
+    shared = spark.sparkContext.broadcast(book)
+    (row,) = [r.asDict() for r in pitman_yor.as_chunks(docs, F.lit(True), "doc_id", "text", shared).collect()]
+    found = []
+    for chunk, known in ((pitman_yor.Chunk(plain, 3), pitman_yor.NO_BOOK), (pitman_yor.Chunk(row, 3, book), book)):
+        pairs = zip(chunk.words[chunk.word].tolist(), chunk.words[chunk.context].tolist(), chunk.counts.tolist())
+        found.append(sorted(pairs))
+        assert (chunk.words[chunk.tokens] == pitman_yor.Chunk(plain, 3).words[pitman_yor.Chunk(plain, 3).tokens]).all()
+        assert (known.in_order(chunk.words) == np.arange(len(chunk.words))).all()
+    assert found[0] == found[1]
+    assert len(row["words"]) < 0.6 * 8 * row["n_words"]
+
+
+def test_a_bucket_answers_in_as_many_turns_as_its_pairs_need(spark, monkeypatch, odd):
+    """The model went to every turn before, so that it was sent as often as there were turns of chunks."""
+    monkeypatch.setattr(pitman_yor, "TURN_PAIRS", 100)
+    rows = [(0, 5), (1, 100), (2, 101), (3, 250), (4, 10_000)]
+    model = spark.createDataFrame(rows, "bucket bigint, asked bigint")
+    assert dict(pitman_yor.turns_of(model, 7).collect()) == {0: 1, 1: 1, 2: 2, 3: 3, 4: 7}
+    monkeypatch.setattr(pitman_yor, "CHUNK_TOKENS", 500)
+    monkeypatch.setattr(pitman_yor, "BUCKET_WORDS", 100)
+    train, found = F.coalesce(F.col("doc_id") % 3 != 0, F.lit(True)), []
+    for chunks, pairs in ((2, 1), (2, 100), (2, 1 << 24), (1024, 1)):
+        monkeypatch.setattr(pitman_yor, "TURN_CHUNKS", chunks)
+        monkeypatch.setattr(pitman_yor, "TURN_PAIRS", pairs)
+        out = pitman_yor.score_documents(odd, train).collect()
+        found.append(sorted((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["score"]) for r in out))
+    assert all(rows == found[0] for rows in found)
+
+
 def test_scores_beat_the_base_on_held_out_rows(spark, documents):
     out = QUERIES["op6_lm_scoring"](spark, FOLDER).toPandas()
     assert list(out["held_out"]) == [remainder(i, 7) == 2 for i in out["doc_id"]]
